@@ -1,0 +1,5 @@
+"""No streaming operators: every job here reads finite tables.
+
+The row-level operators (cleaning, reply parsing, flags, rule labels) are plain
+column expressions, so they can be applied to a streaming frame unchanged.
+"""
