@@ -1,21 +1,25 @@
-"""Reading model and judge replies as columns.
+"""Reading model and judge replies.
 
 A reply is accepted only if the text is exactly one JSON object. Spark's reader
 stops after the first value and ignores what follows, so the object is placed
 inside an array inside a wrapper that ends with a marker field: any stray bracket,
 second object or trailing text then breaks the wrapper or loses the marker.
+
+The parsed object is a column of its own before its fields are looked at, so that
+each reply is parsed once however many expressions use it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from intentmill.functions.text import canonical_label, normalize_type, strip
 
 _JSON_OPTIONS = {"allowSingleQuotes": "false"}
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_NOT_FINITE = r"(?i)^[+-]?(inf|infinity|nan)$"
+# Spark keeps the quotes it reads JSON's unquoted NaN and Infinity with
+_NOT_FINITE = r'(?i)^"?[+-]?(inf|infinity|nan)"?$'
 
 RATIONALE_CHARS = 120
 UNREADABLE = "unreadable reply"
@@ -24,34 +28,31 @@ UNREADABLE = "unreadable reply"
 def json_block(raw: Column) -> Column:
     """The span from the first `{` to the last `}`, or NULL if there is none."""
     block = F.regexp_extract(raw, r"(?s)\{.*\}", 0)
-    return F.when(block != "", block)
+    return F.nullif(block, F.lit(""))
 
 
-def one_object(text: Column, fields: str) -> Column:
-    """`text` as a struct of `fields`, or NULL unless it is one JSON object."""
+def with_object(df: DataFrame, text: Column, fields: str, name: str) -> DataFrame:
+    """Add `text` as a struct of `fields`, NULL unless it is one JSON object."""
     wrapped = F.from_json(
         F.concat(F.lit('{"reply":['), text, F.lit('],"end":1}')),
         f"reply array<struct<{fields}>>, end int",
         _JSON_OPTIONS,
     )
-    return F.when(
-        (wrapped["end"] == 1) & (F.size(wrapped["reply"]) == 1),
-        F.get(wrapped["reply"], 0),
+    whole = (F.col("_wrapped.end") == 1) & (F.size("_wrapped.reply") == 1)
+    return (
+        df.withColumn("_wrapped", wrapped)
+        .withColumn(name, F.when(whole, F.get("_wrapped.reply", F.lit(0))))
+        .drop("_wrapped")
     )
 
 
 def to_number(text: Column) -> Column:
-    """Text as a double the way Python's float() reads it, else NULL."""
-    bare = strip(F.regexp_replace(text, '^"(.*)"$', "$1"))
+    """Stripped text as a double the way Python's float() reads it, else NULL."""
     return (
-        F.when(bare.rlike(_NUMBER), bare.try_cast("double"))
-        .when(
-            bare.rlike(_NOT_FINITE),
-            # NaN clamps to the upper end, like positive infinity
-            F.when(bare.rlike("(?i)^-inf"), F.lit(float("-inf"))).otherwise(
-                F.lit(float("inf"))
-            ),
-        )
+        F.when(text.rlike(_NUMBER), text.try_cast("double"))
+        # NaN clamps to the upper end, like positive infinity
+        .when(text.rlike('(?i)^"?-inf'), F.lit(float("-inf")))
+        .when(text.rlike(_NOT_FINITE), F.lit(float("inf")))
     )
 
 
@@ -59,60 +60,76 @@ def clamp(number: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), number))
 
 
-def clamp_confidence(text: Column) -> Column:
-    """Text to a confidence in [0, 1]; unreadable text is 0."""
-    return clamp(F.coalesce(to_number(text), F.lit(0.0)))
-
-
-def parse_reply(raw: Column, allowed: tuple[str, ...]) -> Column:
-    """Annotator reply to struct<type, confidence>; failures abstain with 0."""
-    reply = one_object(json_block(raw), "type string, confidence string")
-    return F.struct(
-        normalize_type(reply["type"], allowed).alias("type"),
-        clamp_confidence(reply["confidence"]).alias("confidence"),
+def parse_replies(replies: DataFrame, allowed: tuple[str, ...]) -> DataFrame:
+    """Replace `raw` by `ai_label` and `ai_confidence`; failures abstain with 0."""
+    keys = [c for c in replies.columns if c != "raw"]
+    return (
+        with_object(
+            replies, json_block(F.col("raw")), "type string, confidence string", "_reply"
+        )
+        .select(
+            *keys,
+            canonical_label(F.col("_reply.type")).alias("_type"),
+            strip(F.col("_reply.confidence")).alias("_confidence"),
+        )
+        .select(
+            *keys,
+            normalize_type(F.col("_type"), allowed).alias("ai_label"),
+            clamp(F.coalesce(to_number(F.col("_confidence")), F.lit(0.0))).alias(
+                "ai_confidence"
+            ),
+        )
     )
 
 
-def parse_judgement(raw: Column, allowed: tuple[str, ...], audit: bool = False) -> Column:
-    """Judge reply to struct<decision, confidence, rationale[, judge_label]>.
+def parse_judgements(
+    replies: DataFrame, allowed: tuple[str, ...], audit: bool = False
+) -> DataFrame:
+    """Replace `raw` by `[judge_label,] judge_decision, judge_confidence, judge_rationale`.
 
     The whole text must be one JSON object and the confidence, if present, must be
     a number; otherwise the row is incorrect with confidence 0.
     """
-    text = F.when(raw.rlike(r"(?s)^[ \t\n\r]*\{.*\}[ \t\n\r]*$"), raw)
-    reply = one_object(
-        text, "decision string, confidence string, rationale string, judge_label string"
-    )
+    keys = [c for c in replies.columns if c != "raw"]
+    fields = "decision string, confidence string, rationale string, judge_label string"
+    text = F.when(F.col("raw").rlike(r"(?s)^[ \t\n\r]*\{.*\}[ \t\n\r]*$"), F.col("raw"))
     # an explicit null is not a number, a missing field is 0
-    is_null = F.coalesce(
-        F.map_contains_key(
-            F.from_json(text, "map<string,string>", _JSON_OPTIONS), "confidence"
-        ),
-        F.lit(False),
+    is_null = F.map_contains_key(
+        F.from_json("raw", "map<string,string>", _JSON_OPTIONS), "confidence"
     )
-    confidence = F.when(
-        reply["confidence"].isNull(), F.when(~is_null, F.lit(0.0))
-    ).otherwise(to_number(reply["confidence"]))
-    readable = reply.isNotNull() & confidence.isNotNull()
-    decision = canonical_label(reply["decision"])
-
-    fields = [
-        F.when(readable & (decision == "correct"), F.lit("correct"))
-        .otherwise(F.lit("incorrect"))
-        .alias("decision"),
-        F.when(readable, clamp(confidence)).otherwise(F.lit(0.0)).alias("confidence"),
-        F.when(
-            readable,
-            F.substring(F.coalesce(reply["rationale"], F.lit("")), 1, RATIONALE_CHARS),
-        )
-        .otherwise(F.lit(UNREADABLE))
-        .alias("rationale"),
+    confidence = F.when(F.col("_bare").isNotNull(), to_number(F.col("_bare"))).when(
+        F.col("_reply").isNotNull() & ~is_null, F.lit(0.0)
+    )
+    readable = F.col("_confidence").isNotNull()
+    own_label = [
+        F.when(readable & F.col("_label").isin(*allowed), F.col("_label"))
+        .otherwise(F.lit("abstain"))
+        .alias("judge_label")
     ]
-    if audit:
-        label = canonical_label(reply["judge_label"])
-        fields.append(
-            F.when(readable & label.isin(*allowed), label)
-            .otherwise(F.lit("abstain"))
-            .alias("judge_label")
+    return (
+        with_object(replies, text, fields, "_reply")
+        .withColumns(
+            {
+                "_bare": strip(F.col("_reply.confidence")),
+                "_decision": canonical_label(F.col("_reply.decision")),
+                "_label": canonical_label(F.col("_reply.judge_label")),
+            }
         )
-    return F.struct(*fields)
+        .withColumn("_confidence", confidence)
+        .select(
+            *keys,
+            *(own_label if audit else []),
+            F.when(readable & (F.col("_decision") == "correct"), F.lit("correct"))
+            .otherwise(F.lit("incorrect"))
+            .alias("judge_decision"),
+            F.coalesce(clamp(F.col("_confidence")), F.lit(0.0)).alias("judge_confidence"),
+            F.when(
+                readable,
+                F.substring(
+                    F.coalesce(F.col("_reply.rationale"), F.lit("")), 1, RATIONALE_CHARS
+                ),
+            )
+            .otherwise(F.lit(UNREADABLE))
+            .alias("judge_rationale"),
+        )
+    )

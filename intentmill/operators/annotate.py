@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from intentmill.functions.cues import cue_hits
-from intentmill.functions.replies import parse_reply
-from intentmill.options import CLASSES, AnnotateOptions
+from intentmill.options import AnnotateOptions
 
 FAILED_REPLY = '{"type": "abstain", "confidence": 0.0}'
 TRIES = 2
@@ -25,16 +24,6 @@ def needs_annotation(df: DataFrame) -> Column:
     return unlabelled | F.coalesce(F.col("needs_retry"), F.lit(False))
 
 
-def parse_replies(replies: DataFrame, allowed: tuple[str, ...] = CLASSES) -> DataFrame:
-    """Replace `raw` by `ai_label` and `ai_confidence`."""
-    keys = [c for c in replies.columns if c != "raw"]
-    return replies.select(*keys, parse_reply(F.col("raw"), allowed).alias("_r")).select(
-        *keys,
-        F.col("_r.type").alias("ai_label"),
-        F.col("_r.confidence").alias("ai_confidence"),
-    )
-
-
 def replay_join(queries: DataFrame, replies: DataFrame) -> DataFrame:
     """Each query with its stored replies; a query without any keeps one empty row.
 
@@ -122,11 +111,16 @@ def merge_labels(rows: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def ask_model(requests: DataFrame, ask: Callable[[str, str], str]) -> DataFrame:
+def ask_model(
+    requests: DataFrame,
+    ask: Callable[[str, str], str],
+    tries: int = TRIES,
+    failed: str = FAILED_REPLY,
+) -> DataFrame:
     """Replies from `ask(system_prompt, prompt)`, run where the rows are.
 
-    Each prompt is tried twice; after that the reply abstains. A lost task asks again,
-    so store the result before using it.
+    A prompt is tried again if the call raises; after the last try the reply is
+    `failed`. A lost task asks again, so store the result before using it.
     """
     keys = [c for c in requests.columns if c not in ("system_prompt", "prompt")]
     schema = T.StructType(
@@ -134,12 +128,12 @@ def ask_model(requests: DataFrame, ask: Callable[[str, str], str]) -> DataFrame:
     )
 
     def reply(system: str, prompt: str) -> str:
-        for _ in range(TRIES):
+        for _ in range(tries):
             try:
                 return ask(system, prompt) or ""
             except Exception:
                 continue
-        return FAILED_REPLY
+        return failed
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

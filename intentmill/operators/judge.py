@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from intentmill.functions.replies import parse_judgement
+from intentmill.functions.replies import parse_judgements
 from intentmill.functions.text import canonical_label
 from intentmill.operators.metrics import any_label, drop_missing_gold, pick_ai_column
 from intentmill.operators.sampling import random_sample
@@ -33,11 +33,7 @@ def judge_rows(
     audit = options.judge_mode != "compare_to_human"
     human, ai = options.human_column, pick_ai_column(rows, options.ai_columns)
     sample = judge_sample(rows, options)
-    columns = [
-        F.col("qid"),
-        F.coalesce(F.col("query"), F.lit("")).alias("query"),
-        canonical_label(F.col(ai)).alias("ai_label"),
-    ]
+    columns = [F.col("qid"), canonical_label(F.col(ai)).alias("ai_label")]
     if not audit:
         if human in rows.columns:
             sample = sample.where(any_label(rows, human))
@@ -45,27 +41,18 @@ def judge_rows(
         else:
             sample = sample.where(F.lit(False))
             label = F.lit(None).cast("string")
-        columns.insert(2, label.alias("human_label_gold"))
+        columns.insert(1, label.alias("human_label_gold"))
+    if "query" in rows.columns:
+        columns.insert(1, F.coalesce(F.col("query"), F.lit("")).alias("query"))
     base = sample.select(*columns)
 
     size = options.judge_sample_size
     if size is not None and size <= BROADCAST_SAMPLE:
         replies = replies.join(F.broadcast(base.select("qid")), "qid", "left_semi")
-    verdict = parse_judgement(
-        F.coalesce(F.col("raw"), F.lit("")), options.allowed, audit
-    ).alias("_v")
-    own_label = [F.col("_v.judge_label").alias("judge_label")] if audit else []
-    return (
-        base.join(replies.select("qid", "raw"), "qid", "left")
-        .select(*base.columns, verdict)
-        .select(
-            *base.columns,
-            *own_label,
-            F.col("_v.decision").alias("judge_decision"),
-            F.col("_v.confidence").alias("judge_confidence"),
-            F.col("_v.rationale").alias("judge_rationale"),
-        )
+    answered = base.join(replies.select("qid", "raw"), "qid", "left").select(
+        *base.columns, F.coalesce("raw", F.lit("")).alias("raw")
     )
+    return parse_judgements(answered, options.allowed, audit)
 
 
 def judge_score(judged_tally: DataFrame) -> DataFrame:

@@ -2,18 +2,18 @@
 
 The table is read once, down to its two label columns, into a tally of a few dozen
 rows: labels outside the class list are folded together, so its size is fixed by the
-class list however dirty the labels are. Every metric is arithmetic on the tally, in
-one aggregate to one row; classes become rows only at the end, so each class is
-present without a join.
+class list however dirty the labels are. Every metric is arithmetic on the tally.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from intentmill.functions.text import canonical_label
 from intentmill.options import CLASSES, EvalOptions
+from intentmill.sources.results import in_plan
 
 _CLASS_FIELDS = (
     "class", "precision", "recall", "f1", "support", "judge_score", "cohen_kappa",
@@ -91,6 +91,10 @@ def _ratio(top: Column, bottom: Column, empty: Column) -> Column:
     )
 
 
+def _harmonic(a: Column, b: Column) -> Column:
+    return F.when(a + b == 0, F.lit(0.0)).otherwise(2 * a * b / F.when(a + b != 0, a + b))
+
+
 def _exact(count: Column) -> Column:
     # squares of counts outgrow 64 bits
     return count.cast("decimal(19,0)")
@@ -105,176 +109,184 @@ def _kappa(n: Column, agree: Column, chance: Column) -> Column:
 
 def confusion(tally: DataFrame, allowed: tuple[str, ...] = CLASSES) -> DataFrame:
     """Every (human, model) pair of classes with its count, zeros included."""
-    counts = tally.where("has_gold").agg(
-        *[
-            F.coalesce(
-                F.sum(F.when((F.col("y") == y) & (F.col("p") == p), F.col("n"))), F.lit(0)
-            ).alias(f"n_{y}_{p}")
-            for y in allowed
-            for p in allowed
-        ]
+    grid = in_plan(
+        tally.sparkSession,
+        [{"y": y, "p": p} for y in allowed for p in allowed],
+        {"y": "string", "p": "string"},
+    )
+    counts = (
+        tally.where("has_gold and y is not null and p is not null")
+        .groupBy("y", "p").agg(F.sum("n").alias("n"))
     )
-    cells = [
-        F.struct(F.lit(y).alias("y"), F.lit(p).alias("p"), F.col(f"n_{y}_{p}").alias("n"))
-        for y in allowed
-        for p in allowed
-    ]
-    return counts.select(F.inline(F.array(*cells)))
+    return grid.join(counts, ["y", "p"], "left").na.fill(0, ["n"])
 
 
-def measures(
-    tally: DataFrame, judged: DataFrame | None = None, options: EvalOptions = EvalOptions()
-) -> DataFrame:
-    """One row: `by_class` (array of structs), `total` (struct), `overall` (struct).
+# the counts kept per class, and for all rows together
+_COUNTS = (
+    "hit", "gold_in", "ai_in", "gold", "ai", "ai_any", "judged", "approved",
+    "judge_hit", "judge_in", "judged_in", "n", "same", "n_any", "n_gold",
+)
 
-    `judged` is a `judge_tally`, or None if no judge was asked.
-    """
-    allowed = options.allowed
-    both = tally.select(F.lit(False).alias("judge"), "has_gold", "y", "p", "same", "n")
+
+def _class_counts(
+    tally: DataFrame, judged: DataFrame | None, options: EvalOptions
+) -> DataFrame:
+    """One row of counts per class and one for `ALL`, in reporting order (`ord`)."""
+    pairs = tally.select(F.lit(False).alias("verdict"), "has_gold", "y", "p", "same", "n")
     if judged is not None:
-        both = both.unionByName(
+        pairs = pairs.unionByName(
             judged.select(
-                F.lit(True).alias("judge"), F.lit(False).alias("has_gold"),
+                F.lit(True).alias("verdict"), F.lit(False).alias("has_gold"),
                 "y", "p", "same", "n",
             )
         )
-    y, p, n = F.col("y"), F.col("p"), F.col("n")
-    row, verdict = ~F.col("judge"), F.col("judge")
-    # rows that count once any human label is known
+    y, p, same = F.col("y"), F.col("p"), F.col("same")
+    verdict, row = F.col("verdict"), ~F.col("verdict")
+    # the rows that count once any human label is known
     kept = row & (F.col("has_gold") if options.drop_missing_gold else F.lit(True))
-    listed = y.isNotNull() & p.isNotNull()
-
-    def total(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, n)), F.lit(0))
-
-    sums = {
-        "has_human": F.coalesce(F.bool_or(row & F.col("has_gold")), F.lit(False)),
-        "n_any": total(row),
-        "n": total(kept),
-        "same": total(kept & F.col("same")),
-        "inside": total(kept & listed),
-        "judged": total(verdict & p.isNotNull()),
-        "approved": total(verdict & p.isNotNull() & F.col("same")),
-        "judged_inside": total(verdict & listed),
-    }
-    for i, c in enumerate(allowed):
-        is_y, is_p = y == c, p == c
-        sums |= {
-            f"tp{i}": total(kept & is_y & is_p),
-            f"row{i}": total(kept & is_y & p.isNotNull()),
-            f"col{i}": total(kept & is_p & y.isNotNull()),
-            f"true{i}": total(kept & is_y),
-            f"pred{i}": total(kept & is_p),
-            f"any{i}": total(row & is_p),
-            f"judged{i}": total(verdict & is_p),
-            f"approved{i}": total(verdict & is_p & F.col("same")),
-            f"jtp{i}": total(verdict & is_y & is_p),
-            f"jrow{i}": total(verdict & is_y & p.isNotNull()),
-            f"jcol{i}": total(verdict & is_p & y.isNotNull()),
-        }
-    counts = both.agg(*[e.alias(name) for name, e in sums.items()])
-
-    human, null = F.col("has_human"), F.lit(None).cast("double")
-    classes = range(len(allowed))
 
-    def if_human(enabled: bool, value: Column) -> Column:
-        return F.when(human, value) if enabled else null
+    def share(of: Column, **counts: Column) -> Column:
+        """What one tally row adds to the counts of a class."""
+        return F.struct(
+            of.alias("class"),
+            *[
+                F.when(counts[name], F.col("n")).otherwise(F.lit(0)).alias(name)
+                if name in counts else F.lit(0).cast("bigint").alias(name)
+                for name in _COUNTS
+            ],
+        )
+
+    shares = F.array(
+        share(
+            F.lit("ALL"), n=kept, same=kept & same, n_any=row, n_gold=F.col("has_gold"),
+            judged=verdict & p.isNotNull(), approved=verdict & p.isNotNull() & same,
+        ),
+        share(
+            y, hit=kept & (y == p), gold_in=kept & p.isNotNull(), gold=kept,
+            judge_hit=verdict & (y == p), judge_in=verdict & p.isNotNull(),
+        ),
+        share(
+            p, ai_in=kept & y.isNotNull(), ai=kept, ai_any=row, judged=verdict,
+            approved=verdict & same, judged_in=verdict & y.isNotNull(),
+        ),
+    )
+    names = in_plan(
+        tally.sparkSession,
+        [{"ord": i, "class": c} for i, c in enumerate((*options.allowed, "ALL"))],
+        {"ord": "bigint", "class": "string"},
+    )
+    sums = (
+        pairs.select(F.inline(shares)).groupBy("class")
+        .agg(*[F.sum(name).alias(name) for name in _COUNTS])
+    )
+    return names.join(sums, "class", "left").na.fill(0)
 
-    def add(name: str) -> Column:
-        out = F.col(f"{name}0")
-        for i in classes[1:]:
-            out = out + F.col(f"{name}{i}")
-        return out
 
-    def products(a: str, b: str) -> Column:
-        out = _exact(F.col(f"{a}0")) * _exact(F.col(f"{b}0"))
-        for i in classes[1:]:
-            out = out + _exact(F.col(f"{a}{i}")) * _exact(F.col(f"{b}{i}"))
-        return out
-
-    zero = F.lit(0.0)
-    rates = {}
-    for i in classes:
-        rates |= {
-            f"precision{i}": _ratio(F.col(f"tp{i}"), F.col(f"col{i}"), zero),
-            f"recall{i}": _ratio(F.col(f"tp{i}"), F.col(f"row{i}"), zero),
-        }
-    f1 = {}
-    for i in classes:
-        a, b = F.col(f"precision{i}"), F.col(f"recall{i}")
-        f1[f"f1{i}"] = F.when(a + b == 0, zero).otherwise(2 * a * b / F.when(a + b != 0, a + b))
-    scored = counts.withColumns(rates).withColumns(f1)
-
-    def one_against_rest(i: int) -> Column:
-        t, q, tp = F.col(f"true{i}"), F.col(f"pred{i}"), F.col(f"tp{i}")
-        chance = _exact(t) * _exact(q) + _exact(F.col("n") - t) * _exact(F.col("n") - q)
-        return _kappa(F.col("n"), tp + (F.col("n") - t - q + tp), chance)
-
-    def macro(name: str) -> Column:
-        return if_human(options.use_prf, add(name) / F.lit(float(len(allowed))))
-
-    support_of_human = (
-        (lambda i: F.col(f"row{i}")) if options.use_prf
-        else (lambda i: F.lit(None).cast("bigint"))
+def measures(
+    tally: DataFrame, judged: DataFrame | None = None, options: EvalOptions = EvalOptions()
+) -> DataFrame:
+    """The metrics of each class, and on the `ALL` row those of the whole table.
+
+    `judged` is a `judge_tally`, or None if no judge was asked.
+    """
+    total = F.col("class") == "ALL"
+    rows = W.partitionBy(F.lit(0)).orderBy("ord").rowsBetween(
+        W.unboundedPreceding, W.unboundedFollowing
     )
-    by_class = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("class"),
-                if_human(options.use_prf, F.col(f"precision{i}")).alias("precision"),
-                if_human(options.use_prf, F.col(f"recall{i}")).alias("recall"),
-                if_human(options.use_prf, F.col(f"f1{i}")).alias("f1"),
-                F.when(human, support_of_human(i)).otherwise(F.col(f"any{i}")).alias("support"),
-                _ratio(F.col(f"approved{i}"), F.col(f"judged{i}"), null).alias("judge_score"),
-                if_human(options.use_kappa, one_against_rest(i)).alias("cohen_kappa"),
-            )
-            for i, c in enumerate(allowed)
-        ]
+
+    def over_all(name: str) -> Column:
+        return F.sum(F.when(total, F.col(name))).over(rows)
+
+    def over_classes(value: Column) -> Column:
+        return F.sum(F.when(~total, value)).over(rows)
+
+    def products(a: str, b: str) -> Column:
+        return over_classes(_exact(F.col(a)) * _exact(F.col(b)))
+
+    zero, null = F.lit(0.0), F.lit(None).cast("double")
+    hit = F.col("hit")
+    counted = (
+        _class_counts(tally, judged, options)
+        .withColumns(
+            {
+                "n_rows": over_all("n"),
+                "human": over_all("n_gold") > 0,
+                "agreed": over_classes(hit),
+                "inside": over_classes(F.col("gold_in")),
+                "chance": products("gold_in", "ai_in"),
+                "judge_agreed": over_classes(F.col("judge_hit")),
+                "judge_inside": over_classes(F.col("judge_in")),
+                "judge_chance": products("judge_in", "judged_in"),
+                "p": _ratio(hit, F.col("ai_in"), zero),
+                "r": _ratio(hit, F.col("gold_in"), zero),
+            }
+        )
+        .withColumn("f", _harmonic(F.col("p"), F.col("r")))
+        .withColumns({f"macro_{c}": over_classes(F.col(c)) for c in "prf"})
     )
-    kappa = if_human(
-        options.use_kappa, _kappa(F.col("inside"), add("tp"), products("row", "col"))
+
+    n, gold, ai = F.col("n_rows"), F.col("gold"), F.col("ai")
+    one_against_rest = _kappa(
+        n,
+        n - gold - ai + 2 * hit,
+        _exact(gold) * _exact(ai) + _exact(n - gold) * _exact(n - ai),
     )
-    judge_on = judged is not None
-    audited = judge_on and options.judge_mode != "compare_to_human"
+    overall_kappa = _kappa(F.col("inside"), F.col("agreed"), F.col("chance"))
+    audited = judged is not None and options.judge_mode != "compare_to_human"
     judge_kappa = (
-        _kappa(F.col("judged_inside"), add("jtp"), products("jrow", "jcol"))
+        _kappa(F.col("judge_inside"), F.col("judge_agreed"), F.col("judge_chance"))
         if audited else null
     )
-    judge_score = _ratio(F.col("approved"), F.col("judged"), null)
-    total_row = F.struct(
-        F.lit("ALL").alias("class"),
-        macro("precision").alias("precision"),
-        macro("recall").alias("recall"),
-        macro("f1").alias("f1"),
-        F.when(human, F.col("n")).otherwise(F.col("n_any")).alias("support"),
-        judge_score.alias("judge_score"),
-        F.coalesce(kappa, judge_kappa).alias("cohen_kappa"),
+
+    def if_human(enabled: bool, value: Column) -> Column:
+        return F.when(F.col("human"), value) if enabled else null
+
+    def rate(c: str) -> Column:
+        mean = F.col(f"macro_{c}") / F.lit(float(len(options.allowed)))
+        return if_human(options.use_prf, F.when(total, mean).otherwise(F.col(c)))
+
+    support = F.when(total, n) if not options.use_prf else F.when(total, n).otherwise(
+        F.col("gold_in")
     )
-    overall = F.struct(
-        if_human(options.use_prf, _ratio(F.col("same"), F.col("n"), zero)).alias("accuracy"),
-        macro("precision").alias("macro_precision"),
-        macro("recall").alias("macro_recall"),
-        macro("f1").alias("macro_f1"),
-        kappa.alias("cohen_kappa"),
-        judge_score.alias("judge_score"),
+    return counted.select(
+        "ord", "class",
+        rate("p").alias("precision"), rate("r").alias("recall"), rate("f").alias("f1"),
+        F.when(F.col("human"), support)
+        .when(total, F.col("n_any"))
+        .otherwise(F.col("ai_any"))
+        .alias("support"),
+        _ratio(F.col("approved"), F.col("judged"), null).alias("judge_score"),
+        if_human(
+            options.use_kappa, F.when(total, overall_kappa).otherwise(one_against_rest)
+        ).alias("cohen_kappa"),
+        if_human(options.use_prf, _ratio(F.col("same"), n, zero)).alias("accuracy"),
         judge_kappa.alias("ai_judge_kappa"),
-        human.alias("has_human_labels"),
+        F.col("human").alias("has_human_labels"),
         F.lit(options.judge_mode if options.judge_on else None).cast("string").alias("judge_mode"),
     )
-    return scored.select(
-        by_class.alias("by_class"), total_row.alias("total"), overall.alias("overall")
-    )
 
 
 def metrics_table(measured: DataFrame) -> DataFrame:
-    """The class rows and the `ALL` row, in fixed column order."""
-    rows = F.concat(F.col("by_class"), F.array("total"))
-    return measured.select(F.inline(rows)).select(*_CLASS_FIELDS)
+    """The class rows and the `ALL` row, in fixed column order.
+
+    Without a kappa against human labels the `ALL` row shows the one against the judge.
+    """
+    kappa = F.when(
+        F.col("class") == "ALL", F.coalesce("cohen_kappa", "ai_judge_kappa")
+    ).otherwise(F.col("cohen_kappa"))
+    return measured.withColumn("cohen_kappa", kappa).select(*_CLASS_FIELDS)
 
 
 def by_class(measured: DataFrame, *fields: str) -> DataFrame:
-    return measured.select(F.inline("by_class")).select("class", *fields)
+    return measured.where(F.col("class") != "ALL").select("class", *fields)
 
 
 def summary(measured: DataFrame) -> DataFrame:
-    return measured.select("overall.*")
+    """The metrics of the whole table, one row."""
+    return measured.where(F.col("class") == "ALL").select(
+        "accuracy",
+        F.col("precision").alias("macro_precision"),
+        F.col("recall").alias("macro_recall"),
+        F.col("f1").alias("macro_f1"),
+        "cohen_kappa", "judge_score", "ai_judge_kappa", "has_human_labels", "judge_mode",
+    )

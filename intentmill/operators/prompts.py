@@ -121,8 +121,12 @@ def judge_prompts(
 ) -> DataFrame:
     labels = [F.lit("\nModel label: "), F.coalesce(F.col(ai_column), F.lit(""))]
     if mode == "compare_to_human":
+        human_label = (
+            F.col(human_column) if human_column in rows.columns
+            else F.lit(None).cast("string")
+        )
         labels = [
-            F.lit("\nHuman label: "), F.coalesce(F.col(human_column), F.lit("")), *labels
+            F.lit("\nHuman label: "), F.coalesce(human_label, F.lit("")), *labels
         ]
     return rows.withColumns(
         {

@@ -16,13 +16,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import pandas as pd
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
 from intentmill.functions.text import canonical_label
-from intentmill.sources.results import save_step
+from intentmill.sources.results import in_plan, save_step
 
 # Tables of counts up to this many rows live in the plan, larger ones in a file.
 PLAN_ROWS = 100_000
@@ -106,7 +105,7 @@ def _last_hashes(
         else:
             edges = [{"cls": e.cls, "edge": e.bucket} for e in open_edges]
             inside = keyed.join(
-                _in_plan(keyed.sparkSession, edges, {"cls": "string", "edge": "string"}), "cls"
+                in_plan(keyed.sparkSession, edges, {"cls": "string", "edge": "string"}), "cls"
             )
         listable = sum(e.n for e in open_edges) <= PLAN_ROWS
         depth = F.lit(_DIGITS) if listable else F.length("edge") + _FINER
@@ -133,13 +132,6 @@ def _end(edge: _Edge | None) -> str | None:
     return edge.bucket + _PAST_BUCKET if edge.need == edge.n else edge.bucket
 
 
-def _in_plan(spark: SparkSession, rows: list[dict], kinds: dict[str, str]) -> DataFrame:
-    """A small table as part of the plan, where the optimizer knows its size."""
-    arrow = {"string": pa.string(), "boolean": pa.bool_(), "bigint": pa.int64()}
-    schema = pa.schema([(name, arrow[kind]) for name, kind in kinds.items()])
-    return spark.createDataFrame(pa.Table.from_pylist(rows, schema=schema))
-
-
 @dataclass
 class _Cut:
     """A population split in two: the rows up to each class's cut-off, and the others."""
@@ -225,7 +217,7 @@ def _cut(
     if tied:
         # several rows share the cut-off hash: go on by a digest of the whole row
         row_digest = _row_digest(columns)
-        shared = _in_plan(
+        shared = in_plan(
             spark, [{"cls": c, "cut": e.bucket} for c, e in tied.items()],
             {"cls": "string", "cut": "string"},
         )
@@ -261,7 +253,7 @@ def _cut(
             {name: F.lit(table[0][name]).cast(kind) for name, kind in _CUT_COLUMNS.items()}
         )
     else:
-        cuts = _in_plan(spark, table, {"_cls": "string"} | _CUT_COLUMNS)
+        cuts = in_plan(spark, table, {"_cls": "string"} | _CUT_COLUMNS)
         marked = marked.join(cuts, "_cls", "left")
     ends = [r["_cut"] for r in table]
     return _Cut(

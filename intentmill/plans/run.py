@@ -8,23 +8,24 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from intentmill.functions.replies import parse_replies
 from intentmill.operators.annotate import (
     ask_model,
-    parse_replies,
     pending_requests,
     with_provenance,
 )
 from intentmill.operators.checks import retry_fold
-from intentmill.operators.judge import judge_rows
+from intentmill.operators.judge import judge_rows, judge_sample
 from intentmill.operators.metrics import (
     judge_tally,
     label_tally,
     measures,
     metrics_table,
+    pick_ai_column,
     summary,
 )
 from intentmill.operators.prepare import load_queries
-from intentmill.operators.prompts import annotation_prompts
+from intentmill.operators.prompts import annotation_prompts, judge_prompts
 from intentmill.operators.votes import vote
 from intentmill.options import AnnotateOptions, EvalOptions, LoadOptions, ValidateOptions
 from intentmill.sources.results import counted, save_step, write_summary, write_tsv
@@ -91,7 +92,7 @@ def run(
     path: str,
     out: str,
     ask: Callable[[str, str], str],
-    ask_judge: Callable[[DataFrame], DataFrame] | None = None,
+    ask_judge: Callable[[str, str], str] | None = None,
     examples: DataFrame | None = None,
     load: LoadOptions = LoadOptions(),
     annotate: AnnotateOptions = AnnotateOptions(),
@@ -100,8 +101,8 @@ def run(
 ) -> RunResult:
     """A whole run from a query-log file to result files under `out`.
 
-    `ask` answers one prompt; `ask_judge` turns the labelled rows into judge replies
-    (qid, raw). Every step's table is stored before the next step reads it.
+    `ask` answers one prompt of the annotator, `ask_judge` one of the judge. Every
+    step's table is stored before the next step reads it.
     """
     loaded, counter = counted(load_queries(read_query_log(spark, path), load), "loaded")
     loaded = check_not_empty(save_step(loaded, f"{out}/loaded"))
@@ -122,9 +123,14 @@ def run(
         labelled = label_from_replies(loaded, replies, annotate, validate)
     labelled = save_step(labelled, f"{out}/validated")
 
-    measured, judged = evaluate(
-        labelled, ask_judge(labelled) if ask_judge and score.judge_on else None, score
-    )
+    verdicts = None
+    if score.judge_on and ask_judge is not None:
+        asked = judge_prompts(
+            judge_sample(labelled, score), score.judge_mode,
+            pick_ai_column(labelled, score.ai_columns), score.human_column,
+        ).select("qid", "system_prompt", "prompt")
+        verdicts = save_step(ask_model(asked, ask_judge, 1, ""), f"{out}/judge-replies")
+    measured, judged = evaluate(labelled, verdicts, score)
     metrics, overall = metrics_table(measured), summary(measured)
     if judged is not None:
         write_tsv(judged, f"{out}/judge_sample.tsv")

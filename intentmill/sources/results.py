@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +51,13 @@ def save_step(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_plan(spark: SparkSession, rows: list[dict], kinds: dict[str, str]) -> DataFrame:
+    """A small table as part of the plan, where the optimizer knows its size."""
+    arrow = {"string": pa.string(), "boolean": pa.bool_(), "bigint": pa.int64()}
+    schema = pa.schema([(name, arrow[kind]) for name, kind in kinds.items()])
+    return spark.createDataFrame(pa.Table.from_pylist(rows, schema=schema))
+
+
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """The frame with a row counter that fills during its first action."""
     counter = Observation(name)

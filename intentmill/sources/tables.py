@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
-from intentmill.functions.replies import one_object
+from intentmill.functions.replies import with_object
 from intentmill.functions.text import strip
 from intentmill.options import REQUIRED_COLUMNS
 
@@ -59,8 +59,8 @@ def read_query_log(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_examples(lines: DataFrame, column: str = "value") -> DataFrame:
     """JSON lines to (query, type); blank, malformed and half-empty lines are skipped."""
-    parsed = lines.select(
-        one_object(strip(F.col(column)), "query string, type string").alias("example")
+    parsed = with_object(
+        lines.select(column), strip(F.col(column)), "query string, type string", "example"
     )
     return parsed.select(
         strip(F.col("example.query")).alias("query"),
