@@ -3,9 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from intentmill.functions.text import clean_query
 
 # Cue words per class, in order of priority.
 CUE_WORDS = {
@@ -22,10 +19,9 @@ CUE_WORDS = {
 }
 
 
-def cue_hits(query: Column) -> dict[str, Column]:
-    """Per class, whether the cleaned query holds one of its cues as whole words."""
-    padded = F.concat(F.lit(" "), clean_query(query), F.lit(" "))
+def cue_hits(cleaned: Column) -> dict[str, Column]:
+    """Per class, whether a cleaned query with a space at both ends holds one of its cues."""
     return {
-        name: padded.rlike(" (" + "|".join(words) + ") ")
+        name: cleaned.rlike(" (?:" + "|".join(words) + ") ")
         for name, words in CUE_WORDS.items()
     }

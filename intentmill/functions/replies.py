@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from intentmill.functions.text import canonical_label, normalize_type, strip
+from intentmill.functions.text import canonical_label, resolve_type, strip
 
 _JSON_OPTIONS = {"allowSingleQuotes": "false"}
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
@@ -74,7 +74,7 @@ def parse_replies(replies: DataFrame, allowed: tuple[str, ...]) -> DataFrame:
         )
         .select(
             *keys,
-            normalize_type(F.col("_type"), allowed).alias("ai_label"),
+            resolve_type(F.col("_type"), allowed).alias("ai_label"),
             clamp(F.coalesce(to_number(F.col("_confidence")), F.lit(0.0))).alias(
                 "ai_confidence"
             ),

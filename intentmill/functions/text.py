@@ -43,16 +43,15 @@ def canonical_label(label: Column) -> Column:
     return F.lower(strip(label.cast("string")))
 
 
-def known_label(label: Column, allowed: tuple[str, ...]) -> Column:
-    """The canonical label if it is in the closed set, else NULL."""
-    canonical = canonical_label(label)
-    return F.when(canonical.isin(*allowed), canonical)
+def resolve_type(canonical: Column, allowed: tuple[str, ...]) -> Column:
+    """A canonical label's class: synonyms mapped, anything else unknown or NULL abstains."""
+    found = F.when(canonical.isin(*allowed), canonical)
+    for target, names in LABEL_ALIASES.items():
+        if target in allowed:
+            found = found.when(canonical.isin(*names), F.lit(target))
+    return found.otherwise(F.lit("abstain"))
 
 
 def normalize_type(label: Column, allowed: tuple[str, ...]) -> Column:
-    """Map synonyms onto their class; anything unknown, empty or NULL abstains."""
-    canonical = canonical_label(label)
-    resolved = canonical
-    for target, names in LABEL_ALIASES.items():
-        resolved = F.when(canonical.isin(*names), F.lit(target)).otherwise(resolved)
-    return F.when(resolved.isin(*allowed), resolved).otherwise(F.lit("abstain"))
+    """The class that a label as written stands for."""
+    return resolve_type(canonical_label(label), allowed)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from intentmill.functions.cues import cue_hits
+from intentmill.functions.text import clean_query
 from intentmill.options import AnnotateOptions
 
 FAILED_REPLY = '{"type": "abstain", "confidence": 0.0}'
@@ -44,14 +45,17 @@ def with_provenance(rows: DataFrame, options: AnnotateOptions = AnnotateOptions(
     )
 
 
-def rule_annotate(queries: DataFrame, column: str = "query") -> DataFrame:
-    """Add `ai_label` and `ai_confidence` from cue words.
+def rule_annotate(queries: DataFrame, cleaned: bool = False) -> DataFrame:
+    """Add `ai_label` and `ai_confidence` from cue words; `cleaned` queries are taken as is.
 
     The first class with a cue wins. Confidence is 0.9 if it is the only one with a
     cue, 0.7 if there are others, 0.4 if no class has one.
     """
-    hits = cue_hits(F.col(column))
-    marked = queries.withColumns({f"_{name}": hit for name, hit in hits.items()})
+    text = F.col("query") if cleaned else clean_query(F.col("query"))
+    hits = cue_hits(F.col("_words"))
+    marked = queries.withColumn("_words", F.concat(F.lit(" "), text, F.lit(" "))).withColumns(
+        {f"_{name}": hit for name, hit in hits.items()}
+    )
     label, found = F.lit("abstain"), F.lit(0)
     for name in reversed(hits):
         label = F.when(F.col(f"_{name}"), F.lit(name)).otherwise(label)

@@ -61,19 +61,15 @@ def judge_score(judged_tally: DataFrame) -> DataFrame:
     Labels outside the class list are left out; a class nobody judged is absent here
     and NULL in the metrics table.
     """
+    shares = (
+        "stack(2, p, n, if(same, n, 0L), "
+        "'ALL', if(p is null, 0L, n), if(same and p is not null, n, 0L)) "
+        "as (class, judged, approved)"
+    )
     return (
-        judged_tally.where("p is not null")
-        .rollup("p")
-        .agg(
-            F.sum("n").alias("judged"),
-            F.coalesce(F.sum(F.when(F.col("same"), F.col("n"))), F.lit(0)).alias("approved"),
-        )
-        .select(
-            F.coalesce("p", F.lit("ALL")).alias("class"),
-            "judged",
-            "approved",
-            (F.col("approved").cast("double") / F.col("judged").cast("double")).alias(
-                "judge_score"
-            ),
-        )
+        judged_tally.selectExpr(shares)
+        .groupBy("class")
+        .agg(F.sum("judged").alias("judged"), F.sum("approved").alias("approved"))
+        .where("class is not null and judged > 0")
+        .selectExpr("class", "judged", "approved", "approved / judged judge_score")
     )

@@ -85,28 +85,6 @@ def judge_tally(judged: DataFrame, allowed: tuple[str, ...] = CLASSES) -> DataFr
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _ratio(top: Column, bottom: Column, empty: Column) -> Column:
-    return F.when(bottom == 0, empty).otherwise(
-        top.cast("double") / F.when(bottom != 0, bottom).cast("double")
-    )
-
-
-def _harmonic(a: Column, b: Column) -> Column:
-    return F.when(a + b == 0, F.lit(0.0)).otherwise(2 * a * b / F.when(a + b != 0, a + b))
-
-
-def _exact(count: Column) -> Column:
-    # squares of counts outgrow 64 bits
-    return count.cast("decimal(19,0)")
-
-
-def _kappa(n: Column, agree: Column, chance: Column) -> Column:
-    """Cohen's kappa from whole numbers: `chance` is the sum of marginal products."""
-    top = _exact(n) * _exact(agree) - chance
-    bottom = _exact(n) * _exact(n) - chance
-    return _ratio(top, bottom, F.lit(0.0))
-
-
 def confusion(tally: DataFrame, allowed: tuple[str, ...] = CLASSES) -> DataFrame:
     """Every (human, model) pair of classes with its count, zeros included."""
     grid = in_plan(
@@ -114,74 +92,86 @@ def confusion(tally: DataFrame, allowed: tuple[str, ...] = CLASSES) -> DataFrame
         [{"y": y, "p": p} for y in allowed for p in allowed],
         {"y": "string", "p": "string"},
     )
+    # a filter here would be pushed into the scan, and whatever made the labels with it
     counts = (
-        tally.where("has_gold and y is not null and p is not null")
+        tally.selectExpr("coalesce(y, '') y", "coalesce(p, '') p", "if(has_gold, n, 0L) n")
         .groupBy("y", "p").agg(F.sum("n").alias("n"))
     )
     return grid.join(counts, ["y", "p"], "left").na.fill(0, ["n"])
 
 
-# the counts kept per class, and for all rows together
-_COUNTS = (
-    "hit", "gold_in", "ai_in", "gold", "ai", "ai_any", "judged", "approved",
-    "judge_hit", "judge_in", "judged_in", "n", "same", "n_any", "n_gold",
-)
+# What one row of the tally adds to the counts of its human label, of its model label
+# and of the whole table. `kept` rows count once any human label is known, `verdict`
+# rows come from the judge.
+_COUNTS = {
+    "hit": ("kept and y = p", None, None),
+    "gold_in": ("kept and p is not null", None, None),
+    "gold": ("kept", None, None),
+    "judge_hit": ("verdict and y = p", None, None),
+    "judge_in": ("verdict and p is not null", None, None),
+    "ai_in": (None, "kept and y is not null", None),
+    "ai": (None, "kept", None),
+    "ai_any": (None, "not verdict", None),
+    "judged_in": (None, "verdict and y is not null", None),
+    "judged": (None, "verdict", "verdict and p is not null"),
+    "approved": (None, "verdict and same", "verdict and p is not null and same"),
+    "n": (None, None, "kept"),
+    "same_n": (None, None, "kept and same"),
+    "n_any": (None, None, "not verdict"),
+    "n_gold": (None, None, "has_gold"),
+}
 
 
 def _class_counts(
     tally: DataFrame, judged: DataFrame | None, options: EvalOptions
 ) -> DataFrame:
     """One row of counts per class and one for `ALL`, in reporting order (`ord`)."""
-    pairs = tally.select(F.lit(False).alias("verdict"), "has_gold", "y", "p", "same", "n")
+    kept = "has_gold" if options.drop_missing_gold else "true"
+    pairs = tally.selectExpr(
+        "false verdict", f"{kept} kept", "has_gold", "y", "p", "same", "n"
+    )
     if judged is not None:
-        pairs = pairs.unionByName(
-            judged.select(
-                F.lit(True).alias("verdict"), F.lit(False).alias("has_gold"),
-                "y", "p", "same", "n",
-            )
-        )
-    y, p, same = F.col("y"), F.col("p"), F.col("same")
-    verdict, row = F.col("verdict"), ~F.col("verdict")
-    # the rows that count once any human label is known
-    kept = row & (F.col("has_gold") if options.drop_missing_gold else F.lit(True))
-
-    def share(of: Column, **counts: Column) -> Column:
-        """What one tally row adds to the counts of a class."""
-        return F.struct(
-            of.alias("class"),
-            *[
-                F.when(counts[name], F.col("n")).otherwise(F.lit(0)).alias(name)
-                if name in counts else F.lit(0).cast("bigint").alias(name)
-                for name in _COUNTS
-            ],
+        pairs = pairs.union(
+            judged.selectExpr("true", "false", "false", "y", "p", "same", "n")
         )
 
-    shares = F.array(
-        share(
-            F.lit("ALL"), n=kept, same=kept & same, n_any=row, n_gold=F.col("has_gold"),
-            judged=verdict & p.isNotNull(), approved=verdict & p.isNotNull() & same,
-        ),
-        share(
-            y, hit=kept & (y == p), gold_in=kept & p.isNotNull(), gold=kept,
-            judge_hit=verdict & (y == p), judge_in=verdict & p.isNotNull(),
-        ),
-        share(
-            p, ai_in=kept & y.isNotNull(), ai=kept, ai_any=row, judged=verdict,
-            approved=verdict & same, judged_in=verdict & y.isNotNull(),
-        ),
+    def share(of: str, place: int) -> str:
+        counts = [
+            f"if({conditions[place]}, n, 0L)" if conditions[place] else "0L"
+            for conditions in _COUNTS.values()
+        ]
+        return f"{of}, {', '.join(counts)}"
+
+    shares = ", ".join((share("y", 0), share("p", 1), share("'ALL'", 2)))
+    sums = (
+        pairs.selectExpr(f"stack(3, {shares}) as (class, {', '.join(_COUNTS)})")
+        .groupBy("class")
+        .agg(*[F.sum(name).alias(name) for name in _COUNTS])
     )
     names = in_plan(
         tally.sparkSession,
         [{"ord": i, "class": c} for i, c in enumerate((*options.allowed, "ALL"))],
         {"ord": "bigint", "class": "string"},
     )
-    sums = (
-        pairs.select(F.inline(shares)).groupBy("class")
-        .agg(*[F.sum(name).alias(name) for name in _COUNTS])
-    )
     return names.join(sums, "class", "left").na.fill(0)
 
 
+def _kappa(n: str, agreed: str, chance: str) -> str:
+    """Cohen's kappa from whole numbers: `chance` is the sum of marginal products.
+
+    Squares of counts outgrow 64 bits, so the products are decimals.
+    """
+    n, agreed = f"cast({n} as decimal(19,0))", f"cast({agreed} as decimal(19,0))"
+    return (
+        f"if({n} * {n} = {chance}, 0D, "
+        f"cast({n} * {agreed} - {chance} as double) / cast({n} * {n} - {chance} as double))"
+    )
+
+
+def _product(a: str, b: str) -> str:
+    return f"cast({a} as decimal(19,0)) * cast({b} as decimal(19,0))"
+
+
 def measures(
     tally: DataFrame, judged: DataFrame | None = None, options: EvalOptions = EvalOptions()
 ) -> DataFrame:
@@ -189,80 +179,60 @@ def measures(
 
     `judged` is a `judge_tally`, or None if no judge was asked.
     """
-    total = F.col("class") == "ALL"
-    rows = W.partitionBy(F.lit(0)).orderBy("ord").rowsBetween(
-        W.unboundedPreceding, W.unboundedFollowing
+    total = "class = 'ALL'"
+    rows = (
+        "over (partition by 0 order by ord "
+        "rows between unbounded preceding and unbounded following)"
     )
 
-    def over_all(name: str) -> Column:
-        return F.sum(F.when(total, F.col(name))).over(rows)
-
-    def over_classes(value: Column) -> Column:
-        return F.sum(F.when(~total, value)).over(rows)
+    def of_table(name: str) -> str:
+        return f"sum(if({total}, {name}, null)) {rows}"
 
-    def products(a: str, b: str) -> Column:
-        return over_classes(_exact(F.col(a)) * _exact(F.col(b)))
+    def over_classes(value: str) -> str:
+        return f"sum(if({total}, null, {value})) {rows}"
 
-    zero, null = F.lit(0.0), F.lit(None).cast("double")
-    hit = F.col("hit")
     counted = (
         _class_counts(tally, judged, options)
-        .withColumns(
-            {
-                "n_rows": over_all("n"),
-                "human": over_all("n_gold") > 0,
-                "agreed": over_classes(hit),
-                "inside": over_classes(F.col("gold_in")),
-                "chance": products("gold_in", "ai_in"),
-                "judge_agreed": over_classes(F.col("judge_hit")),
-                "judge_inside": over_classes(F.col("judge_in")),
-                "judge_chance": products("judge_in", "judged_in"),
-                "p": _ratio(hit, F.col("ai_in"), zero),
-                "r": _ratio(hit, F.col("gold_in"), zero),
-            }
+        .selectExpr(
+            "*",
+            f"{of_table('n')} n_rows",
+            f"{of_table('n_gold')} > 0 human",
+            f"{over_classes('hit')} agreed",
+            f"{over_classes('gold_in')} inside",
+            f"{over_classes(_product('gold_in', 'ai_in'))} chance",
+            f"{over_classes('judge_hit')} judge_agreed",
+            f"{over_classes('judge_in')} judge_inside",
+            f"{over_classes(_product('judge_in', 'judged_in'))} judge_chance",
+            "if(ai_in = 0, 0D, hit / ai_in) p",
+            "if(gold_in = 0, 0D, hit / gold_in) r",
         )
-        .withColumn("f", _harmonic(F.col("p"), F.col("r")))
-        .withColumns({f"macro_{c}": over_classes(F.col(c)) for c in "prf"})
+        .selectExpr("*", "if(p + r = 0, 0D, 2 * p * r / (p + r)) f")
+        .selectExpr("*", *[f"{over_classes(c)} / {len(options.allowed)}D macro_{c}" for c in "prf"])
     )
-
-    n, gold, ai = F.col("n_rows"), F.col("gold"), F.col("ai")
-    one_against_rest = _kappa(
-        n,
-        n - gold - ai + 2 * hit,
-        _exact(gold) * _exact(ai) + _exact(n - gold) * _exact(n - ai),
+    against_rest = _kappa(
+        "n_rows", "(n_rows - gold - ai + 2 * hit)",
+        f"({_product('gold', 'ai')} + {_product('(n_rows - gold)', '(n_rows - ai)')})",
     )
-    overall_kappa = _kappa(F.col("inside"), F.col("agreed"), F.col("chance"))
     audited = judged is not None and options.judge_mode != "compare_to_human"
-    judge_kappa = (
-        _kappa(F.col("judge_inside"), F.col("judge_agreed"), F.col("judge_chance"))
-        if audited else null
-    )
-
-    def if_human(enabled: bool, value: Column) -> Column:
-        return F.when(F.col("human"), value) if enabled else null
-
-    def rate(c: str) -> Column:
-        mean = F.col(f"macro_{c}") / F.lit(float(len(options.allowed)))
-        return if_human(options.use_prf, F.when(total, mean).otherwise(F.col(c)))
-
-    support = F.when(total, n) if not options.use_prf else F.when(total, n).otherwise(
-        F.col("gold_in")
-    )
-    return counted.select(
-        "ord", "class",
-        rate("p").alias("precision"), rate("r").alias("recall"), rate("f").alias("f1"),
-        F.when(F.col("human"), support)
-        .when(total, F.col("n_any"))
-        .otherwise(F.col("ai_any"))
-        .alias("support"),
-        _ratio(F.col("approved"), F.col("judged"), null).alias("judge_score"),
-        if_human(
-            options.use_kappa, F.when(total, overall_kappa).otherwise(one_against_rest)
-        ).alias("cohen_kappa"),
-        if_human(options.use_prf, _ratio(F.col("same"), n, zero)).alias("accuracy"),
-        judge_kappa.alias("ai_judge_kappa"),
-        F.col("human").alias("has_human_labels"),
-        F.lit(options.judge_mode if options.judge_on else None).cast("string").alias("judge_mode"),
+    prf, kappa = ("human" if on else "false" for on in (options.use_prf, options.use_kappa))
+    mode = f"'{options.judge_mode}'" if options.judge_on else "cast(null as string)"
+    return counted.selectExpr(
+        "ord",
+        "class",
+        *[
+            f"if({prf}, if({total}, macro_{c}, {c}), null) {name}"
+            for c, name in (("p", "precision"), ("r", "recall"), ("f", "f1"))
+        ],
+        f"if(human, if({total}, n_rows, if({prf}, gold_in, null)), "
+        f"if({total}, n_any, ai_any)) support",
+        "approved / nullif(judged, 0) judge_score",
+        f"if({kappa}, if({total}, {_kappa('inside', 'agreed', 'chance')}, {against_rest}), null)"
+        " cohen_kappa",
+        f"if({prf}, if(n_rows = 0, 0D, same_n / n_rows), null) accuracy",
+        (_kappa("judge_inside", "judge_agreed", "judge_chance") if audited
+         else "cast(null as double)") + " ai_judge_kappa",
+        "human has_human_labels",
+        f"{mode} judge_mode",
     )
 
 

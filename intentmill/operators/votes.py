@@ -17,41 +17,32 @@ def vote(replies: DataFrame, allowed: tuple[str, ...] = CLASSES) -> DataFrame:
     row in every map task, and there is one shuffle. Confidences are summed as whole
     millionths and the millionths of those, so the sums do not depend on row order.
     """
-    micro = F.floor(F.col("ai_confidence") * 1000000)
-    pico = F.round((F.col("ai_confidence") * 1000000 - micro) * 1000000)
-    counters = []
+    counters, standings = [], []
     for i, label in enumerate(allowed):
-        mine = F.col("ai_label") == label
+        mine = f"ai_label = '{label}'"
         counters += [
-            F.count_if(mine).alias(f"n{i}"),
-            F.sum(F.when(mine, micro)).alias(f"micro{i}"),
-            F.sum(F.when(mine, pico.cast("long"))).alias(f"pico{i}"),
-            F.max(F.when(mine, F.col("ai_confidence"))).alias(f"top{i}"),
-            F.min(F.when(mine, F.col("vote"))).alias(f"first{i}"),
+            f"count_if({mine}) n{i}",
+            f"sum(if({mine}, micro, 0L)) micro{i}",
+            f"sum(if({mine}, pico, 0L)) pico{i}",
+            f"max(if({mine}, ai_confidence, null)) top{i}",
+            f"min(if({mine}, vote, null)) first{i}",
         ]
-
-    def standing(i: int, label: str):
-        total = F.col(f"micro{i}").cast("double") + F.col(f"pico{i}").cast("double") / 1000000
-        return F.when(
-            F.col(f"n{i}") > 0,
-            F.struct(
-                F.col(f"n{i}").alias("votes"),
-                (total / (F.col(f"n{i}") * F.lit(1000000)).cast("double")).alias("mean"),
-                F.col(f"top{i}").alias("top"),
-                (-F.col(f"first{i}")).alias("first"),
-                F.lit(label).alias("label"),
-            ),
+        mean = f"(micro{i} + pico{i} / 1000000D) / (n{i} * 1000000D)"
+        standings.append(
+            f"if(n{i} = 0, null, named_struct('votes', n{i}, 'mean', {mean}, "
+            f"'top', top{i}, 'first', -first{i}, 'label', '{label}'))"
         )
-
-    best = F.greatest(*[standing(i, label) for i, label in enumerate(allowed)])
     return (
-        replies.groupBy("qid", "attempt")
-        .agg(*counters)
-        .select("qid", "attempt", best.alias("best"))
-        .select(
-            "qid", "attempt",
-            F.col("best.label").alias("ai_label"),
-            F.col("best.mean").alias("ai_confidence"),
-            F.col("best.votes").alias("votes"),
+        replies.selectExpr(
+            "qid", "attempt", "vote", "ai_label", "ai_confidence",
+            "floor(ai_confidence * 1000000D) micro",
+        )
+        .selectExpr("*", "bigint(round((ai_confidence * 1000000D - micro) * 1000000D)) pico")
+        .groupBy("qid", "attempt")
+        .agg(*[F.expr(c) for c in counters])
+        .selectExpr("qid", "attempt", f"greatest({', '.join(standings)}) best")
+        .selectExpr(
+            "qid", "attempt", "best.label ai_label", "best.mean ai_confidence",
+            "best.votes votes",
         )
     )

@@ -326,7 +326,7 @@ def rule_run(spark: SparkSession, folder: str) -> DataFrame:
     """Load documents, label them by cue words, flag weak labels, measure."""
     log = prepare.load_queries(inputs.document_log(spark, folder), LoadOptions(split="all"))
     labelled = checks.validate_flags(
-        annotate.rule_annotate(log).withColumn("attempt", F.lit(0))
+        annotate.rule_annotate(log, cleaned=True).withColumn("attempt", F.lit(0))
     )
     return metrics.metrics_table(metrics.measures(metrics.label_tally(labelled)))
 
