@@ -57,7 +57,8 @@ def to_number(text: Column) -> Column:
 
 
 def clamp(number: Column) -> Column:
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), number))
+    """Into [0, 1]; NULL is 0."""
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(number, F.lit(0.0))))
 
 
 def parse_replies(replies: DataFrame, allowed: tuple[str, ...]) -> DataFrame:
@@ -75,9 +76,7 @@ def parse_replies(replies: DataFrame, allowed: tuple[str, ...]) -> DataFrame:
         .select(
             *keys,
             resolve_type(F.col("_type"), allowed).alias("ai_label"),
-            clamp(F.coalesce(to_number(F.col("_confidence")), F.lit(0.0))).alias(
-                "ai_confidence"
-            ),
+            clamp(to_number(F.col("_confidence"))).alias("ai_confidence"),
         )
     )
 
@@ -122,7 +121,7 @@ def parse_judgements(
             F.when(readable & (F.col("_decision") == "correct"), F.lit("correct"))
             .otherwise(F.lit("incorrect"))
             .alias("judge_decision"),
-            F.coalesce(clamp(F.col("_confidence")), F.lit(0.0)).alias("judge_confidence"),
+            clamp(F.col("_confidence")).alias("judge_confidence"),
             F.when(
                 readable,
                 F.substring(
