@@ -137,7 +137,7 @@ _CLEAN = (
 
 
 def _digest(column: str, name: str) -> str:
-    return f"md5({column}) AS {name}_md5, length({column}) AS {name}_chars"
+    return f"md5({column}) AS {name}_md5, CAST(length({column}) AS INTEGER) AS {name}_chars"
 
 
 def _plain_sample(table: str, k: int, columns: str) -> str:
