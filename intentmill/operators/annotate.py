@@ -26,12 +26,13 @@ def needs_annotation(df: DataFrame) -> Column:
 
 
 def replay_join(queries: DataFrame, replies: DataFrame) -> DataFrame:
-    """Each query with its stored replies; a query without any keeps one empty row.
+    """Each query with its stored replies; `pending_requests` finds those without any.
 
-    A query with very many replies makes a skewed partition, which adaptive execution
-    splits. Where only the outcome is wanted, vote first and join the result.
+    A query may have very many replies. An inner join lets adaptive execution split
+    such a partition on either side, which an outer join would not. Where only the
+    outcome is wanted, vote first and join the result.
     """
-    return queries.join(replies, "qid", "left")
+    return queries.join(replies, "qid")
 
 
 def with_provenance(rows: DataFrame, options: AnnotateOptions = AnnotateOptions()) -> DataFrame:

@@ -6,7 +6,7 @@ finer ones inside the bucket that holds the cut. The sample itself is then a fil
 one scan: nothing is sorted, ranked or gathered, whatever its size, and the same rows
 come out on any partitioning.
 
-The histograms are a few thousand rows per class, so the arithmetic on them is done on
+The histograms are some hundred rows per class, so the arithmetic on them is done on
 the driver. If the classes are so many that their histogram is larger than `PLAN_ROWS`,
 it stays a table and the same arithmetic is done in Spark.
 """
@@ -45,13 +45,14 @@ def _row_digest(columns: list[str]) -> Column:
 
 
 def _bucket(digest: Column) -> Column:
-    """Leading zeros and the two digits after them.
+    """Leading zeros and the digit after them.
 
-    No bucket name is a prefix of another, so bucket order is hash order. A bucket is
-    at most a sixteenth of the rows up to its end, however deep the cut lies.
+    No bucket name is a prefix of another, so bucket order is hash order. However deep
+    the cut lies, its bucket holds at most half of the rows up to its end; and a task
+    with many rows still counts only a few dozen buckets.
     """
     zeros = F.length(digest) - F.length(F.ltrim(digest, F.lit("0")))
-    return F.substring(digest, F.lit(1), zeros + 2)
+    return F.substring(digest, F.lit(1), zeros + 1)
 
 
 def _small(df: DataFrame) -> pd.DataFrame | None:
@@ -278,7 +279,7 @@ def random_sample(df: DataFrame, k: int | None, seed: int = 42) -> DataFrame:
 
 
 def _one_class_counts(df: DataFrame, digest: Column) -> pd.DataFrame:
-    # one class has a few thousand buckets at most, however many rows there are
+    # one class has some hundred buckets at most, however many rows there are
     keyed = df.select(F.lit("").alias("cls"), digest.alias("h"))
     return _counts(keyed, _bucket(F.col("h"))).toArrow().to_pandas()
 

@@ -74,15 +74,19 @@ def example_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _with_confidence(df: DataFrame) -> DataFrame:
+    """Add `cs`: `m` thousandths as text, up to 1.199."""
+    return df.withColumn(
+        "cs", F.concat(F.expr("m div 1000"), F.lit("."), F.lpad(F.col("m") % 1000, 3, "0"))
+    )
+
+
 def events(spark: SparkSession, folder: str) -> DataFrame:
-    """Events with the numbers that replies are made of: `m`, and `cs`, up to 1.199."""
+    """Events with the numbers that replies are made of, `m` and `cs`."""
     m = F.round(F.col("value") * 100).cast("bigint") % 1200
-    return (
-        table(spark, folder, "events")
-        .select("event_id", "user_id", "event_type", "props", m.alias("m"))
-        .withColumn(
-            "cs",
-            F.concat(F.expr("m div 1000"), F.lit("."), F.lpad(F.col("m") % 1000, 3, "0")),
+    return _with_confidence(
+        table(spark, folder, "events").select(
+            "event_id", "user_id", "event_type", "props", m.alias("m")
         )
     )
 
@@ -158,10 +162,7 @@ def judge_replies(spark: SparkSession, folder: str) -> DataFrame:
 
 def user_judge_replies(spark: SparkSession, folder: str) -> DataFrame:
     """One judge reply per user, made of their first event."""
-    first = (
-        events(spark, folder)
-        .groupBy("user_id")
-        .agg(F.min_by(F.struct("m", "cs"), "event_id").alias("e"))
-        .select("user_id", "e.m", "e.cs")
+    first = events(spark, folder).groupBy("user_id").agg(F.min_by("m", "event_id").alias("m"))
+    return _with_confidence(first).select(
+        F.col("user_id").cast("string").alias("qid"), judge_text().alias("raw")
     )
-    return first.select(F.col("user_id").cast("string").alias("qid"), judge_text().alias("raw"))

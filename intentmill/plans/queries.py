@@ -63,8 +63,10 @@ def random_sample(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def balanced_sample(spark: SparkSession, folder: str) -> DataFrame:
-    log = inputs.rated_log(spark, folder)
-    return sampling.sample_queries(log, 200).select(
+    """The sample is drawn from ids and labels; its few rows then fetch their texts."""
+    picked = sampling.sample_queries(inputs.rated_log(spark, folder).select("qid", "label"), 200)
+    texts = inputs.document_log(spark, folder).select("qid", "query")
+    return texts.join(F.broadcast(picked), "qid").select(
         "qid", "label", *_digest(F.col("query"), "query")
     )
 

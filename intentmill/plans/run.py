@@ -14,7 +14,7 @@ from intentmill.operators.annotate import (
     pending_requests,
     with_provenance,
 )
-from intentmill.operators.checks import retry_fold
+from intentmill.operators.checks import Rule, constraint_errors, retry_fold
 from intentmill.operators.judge import judge_rows, judge_sample
 from intentmill.operators.metrics import (
     judge_tally,
@@ -98,15 +98,20 @@ def run(
     annotate: AnnotateOptions = AnnotateOptions(),
     validate: ValidateOptions = ValidateOptions(),
     score: EvalOptions = EvalOptions(),
+    rules: list[Rule] | None = None,
 ) -> RunResult:
     """A whole run from a query-log file to result files under `out`.
 
-    `ask` answers one prompt of the annotator, `ask_judge` one of the judge. Every
-    step's table is stored before the next step reads it.
+    `ask` answers one prompt of the annotator, `ask_judge` one of the judge. Loaded rows
+    that break one of the `rules` are listed, not dropped. Every step's table is stored
+    before the next step reads it.
     """
     loaded, counter = counted(load_queries(read_query_log(spark, path), load), "loaded")
     loaded = check_not_empty(save_step(loaded, f"{out}/loaded"))
 
+    if rules:
+        save_step(constraint_errors(loaded, rules), f"{out}/errors")
+
     replies = None
     labelled = loaded
     for attempt in range(validate.max_retries + 1):
@@ -148,6 +153,6 @@ def _requests(
     waiting: DataFrame, annotate: AnnotateOptions, examples: DataFrame | None
 ) -> DataFrame:
     """One prompt per waiting row and vote."""
-    votes = F.explode(F.sequence(F.lit(0), F.lit(max(annotate.votes, 1) - 1)))
+    votes = F.expr(f"explode(sequence(0L, {max(annotate.votes, 1) - 1}L))")
     prompts = annotation_prompts(waiting, annotate.mode, examples).drop("query")
-    return prompts.withColumn("vote", votes.cast("long"))
+    return prompts.withColumn("vote", votes)
