@@ -34,7 +34,8 @@ def clean_query(text: Column, lowercase: bool = True, strip_punct: bool = True)
     """
     if lowercase:
         text = F.lower(text)
-    runs = r"[^\p{L}\p{N}_]+" if strip_punct else r"(?U)[\s\x1c-\x1f]+"
+    # the plain ranges are part of \p{L} and \p{N}, but quicker to test
+    runs = r"[^a-zA-Z0-9_\p{L}\p{N}]+" if strip_punct else r"(?U)[\s\x1c-\x1f]+"
     return F.btrim(F.regexp_replace(text, runs, " "))
 
 

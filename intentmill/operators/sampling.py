@@ -4,7 +4,8 @@ Rows are ordered by a hash of their id, and the sample is the smallest hashes. T
 cut-off hash is found from counts alone: a histogram over leading hash digits, then
 finer ones inside the bucket that holds the cut. The sample itself is then a filter on
 one scan: nothing is sorted, ranked or gathered, whatever its size, and the same rows
-come out on any partitioning.
+come out on any partitioning. The frame is read two or three times, so it should be a
+stored table or cheap to compute, and give the same rows each time.
 
 The histograms are some hundred rows per class, so the arithmetic on them is done on
 the driver. If the classes are so many that their histogram is larger than `PLAN_ROWS`,

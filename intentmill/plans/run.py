@@ -14,7 +14,7 @@ from intentmill.operators.annotate import (
     pending_requests,
     with_provenance,
 )
-from intentmill.operators.checks import Rule, constraint_errors, retry_fold
+from intentmill.operators.checks import Rule, constraint_errors, flag_names, retry_fold
 from intentmill.operators.judge import judge_rows, judge_sample
 from intentmill.operators.metrics import (
     judge_tally,
@@ -48,15 +48,18 @@ def label_from_replies(
     return with_provenance(labelled, annotate)
 
 
-def abstain_unanswered(labelled: DataFrame) -> DataFrame:
+def abstain_unanswered(
+    labelled: DataFrame, validate: ValidateOptions = ValidateOptions()
+) -> DataFrame:
     """Give queries that never got a reply the label of a failed call."""
     missing = F.col("ai_label").isNull()
+    flags = flag_names(F.lit("abstain"), F.lit(0.0), validate)
     return labelled.withColumns(
         {
             "ai_label": F.coalesce("ai_label", F.lit("abstain")),
             "ai_confidence": F.coalesce("ai_confidence", F.lit(0.0)),
             "final_type": F.coalesce("final_type", F.lit("abstain")),
-            "flags": F.when(missing, F.lit("low_confidence,abstain")).otherwise(F.col("flags")),
+            "flags": F.when(missing, flags).otherwise(F.col("flags")),
             "needs_retry": F.when(missing, F.lit(False)).otherwise(F.col("needs_retry")),
             "retry_count": F.coalesce("retry_count", F.lit(0)),
         }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -25,22 +26,26 @@ def write_summary(summary: DataFrame, path: str) -> None:
     ).coalesce(1).write.mode("overwrite").text(path)
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="intentmill-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as the cluster names it.
 
-    A local session without the setting gets a temporary folder, which it then keeps.
+    Only a local session may leave it unset; it then gets a temporary folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="intentmill-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+    return _local_folder()
 
 
 def save_step(df: DataFrame, path: str | None = None) -> DataFrame:
-    """Write a step's table and read it back.
+    """Write a step's table and read it back; without a path, under the shared folder.
 
     Later steps then start from the stored rows: the plan is cut, a lost executor
     costs no recomputation, and a model is not asked twice for the same reply.

@@ -2,7 +2,7 @@ import json
 
 from intentmill.operators.checks import matches
 from intentmill.options import AnnotateOptions, EvalOptions, LoadOptions
-from intentmill.plans.run import run
+from intentmill.plans.run import abstain_unanswered, label_from_replies, run
 from intentmill.sources.results import write_tsv
 
 
@@ -59,3 +59,20 @@ def test_whole_run(spark, tmp_path):
                              "has_human_labels", "judge_mode"]
     assert overall["ai_judge_kappa"] is None
     assert result.annotations.columns == ["qid", "query", "ai_label", "ai_confidence"]
+
+
+def test_labels_from_stored_replies(rows):
+    queries = rows([("1", "a"), ("2", "b"), ("3", "c")], "qid string, query string")
+    weak, good = '{"type": "nav", "confidence": 0.2}', '{"type": "info", "confidence": 0.8}'
+    replies = rows(
+        [("1", 0, 0, weak), ("1", 0, 1, good), ("1", 0, 2, good), ("2", 0, 0, weak),
+         ("9", 0, 0, good)],
+        "qid string, attempt int, vote bigint, raw string")
+    labelled = label_from_replies(queries, replies, AnnotateOptions(model_name="m"))
+    got = {r.qid: r for r in labelled.collect()}
+    assert set(got) == {"1", "2", "3"} and got["3"].ai_label is None
+    assert (got["1"].ai_label, got["1"].ai_confidence, got["1"].needs_retry) == ("factual", 0.8, False)
+    assert (got["2"].flags, got["2"].needs_retry, got["2"].model_name) == ("low_confidence", True, "m")
+    closed = {r.qid: r for r in abstain_unanswered(labelled).collect()}
+    assert closed["2"] == got["2"]
+    assert tuple(closed["3"])[2:8] == ("abstain", 0.0, "low_confidence,abstain", False, 0, "abstain")
