@@ -106,6 +106,7 @@ def constraint_errors(
 ) -> DataFrame:
     """One row (row_id, path, error) per violation; NULL only breaks `required`.
 
+    The errors of a row come in the order of their paths.
     `fail_fast` keeps all errors of the smallest bad row id.
     """
     found = F.array(
@@ -115,7 +116,7 @@ def constraint_errors(
         ]
     )
     errors = (
-        rows.select(F.col(row_id).alias("row_id"), F.explode(found).alias("e"))
+        rows.select(F.col(row_id).alias("row_id"), F.explode(F.sort_array(found)).alias("e"))
         .where("e is not null")
         .select("row_id", "e.path", "e.error")
     )

@@ -12,7 +12,7 @@ from intentmill.options import CLASSES
 MAX_EXAMPLES = 8
 EXAMPLE_SEED = 42
 
-_DEFINITIONS = (
+DEFINITIONS = (
     "- navigational: wants to reach a known site, page or app\n"
     "- factual: wants a fact, a meaning or an explanation\n"
     "- transactional: wants to obtain something, such as a purchase, sign-up or download\n"
@@ -22,14 +22,14 @@ _DEFINITIONS = (
 _ANSWER = 'Answer with one JSON object: {"type": <label>, "confidence": <number from 0 to 1>}'
 
 SYSTEM_ZEROSHOT = (
-    f"You label search queries by intent.\n{_DEFINITIONS}\n{_ANSWER}"
+    f"You label search queries by intent.\n{DEFINITIONS}\n{_ANSWER}"
 )
 SYSTEM_FEWSHOT = (
     "You label search queries by intent. Follow the labelled examples; where they do "
-    f"not help, use these definitions.\n{_DEFINITIONS}\n{_ANSWER}"
+    f"not help, use these definitions.\n{DEFINITIONS}\n{_ANSWER}"
 )
-_ASK_ZEROSHOT = "Pick one label for this query: " + ", ".join(CLASSES) + ".\n"
-_ASK_FEWSHOT = "Now label this query.\n"
+ASK_ZEROSHOT = "Pick one label for this query: " + ", ".join(CLASSES) + ".\n"
+ASK_FEWSHOT = "Now label this query.\n"
 
 JUDGE_SYSTEM = {
     "compare_to_human": (
@@ -41,7 +41,7 @@ JUDGE_SYSTEM = {
         "whether the model's label agrees with yours."
     ),
 }
-_JUDGE_ANSWER = {
+JUDGE_ANSWER = {
     "compare_to_human": (
         'Answer with one JSON object: {"decision": "correct" or "incorrect", '
         '"confidence": <number from 0 to 1>, "rationale": <at most 120 characters>}'
@@ -84,7 +84,7 @@ def zeroshot_prompts(queries: DataFrame) -> DataFrame:
     return queries.withColumns(
         {
             "system_prompt": F.lit(SYSTEM_ZEROSHOT),
-            "prompt": F.concat(F.lit(_ASK_ZEROSHOT), _quoted(F.col("query"))),
+            "prompt": F.concat(F.lit(ASK_ZEROSHOT), _quoted(F.col("query"))),
         }
     )
 
@@ -99,7 +99,7 @@ def fewshot_prompts(queries: DataFrame, shots: DataFrame) -> DataFrame:
     return queries.withColumns(
         {
             "system_prompt": F.lit(SYSTEM_FEWSHOT),
-            "prompt": F.concat(head, F.lit(_ASK_FEWSHOT), _quoted(F.col("query"))),
+            "prompt": F.concat(head, F.lit(ASK_FEWSHOT), _quoted(F.col("query"))),
         }
     )
 
@@ -132,8 +132,8 @@ def judge_prompts(
         {
             "system_prompt": F.lit(JUDGE_SYSTEM[mode]),
             "prompt": F.concat(
-                F.lit(_DEFINITIONS + "\n"), _quoted(F.col("query")), *labels,
-                F.lit("\n" + _JUDGE_ANSWER[mode]),
+                F.lit(DEFINITIONS + "\n"), _quoted(F.col("query")), *labels,
+                F.lit("\n" + JUDGE_ANSWER[mode]),
             ),
         }
     )

@@ -149,8 +149,8 @@ def _plain_sample(table: str, k: int, columns: str) -> str:
 
 # --- prompts ---
 
-_ASK = _text(prompts._ASK_ZEROSHOT) + " || 'Query: \"' || query || '\"'"
-_ASK_WITH_EXAMPLES = _text(prompts._ASK_FEWSHOT) + " || 'Query: \"' || query || '\"'"
+_ASK = _text(prompts.ASK_ZEROSHOT) + " || 'Query: \"' || query || '\"'"
+_ASK_WITH_EXAMPLES = _text(prompts.ASK_FEWSHOT) + " || 'Query: \"' || query || '\"'"
 
 POOL = """
 pool AS (
@@ -168,9 +168,9 @@ def _judge_prompt(mode: str) -> str:
         if mode == "compare_to_human" else ""
     )
     return (
-        f"{_text(prompts._DEFINITIONS)} || chr(10) || 'Query: \"' || query || '\"' {human}"
+        f"{_text(prompts.DEFINITIONS)} || chr(10) || 'Query: \"' || query || '\"' {human}"
         f"|| chr(10) || 'Model label: ' || coalesce(ai, '') || chr(10) || "
-        f"{_text(prompts._JUDGE_ANSWER[mode])}"
+        f"{_text(prompts.JUDGE_ANSWER[mode])}"
     )
 
 

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from intentmill.operators import metrics, sampling
+from intentmill.operators import annotate, metrics, sampling
 from intentmill.operators.votes import vote
 from intentmill.plans import inputs
 from intentmill.plans.queries import QUERIES
@@ -53,3 +53,26 @@ def test_vote_is_one_shuffle_with_map_side_reduction(spark):
 def test_split_filter_reaches_the_scan(spark):
     text = plan(QUERIES["split_filter"](spark, FOLDER))
     assert "PushedFilters: [IsNotNull(lang)]" in text and "text" not in text
+
+
+def test_hot_replies_are_split_in_the_join(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        queries = spark.range(4000).selectExpr("cast(id as string) qid", "uuid() query")
+        # a third of the replies belong to one query
+        replies = spark.range(60_000, numPartitions=8).selectExpr(
+            "cast(if(id % 3 = 0, 7, id % 4000) as string) qid", "id vote", "uuid() raw")
+        joined = annotate.replay_join(queries, replies)
+        assert len(joined.collect()) == 60_000
+        assert "skew=true" in plan(joined)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
