@@ -19,9 +19,7 @@ CUE_WORDS = {
 }
 
 
-def cue_hits(cleaned: Column) -> dict[str, Column]:
-    """Per class, whether a cleaned query with a space at both ends holds one of its cues."""
-    return {
-        name: cleaned.rlike(" (?:" + "|".join(words) + ") ")
-        for name, words in CUE_WORDS.items()
-    }
+def has_cue(cleaned: Column, *classes: str) -> Column:
+    """Whether a cleaned query with a space at both ends holds a cue of these classes."""
+    words = "|".join(word for name in classes for word in CUE_WORDS[name])
+    return cleaned.rlike(f" (?:{words}) ")

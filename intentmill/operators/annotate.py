@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from intentmill.functions.cues import cue_hits
+from intentmill.functions.cues import CUE_WORDS, has_cue
 from intentmill.functions.text import clean_query
 from intentmill.options import AnnotateOptions
 
@@ -53,12 +53,17 @@ def rule_annotate(queries: DataFrame, cleaned: bool = False) -> DataFrame:
     cue, 0.7 if there are others, 0.4 if no class has one.
     """
     text = F.col("query") if cleaned else clean_query(F.col("query"))
-    hits = cue_hits(F.col("_words"))
-    marked = queries.withColumn("_words", F.concat(F.lit(" "), text, F.lit(" "))).withColumns(
-        {f"_{name}": hit for name, hit in hits.items()}
+    padded = F.concat(F.lit(" "), text, F.lit(" "))
+    marked = (
+        queries.withColumn("_words", padded)
+        # most texts hold no cue at all: one look tells, before asking class by class
+        .withColumn("_any", has_cue(F.col("_words"), *CUE_WORDS))
+        .withColumns(
+            {f"_{name}": F.col("_any") & has_cue(F.col("_words"), name) for name in CUE_WORDS}
+        )
     )
     label, found = F.lit("abstain"), F.lit(0)
-    for name in reversed(hits):
+    for name in reversed(CUE_WORDS):
         label = F.when(F.col(f"_{name}"), F.lit(name)).otherwise(label)
         found = found + F.coalesce(F.col(f"_{name}"), F.lit(False)).cast("int")
     return marked.select(
