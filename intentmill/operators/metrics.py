@@ -8,7 +8,6 @@ class list however dirty the labels are. Every metric is arithmetic on the tally
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from intentmill.functions.text import canonical_label
