@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from intentmill.llm import (
     op1_secret_scan,
+    op10_jaccard_join,
     op2_fingerprint,
     op4_token_counts,
     op5_decontamination,
     op6_packing,
+    op7_substring_dedup,
     op9_sharding,
 )
 from intentmill.llm.common import table
@@ -52,6 +54,10 @@ def op6_packing_(spark: SparkSession, folder: str) -> DataFrame:
     return op6_packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_count_min(spark: SparkSession, folder: str) -> DataFrame:
+    return op7_substring_dedup.digests(op7_substring_dedup.remove_repeats(table(spark, folder, "documents")))
+
+
 def op9_resharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = op9_sharding.reshard(table(spark, folder, "documents"))
     return placed.select(
@@ -60,13 +66,20 @@ def op9_resharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_t_occurrence(spark: SparkSession, folder: str) -> DataFrame:
+    found = op10_jaccard_join.jaccard_components(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan_,
     "op2_closed_syncmers": op2_closed_syncmers,
     "op4_token_counts": op4_token_counts_,
     "op5_winnowing": op5_winnowing,
     "op6_packing": op6_packing_,
+    "op7_count_min": op7_count_min,
     "op9_resharding": op9_resharding,
+    "op10_t_occurrence": op10_t_occurrence,
 }
 
 #: Queries that SQL can express on whole tables.
