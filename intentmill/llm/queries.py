@@ -10,10 +10,12 @@ from intentmill.llm import (
     op1_secret_scan,
     op10_jaccard_join,
     op2_fingerprint,
+    op3_quality,
     op4_token_counts,
     op5_decontamination,
     op6_packing,
     op7_substring_dedup,
+    op8_toxicity,
     op9_sharding,
 )
 from intentmill.llm.common import table
@@ -37,6 +39,10 @@ def op2_closed_syncmers(spark: SparkSession, folder: str) -> DataFrame:
     return op2_fingerprint.fingerprint(table(spark, folder, "documents"))
 
 
+def op3_attention_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return op3_quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op4_token_counts_(spark: SparkSession, folder: str) -> DataFrame:
     return op4_token_counts.count_tokens(
         table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json")
@@ -58,6 +64,10 @@ def op7_count_min(spark: SparkSession, folder: str) -> DataFrame:
     return op7_substring_dedup.digests(op7_substring_dedup.remove_repeats(table(spark, folder, "documents")))
 
 
+def op8_levenshtein_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return op8_toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op9_resharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = op9_sharding.reshard(table(spark, folder, "documents"))
     return placed.select(
@@ -74,10 +84,12 @@ def op10_t_occurrence(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scan": op1_secret_scan_,
     "op2_closed_syncmers": op2_closed_syncmers,
+    "op3_attention_quality": op3_attention_quality,
     "op4_token_counts": op4_token_counts_,
     "op5_winnowing": op5_winnowing,
     "op6_packing": op6_packing_,
     "op7_count_min": op7_count_min,
+    "op8_levenshtein_toxicity": op8_levenshtein_toxicity,
     "op9_resharding": op9_resharding,
     "op10_t_occurrence": op10_t_occurrence,
 }
