@@ -32,6 +32,7 @@ from intentmill.llm.learning import labelled_sample, learned
 
 _WORD = re.compile(r"[^\W\d_]+")
 _QUOTES = re.compile(r"[\"“”„«»‹›]")
+_STEMS = range(4, 9)  # lengths of beginnings
 _SHORTEST_FUZZY = 5  # shorter terms have too many neighbours
 
 
@@ -166,11 +167,11 @@ def _terms(rows: pd.DataFrame, least: int, purity: float) -> tuple[dict[str, flo
     for text, label in zip(rows["text"], rows["label"]):
         words = {w for w in _WORD.findall(text.lower()) if len(w) >= 3}
         counts[0][label].update(words)
-        stems = {w[:n] for w in words for n in (4, 5, 6) if len(w) > n}
+        stems = {w[:n] for w in words for n in _STEMS if len(w) > n}
         counts[1][label].update(stems)
         if label:
             for w in words:
-                for n in (4, 5, 6):
+                for n in _STEMS:
                     if len(w) > n:
                         under.setdefault(w[:n], set()).add(w)
     many = max(1, int((rows["label"] == 1).sum()))
@@ -185,7 +186,7 @@ def _terms(rows: pd.DataFrame, least: int, purity: float) -> tuple[dict[str, flo
 
     words = chosen(*counts[0], least)
     stems = {t: w for t, w in chosen(*counts[1], 2 * least).items() if len(under[t]) >= 4}
-    stems = {t: w for t, w in stems.items() if not any(t[:n] in stems for n in range(4, len(t)))}
+    stems = {t: w for t, w in stems.items() if not any(t[:n] in stems for n in range(_STEMS[0], len(t)))}
     return words, stems
 
 

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from intentmill.llm import (
     op1_secret_scan,
     op10_jaccard_join,
@@ -19,6 +20,9 @@ from intentmill.llm import (
     op9_sharding,
 )
 from intentmill.llm.common import table
+from intentmill.llm.oracle import ORACLE_SQL
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 
 def op1_secret_scan_(spark: SparkSession, folder: str) -> DataFrame:
@@ -92,7 +96,5 @@ QUERIES = {
     "op8_levenshtein_toxicity": op8_levenshtein_toxicity,
     "op9_resharding": op9_resharding,
     "op10_t_occurrence": op10_t_occurrence,
+    "pipeline": corpus_pipeline.run,
 }
-
-#: Queries that SQL can express on whole tables.
-ORACLE_SQL: dict[str, str] = {}
