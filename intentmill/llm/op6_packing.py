@@ -1,8 +1,8 @@
 """Packing: window cuts by order-preserving dynamic programming.
 
 A task's documents, in the order read, form one stream of tokens. Cuts may fall at the
-end of a document (free), at the end of a sentence (a small penalty) and, where no
-boundary lies within reach, anywhere (a larger one). The cuts that minimise padding plus
+end of a document (free), at the end of a sentence (a small penalty) and, in stretches
+without either, at every 64th of a window (a larger one). The cuts that minimise padding plus
 penalties follow from f(j) = c(j) + min over i of f(i) + capacity - (p(j) - p(i)): the
 minimum slides over a window and is kept in a monotone queue, so a block of n possible
 cuts takes n steps. Windows whose length is a power of two need no padding; they are
@@ -146,10 +146,12 @@ class Packer:
             steps = np.diff(np.concatenate([[0], inner, [len(tokens)]]))
             marks = inner.tolist()
             costs = [self.sentence_cost] * len(marks)
-            if steps.max() > self.capacity:
+            every = max(1, self.capacity // 64)
+            if steps.max() > 2 * every:  # a long stretch without a boundary may be cut anywhere near
                 full, last = {}, 0
                 for mark in [*marks, len(tokens)]:
-                    full.update(dict.fromkeys(range(last + self.capacity, mark, self.capacity), self.forced_cost))
+                    if mark - last > 2 * every:
+                        full.update(dict.fromkeys(range(last + every, mark, every), self.forced_cost))
                     full[mark], last = self.sentence_cost, mark
                 full.pop(len(tokens))
                 marks, costs = list(full), list(full.values())
@@ -189,7 +191,7 @@ class Packer:
 
 def pack(
     docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1, sentence_cost: float = 4.0,
-    forced_cost: float = 64.0, block_tokens: int = 1_000_000,
+    forced_cost: float = 16.0, block_tokens: int = 1_000_000,
 ) -> DataFrame:
     """Pieces of documents in sequences of at most `capacity` tokens.
 
