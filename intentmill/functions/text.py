@@ -45,12 +45,11 @@ def canonical_label(label: Column) -> Column:
 
 
 def resolve_type(canonical: Column, allowed: tuple[str, ...]) -> Column:
-    """A canonical label's class: synonyms mapped, anything else unknown or NULL abstains."""
-    found = F.when(canonical.isin(*allowed), canonical)
+    """A canonical label's class: synonyms are mapped first, then what is unknown or NULL abstains."""
+    mapped = canonical
     for target, names in LABEL_ALIASES.items():
-        if target in allowed:
-            found = found.when(canonical.isin(*names), F.lit(target))
-    return found.otherwise(F.lit("abstain"))
+        mapped = F.when(canonical.isin(*names), F.lit(target)).otherwise(mapped)
+    return F.when(mapped.isin(*allowed), mapped).otherwise(F.lit("abstain"))
 
 
 def normalize_type(label: Column, allowed: tuple[str, ...]) -> Column:

@@ -15,6 +15,7 @@ from intentmill.options import AnnotateOptions
 
 FAILED_REPLY = '{"type": "abstain", "confidence": 0.0}'
 TRIES = 2
+PROVENANCE = ("model_name", "provider", "prompt_version", "taxonomy_version")
 
 
 def needs_annotation(df: DataFrame) -> Column:
@@ -36,14 +37,7 @@ def replay_join(queries: DataFrame, replies: DataFrame) -> DataFrame:
 
 
 def with_provenance(rows: DataFrame, options: AnnotateOptions = AnnotateOptions()) -> DataFrame:
-    return rows.withColumns(
-        {
-            "model_name": F.lit(options.model_name),
-            "provider": F.lit(options.provider),
-            "prompt_version": F.lit(options.prompt_version),
-            "taxonomy_version": F.lit(options.taxonomy_version),
-        }
-    )
+    return rows.withColumns({name: F.lit(getattr(options, name)) for name in PROVENANCE})
 
 
 def rule_annotate(queries: DataFrame, cleaned: bool = False) -> DataFrame:
@@ -85,11 +79,13 @@ def pending_requests(rows: DataFrame) -> DataFrame:
     )
 
 
-def merge_labels(rows: DataFrame, labels: DataFrame) -> DataFrame:
+def merge_labels(
+    rows: DataFrame, labels: DataFrame, options: AnnotateOptions | None = None
+) -> DataFrame:
     """Put new labels (qid, ai_label, ai_confidence) into the rows that wait for one.
 
     A merged retry counts up `retry_count`; other rows, and rows no label has come
-    for, stay as they are.
+    for, stay as they are. With `options`, merged rows get the provenance of the new labels.
     """
     new = labels.select(
         "qid", F.col("ai_label").alias("_label"), F.col("ai_confidence").alias("_confidence")
@@ -117,19 +113,34 @@ def merge_labels(rows: DataFrame, labels: DataFrame) -> DataFrame:
                 ),
             }
         )
+        .withColumns(_merged_provenance(rows, options))
         .drop("_label", "_confidence", "_taken")
     )
 
 
+def _merged_provenance(rows: DataFrame, options: AnnotateOptions | None) -> dict[str, Column]:
+    if options is None:
+        return {}
+
+    def merged(name: str) -> Column:
+        old = F.col(name) if name in rows.columns else F.lit(None).cast("string")
+        return F.when(F.col("_taken"), F.lit(getattr(options, name))).otherwise(old)
+
+    return {name: merged(name) for name in PROVENANCE}
+
+
 def ask_model(
     requests: DataFrame,
     ask: Callable[[str, str], str],
     tries: int = TRIES,
     failed: str = FAILED_REPLY,
+    parallel: int | None = None,
 ) -> DataFrame:
-    """Replies from `ask(system_prompt, prompt)`, run where the rows are.
+    """Replies from `ask(system_prompt, prompt)`, asked by `parallel` tasks.
 
-    A prompt is tried again if the call raises; after the last try the reply is
+    Requests are dealt out by their keys, as many tasks as the session has cores if
+    nothing else is said: a small file is one partition, which one core would serve. A
+    prompt is tried again if the call raises; after the last try the reply is
     `failed`. A lost task asks again, so store the result before using it.
     """
     keys = [c for c in requests.columns if c not in ("system_prompt", "prompt")]
@@ -150,4 +161,5 @@ def ask_model(
             raw = [reply(s, p) for s, p in zip(batch["system_prompt"], batch["prompt"])]
             yield batch[keys].assign(raw=pd.Series(raw, index=batch.index, dtype="object"))
 
-    return requests.mapInPandas(run, schema)
+    tasks = parallel or requests.sparkSession.sparkContext.defaultParallelism
+    return requests.repartition(tasks, *keys).mapInPandas(run, schema)

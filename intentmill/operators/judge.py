@@ -9,11 +9,8 @@ from intentmill.functions.replies import parse_judgements
 from intentmill.functions.text import canonical_label
 from intentmill.operators.metrics import any_label, drop_missing_gold, pick_ai_column
 from intentmill.operators.sampling import random_sample
-from intentmill.options import EvalOptions
-
-# Ids of a sample up to this size are broadcast to find its replies.
-BROADCAST_SAMPLE = 100_000
-
+from intentmill.options import CLASSES, EvalOptions
+from intentmill.sources.results import in_plan, save_step
 
 def judge_sample(rows: DataFrame, options: EvalOptions = EvalOptions()) -> DataFrame:
     """The rows to be judged: a plain sample of those that are evaluated."""
@@ -22,54 +19,71 @@ def judge_sample(rows: DataFrame, options: EvalOptions = EvalOptions()) -> DataF
     return random_sample(rows, options.judge_sample_size, options.judge_seed)
 
 
+def sample_to_judge(rows: DataFrame, options: EvalOptions = EvalOptions()) -> DataFrame:
+    """`judge_sample`, but no rows if labels are compared and no row has a human one."""
+    human = options.human_column
+    if options.judge_mode != "compare_to_human":
+        return judge_sample(rows, options)
+    if human not in rows.columns:
+        return rows.limit(0)
+    if options.drop_missing_gold:  # what is left has a label: nothing more to ask
+        known = rows.where(F.col(human).isNotNull())
+        return random_sample(known, options.judge_sample_size, options.judge_seed)
+    return judge_sample(rows, options).where(any_label(rows, human))
+
+
 def judge_rows(
-    rows: DataFrame, replies: DataFrame, options: EvalOptions = EvalOptions()
+    rows: DataFrame, replies: DataFrame, options: EvalOptions = EvalOptions(),
+    sample: DataFrame | None = None,
 ) -> DataFrame:
     """The sampled rows with the judge's parsed replies (qid, raw), one reply per row.
 
     A row without a reply counts as a failed call. Comparing with human labels needs
-    some: without them no row is judged.
+    some: without them no row is judged. `sample` is the stored `sample_to_judge`, if
+    the caller has drawn it; else a sample of limited size is drawn and stored here.
     """
     audit = options.judge_mode != "compare_to_human"
     human, ai = options.human_column, pick_ai_column(rows, options.ai_columns)
-    sample = judge_sample(rows, options)
+    if sample is None:
+        wanted = [c for c in ("qid", "query", human, ai) if c in rows.columns]
+        sample = sample_to_judge(rows.select(*wanted), options)
+        if options.judge_sample_size is not None:
+            sample = save_step(sample)
     columns = [F.col("qid"), canonical_label(F.col(ai)).alias("ai_label")]
     if not audit:
-        if human in rows.columns:
-            sample = sample.where(any_label(rows, human))
-            label = canonical_label(F.col(human))
-        else:
-            sample = sample.where(F.lit(False))
-            label = F.lit(None).cast("string")
+        label = canonical_label(F.col(human)) if human in sample.columns else F.lit(None).cast("string")
         columns.insert(1, label.alias("human_label_gold"))
     if "query" in rows.columns:
         columns.insert(1, F.coalesce(F.col("query"), F.lit("")).alias("query"))
     base = sample.select(*columns)
 
-    size = options.judge_sample_size
-    if size is not None and size <= BROADCAST_SAMPLE:
-        replies = replies.join(F.broadcast(base.select("qid")), "qid", "left_semi")
+    if options.judge_sample_size is not None:  # a few of many replies; the plan knows the sample's size
+        replies = replies.join(base.select("qid"), "qid", "left_semi")
     answered = base.join(replies.select("qid", "raw"), "qid", "left").select(
         *base.columns, F.coalesce("raw", F.lit("")).alias("raw")
     )
     return parse_judgements(answered, options.allowed, audit)
 
 
-def judge_score(judged_tally: DataFrame) -> DataFrame:
+def judge_score(judged_tally: DataFrame, allowed: tuple[str, ...] = CLASSES) -> DataFrame:
     """Share of correct verdicts per model label, and over all of them (`ALL`).
 
-    Labels outside the class list are left out; a class nobody judged is absent here
-    and NULL in the metrics table.
+    Labels outside the class list are left out; a class nobody judged has a NULL score.
     """
     shares = (
         "stack(2, p, n, if(same, n, 0L), "
         "'ALL', if(p is null, 0L, n), if(same and p is not null, n, 0L)) "
         "as (class, judged, approved)"
     )
-    return (
+    sums = (
         judged_tally.selectExpr(shares)
         .groupBy("class")
         .agg(F.sum("judged").alias("judged"), F.sum("approved").alias("approved"))
-        .where("class is not null and judged > 0")
-        .selectExpr("class", "judged", "approved", "approved / judged judge_score")
+    )
+    names = in_plan(
+        judged_tally.sparkSession, [{"class": c} for c in (*allowed, "ALL")], {"class": "string"}
+    )
+    return (
+        names.join(sums, "class", "left").na.fill(0, ["judged", "approved"])
+        .selectExpr("class", "judged", "approved", "approved / nullif(judged, 0) judge_score")
     )

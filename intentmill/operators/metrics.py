@@ -214,7 +214,7 @@ def measures(
     )
     audited = judged is not None and options.judge_mode != "compare_to_human"
     prf, kappa = ("human" if on else "false" for on in (options.use_prf, options.use_kappa))
-    mode = f"'{options.judge_mode}'" if options.judge_on else "cast(null as string)"
+    mode = F.lit(options.judge_mode if options.judge_on else None).cast("string")
     return counted.selectExpr(
         "ord",
         "class",
@@ -231,8 +231,7 @@ def measures(
         (_kappa("judge_inside", "judge_agreed", "judge_chance") if audited
          else "cast(null as double)") + " ai_judge_kappa",
         "human has_human_labels",
-        f"{mode} judge_mode",
-    )
+    ).withColumn("judge_mode", mode)
 
 
 def metrics_table(measured: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from intentmill.functions.text import canonical_label
 from intentmill.functions.text import strip
 from intentmill.operators.sampling import rank_hash
 from intentmill.options import CLASSES
@@ -119,15 +120,15 @@ def judge_prompts(
     rows: DataFrame, mode: str = "compare_to_human", ai_column: str = "ai_label",
     human_column: str = "human_label_gold",
 ) -> DataFrame:
-    labels = [F.lit("\nModel label: "), F.coalesce(F.col(ai_column), F.lit(""))]
+    """The judge's question about each row, labels in their canonical form."""
+
+    def shown(name: str) -> Column:
+        known = canonical_label(F.col(name)) if name in rows.columns else F.lit(None).cast("string")
+        return F.coalesce(known, F.lit(""))
+
+    labels = [F.lit("\nModel label: "), shown(ai_column)]
     if mode == "compare_to_human":
-        human_label = (
-            F.col(human_column) if human_column in rows.columns
-            else F.lit(None).cast("string")
-        )
-        labels = [
-            F.lit("\nHuman label: "), F.coalesce(human_label, F.lit("")), *labels
-        ]
+        labels = [F.lit("\nHuman label: "), shown(human_column), *labels]
     return rows.withColumns(
         {
             "system_prompt": F.lit(JUDGE_SYSTEM[mode]),

@@ -17,32 +17,38 @@ def vote(replies: DataFrame, allowed: tuple[str, ...] = CLASSES) -> DataFrame:
     row in every map task, and there is one shuffle. Confidences are summed as whole
     millionths and the millionths of those, so the sums do not depend on row order.
     """
+    label, confidence = F.col("ai_label"), F.col("ai_confidence")
     counters, standings = [], []
-    for i, label in enumerate(allowed):
-        mine = f"ai_label = '{label}'"
+    for i, name in enumerate(allowed):
+        mine = label == F.lit(name)
         counters += [
-            f"count_if({mine}) n{i}",
-            f"sum(if({mine}, micro, 0L)) micro{i}",
-            f"sum(if({mine}, pico, 0L)) pico{i}",
-            f"max(if({mine}, ai_confidence, null)) top{i}",
-            f"min(if({mine}, vote, null)) first{i}",
+            F.count_if(mine).alias(f"n{i}"),
+            F.sum(F.when(mine, F.col("micro")).otherwise(0)).alias(f"micro{i}"),
+            F.sum(F.when(mine, F.col("pico")).otherwise(0)).alias(f"pico{i}"),
+            F.max(F.when(mine, confidence)).alias(f"top{i}"),
+            F.min(F.when(mine, F.col("vote"))).alias(f"first{i}"),
         ]
-        mean = f"(micro{i} + pico{i} / 1000000D) / (n{i} * 1000000D)"
+        n = F.col(f"n{i}")
+        mean = (F.col(f"micro{i}") + F.col(f"pico{i}") / 1e6) / (n * F.lit(1e6))
         standings.append(
-            f"if(n{i} = 0, null, named_struct('votes', n{i}, 'mean', {mean}, "
-            f"'top', top{i}, 'first', -first{i}, 'label', '{label}'))"
+            F.when(
+                n > 0,
+                F.struct(
+                    n.alias("votes"),
+                    F.when(n == 1, F.col(f"top{i}")).otherwise(mean).alias("mean"),  # one vote stands as it is
+                    F.col(f"top{i}").alias("top"), (-F.col(f"first{i}")).alias("first"), F.lit(name).alias("label"),
+                ),
+            )
         )
+    micro = F.floor(confidence * F.lit(1e6))
     return (
-        replies.selectExpr(
-            "qid", "attempt", "vote", "ai_label", "ai_confidence",
-            "floor(ai_confidence * 1000000D) micro",
-        )
-        .selectExpr("*", "bigint(round((ai_confidence * 1000000D - micro) * 1000000D)) pico")
+        replies.select("qid", "attempt", "vote", "ai_label", "ai_confidence", micro.alias("micro"))
+        .withColumn("pico", F.round((confidence * F.lit(1e6) - F.col("micro")) * F.lit(1e6)).cast("bigint"))
         .groupBy("qid", "attempt")
-        .agg(*[F.expr(c) for c in counters])
-        .selectExpr("qid", "attempt", f"greatest({', '.join(standings)}) best")
-        .selectExpr(
-            "qid", "attempt", "best.label ai_label", "best.mean ai_confidence",
-            "best.votes votes",
+        .agg(*counters)
+        .select("qid", "attempt", (F.greatest(*standings) if len(standings) > 1 else standings[0]).alias("best"))
+        .select(
+            "qid", "attempt", F.col("best.label").alias("ai_label"), F.col("best.mean").alias("ai_confidence"),
+            F.col("best.votes").alias("votes"),
         )
     )

@@ -17,6 +17,7 @@ REQUIRED_COLUMNS = ("qid", "query")
 @dataclass(frozen=True)
 class LoadOptions:
     split: str = "validation"            # "all" keeps every split
+    multiline: bool = False              # records of text files may hold quoted line breaks
     lowercase: bool = True
     strip_punct: bool = True
     keep_columns: tuple[str, ...] | None = None
@@ -29,6 +30,7 @@ class LoadOptions:
 class AnnotateOptions:
     mode: str = "zeroshot"               # or "fewshot"
     votes: int = 1
+    parallel: int | None = None          # tasks that ask the model; None: one per core
     model_name: str = "replayed"
     provider: str = "table"
     prompt_version: str = "v1"

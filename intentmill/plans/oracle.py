@@ -95,13 +95,13 @@ _FLAGS = (
 )
 
 
-def _fold(votes: str, name: str) -> str:
+def _fold(votes: str, name: str, retries: int = 1) -> str:
     return f"""
 {name}_flagged AS (SELECT *, {_FLAGS} AS flags FROM {votes}),
 {name}_settled AS (
   SELECT *, false AS needs_retry,
          row_number() OVER (PARTITION BY qid ORDER BY attempt) AS place
-  FROM {name}_flagged WHERE flags = '' OR attempt >= 1),
+  FROM {name}_flagged WHERE flags = '' OR attempt >= {retries}),
 {name}_latest AS (
   SELECT *, true AS needs_retry,
          row_number() OVER (PARTITION BY qid ORDER BY attempt DESC) AS place
@@ -124,7 +124,8 @@ rated AS (
     CASE WHEN quality = 1 AND toxic = 0 THEN 'Factual'
          WHEN quality = 1 AND toxic = 1 THEN 'Transactional'
          WHEN quality = 0 AND toxic = 0 THEN 'Abstain'
-         WHEN quality = 0 AND toxic = 1 THEN 'Navigational' END AS label
+         WHEN quality = 0 AND toxic = 1 THEN 'Navigational' END AS label,
+    d.lang AS data_split, d.source AS url
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
 
 TURNS = """
@@ -164,12 +165,12 @@ shots AS (
 
 def _judge_prompt(mode: str) -> str:
     human = (
-        "|| chr(10) || 'Human label: ' || coalesce(gold, '') "
+        "|| chr(10) || 'Human label: ' || coalesce(lower(trim(gold)), '') "
         if mode == "compare_to_human" else ""
     )
     return (
         f"{_text(prompts.DEFINITIONS)} || chr(10) || 'Query: \"' || query || '\"' {human}"
-        f"|| chr(10) || 'Model label: ' || coalesce(ai, '') || chr(10) || "
+        f"|| chr(10) || 'Model label: ' || coalesce(lower(trim(ai)), '') || chr(10) || "
         f"{_text(prompts.JUDGE_ANSWER[mode])}"
     )
 
@@ -369,8 +370,7 @@ WITH {EVENTS}, rows AS (
 SELECT *, flags <> '' AS needs_retry FROM flagged""",
     "retry_fold": f"WITH {VOTES}, {_fold('votes', 'folded')} SELECT * FROM folded",
     "pending_requests": f"""
-WITH {VOTES}, {LOG},
-first_votes AS (SELECT * FROM votes WHERE attempt = 0), {_fold('first_votes', 'folded')},
+WITH {VOTES}, {LOG}, {_fold('votes', 'folded', 2)},
 waiting AS (
   SELECT l.qid, coalesce(f.retry_count + 1, 0) AS attempt, l.query
   FROM log l LEFT JOIN folded f ON l.qid = f.qid
@@ -386,7 +386,9 @@ SELECT one.qid,
   CASE WHEN waits AND two.qid IS NOT NULL THEN two.ai_confidence ELSE one.ai_confidence END
     AS ai_confidence,
   waits AND two.qid IS NULL AS needs_retry,
-  CAST(CASE WHEN waits AND two.qid IS NOT NULL THEN 1 ELSE 0 END AS INTEGER) AS retry_count
+  CAST(CASE WHEN waits AND two.qid IS NOT NULL THEN 1 ELSE 0 END AS INTEGER) AS retry_count,
+  CASE WHEN waits AND two.qid IS NOT NULL THEN 'second' ELSE 'first' END AS model_name,
+  CASE WHEN waits AND two.qid IS NOT NULL THEN 'v2' ELSE 'v1' END AS prompt_version
 FROM one LEFT JOIN two ON one.qid = two.qid""",
     "constraint_errors": _broken(""),
     "constraint_errors_first": _broken("WHERE row_id = (SELECT min(row_id) FROM bad)"),
@@ -432,10 +434,13 @@ FROM sample s JOIN verdicts v ON s.qid = v.qid""",
 WITH {JUDGED_EVENTS}, scored AS (
   SELECT ai, count(*) AS judged, count(*) FILTER (judge_decision = 'correct') AS approved
   FROM judged WHERE ai IN {_IN_CLASSES} GROUP BY ai),
+{CLASS_TABLE},
 both_levels AS (
-  SELECT ai AS class, judged, approved FROM scored
+  SELECT class, coalesce(judged, 0) AS judged, coalesce(approved, 0) AS approved
+  FROM classes LEFT JOIN scored ON ai = class
   UNION ALL SELECT 'ALL', sum(judged)::BIGINT, sum(approved)::BIGINT FROM scored)
-SELECT *, approved::DOUBLE / judged::DOUBLE AS judge_score FROM both_levels""",
+SELECT *, CASE WHEN judged > 0 THEN approved::DOUBLE / judged::DOUBLE END AS judge_score
+FROM both_levels""",
     "audit_kappa": f"""
 WITH {JUDGED_EVENTS}, {_metrics('labelled', 'judged')}
 SELECT ai_judge_kappa, judge_score FROM whole""",
@@ -458,5 +463,21 @@ judged AS (
         "numbered_events AS (SELECT *, min(event_id) OVER (PARTITION BY user_id) AS first_id FROM ev),\n"
         "first_event AS (",
     ),
+    "replay_labels": f"""
+WITH {VOTES}, {_fold('votes', 'folded')}, {RATED}, whole AS (
+  SELECT r.qid, {_CLEAN.replace('query', 'r.query')} AS q, r.label AS human_label_gold, r.data_split, r.url,
+         coalesce(ai_label, 'abstain') AS ai_label, coalesce(ai_confidence, 0.0::DOUBLE) AS ai_confidence,
+         coalesce(flags, 'low_confidence,abstain') AS flags, coalesce(needs_retry, false) AS needs_retry,
+         CAST(coalesce(retry_count, 0) AS INTEGER) AS retry_count, coalesce(final_type, 'abstain') AS final_type
+  FROM rated r LEFT JOIN folded f ON r.qid = f.qid)
+SELECT * EXCLUDE (q), {_digest('q', 'query')}, 'replayed' AS model_name, 'table' AS provider,
+       'v1' AS prompt_version, 'v1' AS taxonomy_version FROM whole""",
+    "rule_flags": f"""
+WITH {LOG}, {RULES.replace('SELECT qid, label AS gold,', 'SELECT qid, q, label AS gold,').replace(
+    'SELECT *, ' + "' '", 'SELECT *, ' + _CLEAN + " AS q, ' '")},
+flagged AS (SELECT q, ai AS ai_label, ai_confidence FROM ruled),
+shown AS (SELECT *, {_FLAGS} AS flags FROM flagged)
+SELECT ai_label, flags, flags <> '' AS needs_retry, count(*) AS n, CAST(sum(length(q)) AS BIGINT) AS query_chars
+FROM shown GROUP BY ALL""",
     "rule_run": f"WITH {LOG}, {RULES}, {_metrics('ruled')} {_TABLE}",
 }

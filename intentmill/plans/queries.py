@@ -11,7 +11,9 @@ from intentmill.functions.replies import parse_judgements, parse_replies
 from intentmill.functions.text import canonical_label, normalize_type
 from intentmill.operators import annotate, checks, judge, metrics, prepare, prompts, sampling
 from intentmill.operators.votes import vote
-from intentmill.options import CLASSES, EvalOptions, LoadOptions
+from intentmill.options import (
+    CLASSES, AnnotateOptions, EvalOptions, LoadOptions, ValidateOptions,
+)
 from intentmill.plans import inputs, run
 from intentmill.sources.results import save_step
 from intentmill.sources.tables import parse_examples
@@ -63,12 +65,9 @@ def random_sample(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def balanced_sample(spark: SparkSession, folder: str) -> DataFrame:
-    """The sample is drawn from ids and labels; its few rows then fetch their texts."""
-    picked = sampling.sample_queries(inputs.rated_log(spark, folder).select("qid", "label"), 200)
-    texts = inputs.document_log(spark, folder).select("qid", "query")
-    return texts.join(F.broadcast(picked), "qid").select(
-        "qid", "label", *_digest(F.col("query"), "query")
-    )
+    """The sample is drawn from whole rows; counting reads their ids and labels alone."""
+    picked = sampling.sample_queries(inputs.rated_log(spark, folder), 200)
+    return picked.select("qid", "label", *_digest(F.col("query"), "query"))
 
 
 def drop_null_gold(spark: SparkSession, folder: str) -> DataFrame:
@@ -169,10 +168,10 @@ def retry_fold(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pending_requests(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents without a reply, or with a weak first one and no second."""
-    first = _votes(spark, folder).where("attempt = 0")
+    """Documents without a reply, or with weak ones and a retry left."""
+    folded = checks.retry_fold(_votes(spark, folder), ValidateOptions(max_retries=2))
     log = inputs.document_log(spark, folder).select("qid", "query")
-    waiting = annotate.pending_requests(log.join(checks.retry_fold(first), "qid", "left"))
+    waiting = annotate.pending_requests(log.join(folded, "qid", "left"))
     return prompts.zeroshot_prompts(waiting).select(
         "qid", "attempt", *_digest(F.col("prompt"), "prompt")
     )
@@ -184,8 +183,11 @@ def merge_labels(spark: SparkSession, folder: str) -> DataFrame:
     first = checks.validate_flags(votes.where("attempt = 0")).select(
         "qid", "ai_label", "ai_confidence", "needs_retry", F.lit(0).alias("retry_count")
     )
-    return annotate.merge_labels(first, votes.where("attempt = 1")).select(
-        "qid", "ai_label", "ai_confidence", "needs_retry", "retry_count"
+    first = annotate.with_provenance(first, AnnotateOptions(model_name="first"))
+    second = AnnotateOptions(model_name="second", prompt_version="v2")
+    return annotate.merge_labels(first, votes.where("attempt = 1"), second).select(
+        "qid", "ai_label", "ai_confidence", "needs_retry", "retry_count", "model_name",
+        "prompt_version",
     )
 
 
@@ -310,14 +312,27 @@ def audit_kappa(spark: SparkSession, folder: str) -> DataFrame:
 # --- whole runs ---
 
 
-def replay_run(spark: SparkSession, folder: str) -> DataFrame:
-    """Load documents, label them from stored replies with retries, judge, measure."""
+def _replayed(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents loaded, labelled from stored replies with retries, and stored whole."""
     log = prepare.load_queries(inputs.rated_log(spark, folder), LoadOptions(split="all"))
     labelled = run.abstain_unanswered(
         run.label_from_replies(log, inputs.replies(spark, folder))
     )
-    # the texts are not needed from here on
-    labelled = save_step(labelled.drop("query", "url", "data_split"))
+    return save_step(labelled)
+
+
+def replay_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """The labelled table of the run from stored replies, cleaned texts as digests."""
+    return _replayed(spark, folder).select(
+        "qid", *_digest(F.col("query"), "query"), "human_label_gold", "data_split", "url", "ai_label",
+        "ai_confidence", "flags", "needs_retry", "retry_count", "final_type", "model_name", "provider",
+        "prompt_version", "taxonomy_version",
+    )
+
+
+def replay_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Load documents, label them from stored replies with retries, judge, measure."""
+    labelled = _replayed(spark, folder)
     measured, _ = run.evaluate(
         labelled, inputs.user_judge_replies(spark, folder), EvalOptions(use_judge=True)
     )
@@ -325,14 +340,21 @@ def replay_run(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rule_run(spark: SparkSession, folder: str) -> DataFrame:
-    """Load documents, label them by cue words, flag weak labels, measure."""
+    """Load documents, label them by cue words, measure; `rule_flags` shows their flags."""
     log = prepare.load_queries(inputs.document_log(spark, folder), LoadOptions(split="all"))
-    labelled = checks.validate_flags(
-        annotate.rule_annotate(log, cleaned=True).withColumn("attempt", F.lit(0))
-    )
+    labelled = annotate.rule_annotate(log, cleaned=True)
     return metrics.metrics_table(metrics.measures(metrics.label_tally(labelled)))
 
 
+def rule_flags(spark: SparkSession, folder: str) -> DataFrame:
+    """How many documents labelled by cue words have which flags, and their characters."""
+    log = prepare.load_queries(inputs.document_log(spark, folder), LoadOptions(split="all"))
+    labelled = annotate.rule_annotate(log, cleaned=True).withColumn("attempt", F.lit(0))
+    return checks.validate_flags(labelled).groupBy("ai_label", "flags", "needs_retry").agg(
+        F.count("*").alias("n"), F.sum(F.length("query")).cast("bigint").alias("query_chars")
+    )
+
+
 QUERIES = {
     "load_clean": load_clean,
     "split_filter": split_filter,
@@ -369,5 +391,7 @@ QUERIES = {
     "judge_score": judge_score,
     "audit_kappa": audit_kappa,
     "replay_run": replay_run,
+    "replay_labels": replay_labels,
     "rule_run": rule_run,
+    "rule_flags": rule_flags,
 }

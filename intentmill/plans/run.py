@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from intentmill.operators.annotate import (
     with_provenance,
 )
 from intentmill.operators.checks import Rule, constraint_errors, flag_names, retry_fold
-from intentmill.operators.judge import judge_rows, judge_sample
+from intentmill.operators.judge import judge_rows, sample_to_judge
 from intentmill.operators.metrics import (
     judge_tally,
     label_tally,
@@ -44,6 +44,13 @@ def label_from_replies(
     query. Queries without a reply keep a NULL label and are still pending.
     """
     votes = vote(parse_replies(replies, annotate.allowed), annotate.allowed)
+    return label_from_votes(queries, votes, annotate, validate)
+
+
+def label_from_votes(
+    queries: DataFrame, votes: DataFrame, annotate: AnnotateOptions, validate: ValidateOptions
+) -> DataFrame:
+    """As `label_from_replies`, from one voted label per query and attempt."""
     labelled = queries.join(retry_fold(votes, validate), "qid", "left")
     return with_provenance(labelled, annotate)
 
@@ -84,10 +91,13 @@ def evaluate(
 
 @dataclass(frozen=True)
 class RunResult:
+    """Result tables, the number of loaded rows, and what the run was made with."""
+
     annotations: DataFrame
     metrics: DataFrame
     summary: DataFrame
     n_records: int
+    info: dict
 
 
 def run(
@@ -107,15 +117,18 @@ def run(
 
     `ask` answers one prompt of the annotator, `ask_judge` one of the judge. Loaded rows
     that break one of the `rules` are listed, not dropped. Every step's table is stored
-    before the next step reads it.
+    before the next step reads it. If the judge is to compare with human labels and there
+    are none, it is not asked.
     """
-    loaded, counter = counted(load_queries(read_query_log(spark, path), load), "loaded")
+    if score.judge_on and ask_judge is None:
+        raise ValueError("the judge is on but cannot be asked")
+    loaded, counter = counted(load_queries(read_query_log(spark, path, load.multiline), load), "loaded")
     loaded = check_not_empty(save_step(loaded, f"{out}/loaded"))
 
     if rules:
         save_step(constraint_errors(loaded, rules), f"{out}/errors")
 
-    replies = None
+    votes = None
     labelled = loaded
     for attempt in range(validate.max_retries + 1):
         waiting = (
@@ -123,32 +136,44 @@ def run(
             if attempt == 0
             else pending_requests(labelled)
         )
-        if attempt and waiting.isEmpty():
+        asked = save_step(_requests(waiting, annotate, examples), f"{out}/requests-{attempt}")
+        if attempt and asked.isEmpty():
             break
-        asked = _requests(waiting, annotate, examples)
-        new = save_step(ask_model(asked, ask), f"{out}/replies-{attempt}")
-        replies = new if replies is None else replies.unionByName(new)
-        labelled = label_from_replies(loaded, replies, annotate, validate)
+        new = save_step(ask_model(asked, ask, parallel=annotate.parallel), f"{out}/replies-{attempt}")
+        new = save_step(
+            vote(parse_replies(new, annotate.allowed), annotate.allowed), f"{out}/votes-{attempt}"
+        )
+        votes = new if votes is None else votes.unionByName(new)
+        labelled = save_step(
+            label_from_votes(loaded, votes, annotate, validate), f"{out}/labelled-{attempt}"
+        )
     labelled = save_step(labelled, f"{out}/validated")
 
-    verdicts = None
-    if score.judge_on and ask_judge is not None:
-        asked = judge_prompts(
-            judge_sample(labelled, score), score.judge_mode,
-            pick_ai_column(labelled, score.ai_columns), score.human_column,
+    judged = None
+    if score.judge_on:
+        sample = save_step(sample_to_judge(labelled, score), f"{out}/judge-asked")
+        questions = judge_prompts(
+            sample, score.judge_mode, pick_ai_column(labelled, score.ai_columns), score.human_column,
         ).select("qid", "system_prompt", "prompt")
-        verdicts = save_step(ask_model(asked, ask_judge, 1, ""), f"{out}/judge-replies")
-    measured, judged = evaluate(labelled, verdicts, score)
+        verdicts = save_step(
+            ask_model(questions, ask_judge, 1, "", annotate.parallel), f"{out}/judge-replies"
+        )
+        judged = save_step(judge_rows(labelled, verdicts, score, sample), f"{out}/judged")
+    marks = None if judged is None else judge_tally(judged, score.allowed)
+    measured = save_step(measures(label_tally(labelled, score), marks, score), f"{out}/measured")
     metrics, overall = metrics_table(measured), summary(measured)
     if judged is not None:
         write_tsv(judged, f"{out}/judge_sample.tsv")
     write_tsv(metrics.coalesce(1), f"{out}/metrics_by_class.tsv")
     write_summary(overall, f"{out}/summary.json")
+    n_records = counter.get["n_records"]
+    info = {
+        "input": path, "output": out, "split": load.split, "n_records": n_records, "spark": spark.version,
+        "judged": 0 if judged is None else judged.count(),
+        "load": asdict(load), "annotate": asdict(annotate), "validate": asdict(validate), "score": asdict(score),
+    }
     return RunResult(
-        labelled.select("qid", "query", "ai_label", "ai_confidence"),
-        metrics,
-        overall,
-        counter.get["n_records"],
+        labelled.select("qid", "query", "ai_label", "ai_confidence"), metrics, overall, n_records, info
     )
 
 

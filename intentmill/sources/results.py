@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 import pyarrow as pa
@@ -12,8 +10,12 @@ from pyspark.sql import functions as F
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
-    """A folder of tab-separated files with a header."""
-    df.write.mode("overwrite").options(
+    """A folder of tab-separated files with a header; a line break in a text becomes a space.
+
+    So every record is one line and the files can be read back in pieces.
+    """
+    texts = [name for name, kind in df.dtypes if kind == "string"]
+    df.withColumns({c: F.regexp_replace(F.col(c), r"[\r\n]+", " ") for c in texts}).write.mode("overwrite").options(
         sep="\t", header=True, quote='"', escape='"'
     ).csv(path)
 
@@ -26,22 +28,23 @@ def write_summary(summary: DataFrame, path: str) -> None:
     ).coalesce(1).write.mode("overwrite").text(path)
 
 
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="intentmill-")
+_RUN = f"steps-{uuid.uuid4().hex}"  # the folder of this process's steps
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see, as the cluster names it.
+    """A folder all executors see: under spark.checkpoint.dir, if it is unset under the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/{_RUN}"
+
+
+def drop_steps(spark: SparkSession) -> None:
+    """Remove the steps this process stored without a path of their own.
 
-    Only a local session may leave it unset; it then gets a temporary folder.
+    Frames made from them can't be read any more, so this is for the end of a job.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return _local_folder()
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def save_step(df: DataFrame, path: str | None = None) -> DataFrame:

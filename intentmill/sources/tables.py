@@ -31,12 +31,13 @@ def check_not_empty(df: DataFrame, what: str = "records") -> DataFrame:
     return df
 
 
-def read_query_log(spark: SparkSession, path: str) -> DataFrame:
+def read_query_log(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Read a query log by its extension, all columns as text.
 
     `.tsv` and `.csv` have a header. If the header names neither `qid` nor `query`
     the file is read again as two tab-separated columns without a header. A record
-    must not span lines, which keeps one large file splittable.
+    must not span lines, which keeps one large file splittable; `multiline` allows
+    quoted line breaks, and each file is then read by one task.
     """
     suffix = path[path.rfind("."):].rstrip("/").lower() if "." in path else ""
     if suffix == ".parquet":
@@ -44,7 +45,7 @@ def read_query_log(spark: SparkSession, path: str) -> DataFrame:
     if suffix not in _SEPARATORS:
         raise ValueError(f"cannot tell the format of {path}: use .tsv, .csv or .parquet")
 
-    quoting = {"quote": '"', "escape": '"'}
+    quoting = {"quote": '"', "escape": '"', "multiLine": multiline}
     df = (
         spark.read.options(sep=_SEPARATORS[suffix], header=True, **quoting).csv(path)
     )

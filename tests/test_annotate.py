@@ -1,11 +1,13 @@
 from pyspark.sql import functions as F
 
 from intentmill.functions.replies import parse_replies
-from intentmill.operators.annotate import FAILED_REPLY, ask_model, replay_join, rule_annotate
+from intentmill.operators.annotate import (
+    FAILED_REPLY, ask_model, merge_labels, replay_join, rule_annotate,
+)
 from intentmill.operators.prompts import (
     annotation_prompts, example_block, judge_prompts, pick_examples,
 )
-from intentmill.options import CLASSES
+from intentmill.options import CLASSES, AnnotateOptions
 from intentmill.sources.tables import read_examples
 
 
@@ -76,6 +78,20 @@ def test_judge_prompts(rows):
               "qid string, query string, human_label_gold string, ai_label string")
     compare = judge_prompts(df).first().prompt
     audit = judge_prompts(df.drop("human_label_gold"), "audit").first().prompt
-    assert "Human label: Factual" in compare and "judge_label" not in compare
+    assert "Human label: factual" in compare and "judge_label" not in compare
     assert "Human label" not in audit and "judge_label" in audit
     assert judge_prompts(df).where(F.col("prompt").isNull()).isEmpty()
+
+
+def test_requests_are_dealt_to_many_tasks(spark):
+    asked = spark.range(300).coalesce(1).selectExpr("cast(id as string) qid", "0L vote", "'s' system_prompt", "'p' prompt")
+    replies = ask_model(asked, lambda system, prompt: "x", parallel=7)
+    assert replies.rdd.getNumPartitions() == 7 and replies.count() == 300
+
+
+def test_merged_rows_get_new_provenance(rows):
+    old = rows([("1", "a", True, "m1"), ("2", "b", False, "m1")], "qid string, ai_label string, needs_retry boolean, model_name string")
+    new = rows([("1", "c", 0.5), ("2", "c", 0.5)], "qid string, ai_label string, ai_confidence double")
+    merged = merge_labels(old, new, AnnotateOptions(model_name="m2", provider="p2"))
+    assert {r.qid: (r.ai_label, r.model_name, r.provider) for r in merged.collect()} == {
+        "1": ("c", "m2", "p2"), "2": ("b", "m1", None)}

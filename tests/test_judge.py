@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from intentmill.functions.replies import UNREADABLE
 from intentmill.operators.judge import judge_rows, judge_sample, judge_score
 from intentmill.operators.metrics import judge_tally
-from intentmill.options import EvalOptions
+from intentmill.options import CLASSES, EvalOptions
+from intentmill.operators.prompts import judge_prompts
 from intentmill.plans.run import evaluate
 
 SCHEMA = "qid string, query string, human_label_gold string, ai_label string"
@@ -65,7 +66,8 @@ def test_scores(labelled, replies):
     judged = judge_rows(labelled, replies, ON)
     got = {r["class"]: (r.judged, r.approved, r.judge_score)
            for r in judge_score(judge_tally(judged)).collect()}
-    assert got == {"factual": (2, 1, 0.5), "ALL": (2, 1, 0.5)}
+    unjudged = {c: (0, 0, None) for c in CLASSES if c != "factual"}
+    assert got == {"factual": (2, 1, 0.5), "ALL": (2, 1, 0.5)} | unjudged
 
 
 def test_audit_kappa_stands_in_for_the_human_one(labelled, replies):
@@ -91,3 +93,8 @@ def test_sample_size(spark):
     df = spark.range(900).selectExpr("cast(id as string) qid", "'x' human_label_gold")
     assert judge_sample(df).count() == 500
     assert judge_sample(df, replace(ON, judge_sample_size=None)).count() == 900
+
+
+def test_prompts_show_canonical_labels(rows):
+    row = judge_prompts(rows([("1", "a", " Trans ", "FACTUAL ")], SCHEMA)).first()
+    assert "Human label: trans\n" in row.prompt and "Model label: factual\n" in row.prompt

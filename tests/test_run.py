@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from intentmill.operators.checks import matches
 from intentmill.options import AnnotateOptions, EvalOptions, LoadOptions
 from intentmill.plans.run import abstain_unanswered, label_from_replies, run
@@ -58,6 +60,8 @@ def test_whole_run(spark, tmp_path):
                              "cohen_kappa", "judge_score", "ai_judge_kappa",
                              "has_human_labels", "judge_mode"]
     assert overall["ai_judge_kappa"] is None
+    assert result.info["n_records"] == 20 and result.info["judged"] == 7
+    assert result.info["split"] == "train" and result.info["annotate"]["votes"] == 2
     assert result.annotations.columns == ["qid", "query", "ai_label", "ai_confidence"]
 
 
@@ -76,3 +80,28 @@ def test_labels_from_stored_replies(rows):
     closed = {r.qid: r for r in abstain_unanswered(labelled).collect()}
     assert closed["2"] == got["2"]
     assert tuple(closed["3"])[2:8] == ("abstain", 0.0, "low_confidence,abstain", False, 0, "abstain")
+
+
+def _unlabelled(spark, tmp_path):
+    write_tsv(spark.createDataFrame([(str(i), f"q {i}") for i in range(5)], "qid string, query string"),
+              str(tmp_path / "log.tsv"))
+    return str(tmp_path / "log.tsv"), str(tmp_path / "out"), str(tmp_path / "asked")
+
+
+def test_the_judge_is_not_asked_without_human_labels(spark, tmp_path):
+    log, out, asked = _unlabelled(spark, tmp_path)
+
+    def judge(system, prompt):
+        open(asked, "a").write("x")
+        return "{}"
+
+    result = run(spark, log, out, lambda s, p: '{"type": "nav", "confidence": 1}', judge,
+                 load=LoadOptions(split="all"), score=EvalOptions(use_judge=True))
+    assert not (tmp_path / "asked").exists() and result.info["judged"] == 0
+
+
+def test_a_missing_judge_is_told_before_anything_runs(spark, tmp_path):
+    log, out, _ = _unlabelled(spark, tmp_path)
+    with pytest.raises(ValueError):
+        run(spark, log, out, lambda s, p: "{}", score=EvalOptions(use_judge=True))
+    assert not (tmp_path / "out").exists()

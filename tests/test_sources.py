@@ -4,7 +4,9 @@ import pytest
 
 from intentmill.operators.prepare import keep_columns, load_queries
 from intentmill.options import LoadOptions
-from intentmill.sources.results import counted, save_step, shared_folder, write_summary, write_tsv
+from intentmill.sources.results import (
+    counted, drop_steps, save_step, shared_folder, write_summary, write_tsv,
+)
 from intentmill.sources.tables import check_not_empty, read_examples, read_query_log
 
 LOG = (
@@ -113,3 +115,19 @@ def test_steps_and_counters(spark):
     stored = save_step(df)
     assert counter.get["n_records"] == 7 and stored.count() == 7
     assert all(shared_folder(spark) in path for path in stored.inputFiles())
+
+
+def test_line_breaks_in_records(spark, tmp_path):
+    path = tmp_path / "log.csv"
+    path.write_text('qid,query\n1,"two\nlines"\n2,one\n')
+    assert {r.qid: r.query for r in read_query_log(spark, str(path), multiline=True).collect()} == {"1": "two\nlines", "2": "one"}
+    write_tsv(spark.createDataFrame([("1", "two\r\nlines")], "qid string, query string"), str(tmp_path / "out.tsv"))
+    assert read_query_log(spark, str(tmp_path / "out.tsv")).first().query == "two lines"
+
+
+def test_steps_can_be_dropped(spark):
+    step = save_step(spark.range(3))
+    assert step.count() == 3
+    drop_steps(spark)
+    with pytest.raises(Exception):
+        step.count()

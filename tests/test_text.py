@@ -1,5 +1,3 @@
-import re
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,23 +5,27 @@ from intentmill.functions.text import WHITE_SPACE, clean_query, normalize_type,
 from intentmill.options import CLASSES
 
 
-def python_clean(text, lowercase=True, strip_punct=True):
-    text = text.lower() if lowercase else text
-    text = re.sub(r"[^\w\s]", " ", text) if strip_punct else text
-    return re.sub(r"\s+", " ", text).strip()
-
-
-TEXTS = [
-    "Ça va?  c'est 3²—x_y", "?!…—", "", " \t a b\x1cc  ", "été ñ",
-    "snake_case __x", "日本語、テスト", "a\nb\r\nc", "ÀÉÎ ẞ Ω", "1½ ٣ ४", "x" * 40_000 + "!",
+# text, cleaned, cleaned without lower-casing, cleaned with punctuation kept
+CLEANED = [
+    ("Ça va?  c'est 3²—x_y", "ça va c est 3² x_y", "Ça va c est 3² x_y", "ça va? c'est 3²—x_y"),
+    ("?!…—", "", "", "?!…—"),
+    ("", "", "", ""),
+    (" \t a b\x1cc\u00a0 ", "a b c", "a b c", "a b c"),
+    ("Été Ñ", "été ñ", "Été Ñ", "été ñ"),
+    ("snake_case __x", "snake_case __x", "snake_case __x", "snake_case __x"),
+    ("日本語、テスト", "日本語 テスト", "日本語 テスト", "日本語、テスト"),
+    ("a\nB\r\nc", "a b c", "a B c", "a b c"),
+    ("ÀÉÎ ẞ Ω", "àéî ß ω", "ÀÉÎ ẞ Ω", "àéî ß ω"),
+    ("1½ ٣ ४", "1½ ٣ ४", "1½ ٣ ४", "1½ ٣ ४"),
+    ("x" * 40_000 + "!", "x" * 40_000, "x" * 40_000, "x" * 40_000 + "!"),
 ]
 
 
-@pytest.mark.parametrize("lowercase,strip_punct", [(True, True), (False, True), (True, False)])
-def test_clean_query_follows_python(rows, lowercase, strip_punct):
-    df = rows([(t,) for t in TEXTS], "q string")
+@pytest.mark.parametrize("which,lowercase,strip_punct", [(1, True, True), (2, False, True), (3, True, False)])
+def test_clean_query(rows, which, lowercase, strip_punct):
+    df = rows([(c[0],) for c in CLEANED], "q string")
     got = df.select("q", clean_query(F.col("q"), lowercase, strip_punct).alias("c")).collect()
-    assert {r.q: r.c for r in got} == {t: python_clean(t, lowercase, strip_punct) for t in TEXTS}
+    assert {r.q: r.c for r in got} == {c[0]: c[which] for c in CLEANED}
 
 
 def test_cleaning_keeps_null(rows):
@@ -47,3 +49,9 @@ def test_normalize_type(rows):
     df = rows([(k,) for k in cases], "t string")
     got = df.select("t", normalize_type(F.col("t"), CLASSES).alias("n")).collect()
     assert {r.t: r.n for r in got} == cases
+
+
+def test_synonyms_are_mapped_before_the_list_is_asked(rows):
+    df = rows([("info",), ("nav",), ("factual",)], "t string")
+    got = df.select("t", normalize_type(F.col("t"), ("info", "factual")).alias("n")).collect()
+    assert {r.t: r.n for r in got} == {"info": "factual", "nav": "abstain", "factual": "factual"}

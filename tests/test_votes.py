@@ -52,3 +52,16 @@ def test_hot_query_sums_exactly(spark):
     df = spark.range(200_000).selectExpr(
         "'q' qid", "0 attempt", "id vote", "'factual' ai_label", "0.1D ai_confidence")
     assert vote(df).first().ai_confidence == 0.1
+
+
+def test_a_single_vote_stands_as_it_is(rows):
+    df = rows([("1", 0, 0, "factual", 0.5999999999999999), ("2", 0, 0, "factual", 0.123456789012345)],
+              "qid string, attempt int, vote long, ai_label string, ai_confidence double")
+    assert {r.qid: r.ai_confidence for r in vote(df).collect()} == {"1": 0.5999999999999999, "2": 0.123456789012345}
+
+
+def test_any_label_list(rows):
+    df = rows([("1", 0, 0, "it's", 0.5), ("1", 0, 1, "it's", 0.7)],
+              "qid string, attempt int, vote long, ai_label string, ai_confidence double")
+    for allowed in (("it's",), ("it's", 'a "b" \\')):
+        assert tuple(vote(df, allowed).first()) == ("1", 0, "it's", 0.6, 2)
