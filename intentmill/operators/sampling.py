@@ -1,34 +1,31 @@
 """Exact, repeatable samples as a row predicate.
 
 Rows are ordered by a hash of their id, and the sample is the smallest hashes. The
-cut-off hash is found from counts alone: a histogram over leading hash digits, then
-finer ones inside the bucket that holds the cut. The sample itself is then a filter on
+cut-off hash per class is found from counts alone: a histogram over leading hash digits,
+then finer ones inside the bucket that holds the cut. The sample itself is then a filter on
 one scan: nothing is sorted, ranked or gathered, whatever its size, and the same rows
-come out on any partitioning. The frame is read two or three times, so it should be a
+come out on any partitioning. The frame is read a few times, so it should be a
 stored table or cheap to compute, and give the same rows each time.
 
-The histograms are some hundred rows per class, so the arithmetic on them is done on
-the driver. If the classes are so many that their histogram is larger than `PLAN_ROWS`,
-it stays a table and the same arithmetic is done in Spark.
+Histograms, quotas and cut-offs are tables, stored between rounds, for any number of
+classes; a round leaves at most 4,096 counts per class. Only single numbers reach the
+driver, and for a sample without classes its one cut-off.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from intentmill.functions.text import canonical_label
-from intentmill.sources.results import in_plan, save_step
+from intentmill.sources.results import save_step
 
-# Tables of counts up to this many rows live in the plan, larger ones in a file.
-PLAN_ROWS = 100_000
 _COPIES_PER_ROW = 10_000
 _DIGITS = 32                 # length of a hex digest
-_FINER = 3                   # digits added when a bucket is too full to list its hashes
+_FINER = 3                   # digits added in a round, so 4,096 counts per class
 _PAST_BUCKET = "g"           # sorts after every hex digit
 
 
@@ -56,82 +53,53 @@ def _bucket(digest: Column) -> Column:
     return F.substring(digest, F.lit(1), zeros + 1)
 
 
-def _small(df: DataFrame) -> pd.DataFrame | None:
-    rows = df.limit(PLAN_ROWS + 1).toArrow()
-    return rows.to_pandas() if rows.num_rows <= PLAN_ROWS else None
-
-
 def _counts(keyed: DataFrame, bucket: Column) -> DataFrame:
     return keyed.groupBy("cls", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@dataclass(frozen=True)
-class _Edge:
-    """Where a class reaches its quota: `need` of the `n` rows in `bucket` are taken."""
-
-    cls: str
-    bucket: str
-    n: int
-    need: int
-
-
-def _edges(counts: pd.DataFrame, quotas: dict[str, int]) -> list[_Edge]:
-    """Per class with more rows than its quota: the bucket in which the quota is reached."""
-    found = []
-    for cls, rows in counts.groupby("cls"):
-        quota = quotas.get(cls)
-        if quota is None or rows["n"].sum() <= quota:
-            continue
-        rows = rows.sort_values("bucket")
-        upto = rows["n"].cumsum()
-        i = int(upto.searchsorted(quota))
-        n = int(rows["n"].iloc[i])
-        found.append(_Edge(cls, rows["bucket"].iloc[i], n, quota - (int(upto.iloc[i]) - n)))
-    return found
-
-
-def _last_hashes(
-    keyed: DataFrame, counts: pd.DataFrame, quotas: dict[str, int]
-) -> list[_Edge]:
-    """Narrow each class's edge down until all its rows, or one hash, are in the bucket."""
-    done, open_edges = [], _edges(counts, quotas)
-    while True:
-        done += [e for e in open_edges if e.need == e.n or len(e.bucket) == _DIGITS]
-        open_edges = [e for e in open_edges if e.need < e.n and len(e.bucket) < _DIGITS]
-        if not open_edges:
-            return done
-        if len(open_edges) == 1:
-            inside = keyed.withColumn("edge", F.lit(open_edges[0].bucket)).where(
-                F.col("cls") == open_edges[0].cls
-            )
-        else:
-            edges = [{"cls": e.cls, "edge": e.bucket} for e in open_edges]
-            inside = keyed.join(
-                in_plan(keyed.sparkSession, edges, {"cls": "string", "edge": "string"}), "cls"
-            )
-        listable = sum(e.n for e in open_edges) <= PLAN_ROWS
-        depth = F.lit(_DIGITS) if listable else F.length("edge") + _FINER
-        finer = (
-            _counts(
-                inside.where(F.col("h").startswith(F.col("edge"))),
-                F.substring(F.col("h"), F.lit(1), depth),
-            )
-            .toArrow()
-            .to_pandas()
-        )
-        open_edges = _edges_within(finer, open_edges)
-
+def _reaching(counts: DataFrame, quota: str, order: str) -> DataFrame:
+    """Per class the count in which `quota` is reached, with `need`, what is taken of its `n`."""
+    upto = F.sum("n").over(W.partitionBy("cls").orderBy(order))
+    before = F.col("upto") - F.col("n")
+    return (
+        counts.withColumn("upto", upto)
+        .where((F.col("upto") >= F.col(quota)) & (before < F.col(quota)))
+        .withColumn("need", F.col(quota) - before)
+    )
 
-def _edges_within(finer: pd.DataFrame, edges: list[_Edge]) -> list[_Edge]:
-    inner = {e.cls: e for e in _edges(finer, {e.cls: e.need for e in edges})}
-    return [inner[e.cls] for e in edges]
 
+def _last_hashes(keyed: DataFrame, counts: DataFrame, quotas: DataFrame) -> DataFrame:
+    """Per class with more rows than its quota: `cut`, and of its `total` rows how many to `take`.
 
-def _end(edge: _Edge | None) -> str | None:
-    """The hash up to which rows are taken; None takes the whole class."""
-    if edge is None:
-        return None
-    return edge.bucket + _PAST_BUCKET if edge.need == edge.n else edge.bucket
+    `cut` is a whole hash, or the beginning of one if all rows that begin so are taken.
+    `quotas` has the classes' row counts as `size`.
+    """
+    full = quotas.where("size > quota").select("cls", "quota")
+    edges = save_step(
+        _reaching(counts.join(full, "cls"), "quota", "bucket").select(
+            "cls", "bucket", F.col("bucket").alias("cut"), "need", "n"
+        )
+    )
+    done = None
+    while True:
+        is_open = (F.col("need") < F.col("n")) & (F.length("cut") < _DIGITS)
+        settled = edges.where(~is_open)
+        done = settled if done is None else done.unionByName(settled)
+        most = edges.where(is_open).agg(F.max("n")).first()[0]
+        if most is None:
+            return done.select("cls", "cut", F.col("need").alias("take"), F.col("n").alias("total"))
+        depth = F.lit(_DIGITS) if most <= 16**_FINER else F.length("cut") + _FINER
+        inside = (
+            keyed.withColumn("bucket", _bucket(F.col("h")))
+            .join(edges.where(is_open).drop("n"), ["cls", "bucket"])
+            .where(F.col("h").startswith(F.col("cut")))
+            .groupBy("cls", "bucket", "need", F.substring(F.col("h"), F.lit(1), depth).alias("finer"))
+            .agg(F.count(F.lit(1)).alias("n"))
+            .withColumnRenamed("need", "open")
+        )
+        edges = save_step(
+            _reaching(inside, "open", "finer").select("cls", "bucket", F.col("finer").alias("cut"), "need", "n")
+        )
 
 
 @dataclass
@@ -197,75 +165,73 @@ class _Cut:
         )
 
 
-_CUT_COLUMNS = {
-    "_listed": "boolean", "_cut": "string", "_whole": "boolean", "_cut2": "string",
-    "_whole2": "boolean", "_take2": "bigint", "_spare2": "bigint",
-}
-
-
-def _cut(
-    df: DataFrame, cls: Column | None, digest: Column, counts: pd.DataFrame,
-    quotas: dict[str, int],
-) -> _Cut:
-    """Split `df` at the per-class `quotas` of smallest digests; no `cls` is one class."""
-    spark, columns = df.sparkSession, df.columns
+def _cut(df: DataFrame, cls: Column | None, digest: Column, counts: DataFrame, quotas: DataFrame) -> _Cut:
+    """Split `df` at the quotas (cls, size, quota) of smallest digests; no `cls` is one class."""
     label = F.lit("") if cls is None else cls
     keyed = df.select(label.alias("cls"), digest.alias("h"))
-    last = {e.cls: e for e in _last_hashes(keyed, counts, quotas)}
-
-    tied = {c: e for c, e in last.items() if e.need < e.n}
-    finer: dict[str, _Edge] = {}
-    row_digest = F.lit(None).cast("string")
+    cuts = save_step(_last_hashes(keyed, counts, quotas))
+    ties = cuts.where("take < total").select(
+        "cls", "cut", F.col("total").alias("size"), F.col("take").alias("quota")
+    )
+    tied = not ties.isEmpty()
+    row_digest, finer = F.lit(None).cast("string"), None
     if tied:
         # several rows share the cut-off hash: go on by a digest of the whole row
-        row_digest = _row_digest(columns)
-        shared = in_plan(
-            spark, [{"cls": c, "cut": e.bucket} for c, e in tied.items()],
-            {"cls": "string", "cut": "string"},
-        )
+        row_digest = _row_digest(df.columns)
         rows = (
             df.select(label.alias("cls"), digest.alias("cut"), row_digest.alias("h"))
-            .join(shared, ["cls", "cut"])
+            .join(ties.select("cls", "cut"), ["cls", "cut"])
             .select("cls", "h")
         )
-        again = _counts(rows, _bucket(F.col("h"))).toArrow().to_pandas()
-        finer = {
-            e.cls: e
-            for e in _last_hashes(rows, again, {c: e.need for c, e in tied.items()})
-        }
-
-    table = []
-    for c in quotas:
-        edge, inner = last.get(c), finer.get(c)
-        table.append(
-            {
-                "_cls": c,
-                "_listed": True,
-                "_cut": _end(edge),
-                "_whole": edge is not None and edge.need == edge.n,
-                "_cut2": _end(inner),
-                "_whole2": inner is not None and inner.need == inner.n,
-                "_take2": inner.need if inner else None,
-                "_spare2": inner.n - inner.need if inner else None,
-            }
+        finer = _last_hashes(rows, _counts(rows, _bucket(F.col("h"))), ties)
+    else:
+        finer = cuts.limit(0)
+    end = lambda part, whole: F.when(whole, F.concat(part, F.lit(_PAST_BUCKET))).otherwise(part)
+    whole, whole2 = F.col("take") == F.col("total"), F.col("take2") == F.col("total2")
+    table = save_step(
+        quotas.select("cls")
+        .join(cuts, "cls", "left")
+        .join(finer.toDF("cls", "cut2", "take2", "total2"), "cls", "left")
+        .select(
+            F.col("cls").alias("_cls"),
+            F.lit(True).alias("_listed"),
+            end(F.col("cut"), whole).alias("_cut"),
+            whole.alias("_whole"),
+            end(F.col("cut2"), whole2).alias("_cut2"),
+            whole2.alias("_whole2"),
+            F.col("take2").alias("_take2"),
+            (F.col("total2") - F.col("take2")).alias("_spare2"),
         )
+    )
+    bounds = table.agg(F.max("_cut"), F.count("*") - F.count("_cut"), F.count(F.when(F.col("_spare2") > 0, 1))).first()
     marked = df.withColumns({"_cls": label, "_h": digest, "_digest": row_digest})
     if cls is None:
+        only = table.first()
         marked = marked.withColumns(
-            {name: F.lit(table[0][name]).cast(kind) for name, kind in _CUT_COLUMNS.items()}
+            {f.name: F.lit(only[f.name]).cast(f.dataType) for f in table.schema if f.name != "_cls"}
         )
     else:
-        cuts = in_plan(spark, table, {"_cls": "string"} | _CUT_COLUMNS)
-        marked = marked.join(cuts, "_cls", "left")
-    ends = [r["_cut"] for r in table]
+        # by class and first digit of the hash: a class of very many rows is sixteen groups
+        digits = F.explode(F.array(*[F.lit(c) for c in "0123456789abcdef"]))
+        marked = (
+            marked.withColumn("_digit", F.substring("_h", 1, 1))
+            .join(table.withColumn("_digit", digits), ["_cls", "_digit"], "left")
+            .drop("_digit")
+        )
     return _Cut(
-        marked, columns,
-        bound=None if None in ends else max(ends),
-        copies=any(e.need < e.n for e in finer.values()),
-        tied=bool(tied),
+        marked, df.columns, bound=None if bounds[1] else bounds[0], copies=bounds[2] > 0, tied=tied
     )
 
 
+def _one_class(df: DataFrame, digest: Column, k: int) -> tuple[DataFrame, DataFrame, int]:
+    """The counts, the quota and the size of a population without classes."""
+    keyed = df.select(F.lit("").alias("cls"), digest.alias("h"))
+    counts = save_step(_counts(keyed, _bucket(F.col("h"))))
+    size = counts.agg(F.sum("n")).first()[0] or 0
+    quota = df.sparkSession.createDataFrame([("", size, k)], "cls string, size long, quota long")
+    return counts, quota, size
+
+
 def random_sample(df: DataFrame, k: int | None, seed: int = 42) -> DataFrame:
     """Exactly min(k, n) rows without replacement; all rows if no size is given."""
     if k is None:
@@ -273,16 +239,8 @@ def random_sample(df: DataFrame, k: int | None, seed: int = 42) -> DataFrame:
     if k <= 0:
         return df.limit(0)
     digest = rank_hash(seed)
-    counts = _one_class_counts(df, digest)
-    if k >= counts["n"].sum():
-        return df
-    return _cut(df, None, digest, counts, {"": k}).taken()
-
-
-def _one_class_counts(df: DataFrame, digest: Column) -> pd.DataFrame:
-    # one class has some hundred buckets at most, however many rows there are
-    keyed = df.select(F.lit("").alias("cls"), digest.alias("h"))
-    return _counts(keyed, _bucket(F.col("h"))).toArrow().to_pandas()
+    counts, quota, size = _one_class(df, digest, k)
+    return df if k >= size else _cut(df, None, digest, counts, quota).taken()
 
 
 def balanced_sample(df: DataFrame, k: int, by: str = "label", seed: int = 42) -> DataFrame:
@@ -290,35 +248,29 @@ def balanced_sample(df: DataFrame, k: int, by: str = "label", seed: int = 42) ->
 
     Every class gets k div m rows and the first k mod m classes by name one more. A
     class with fewer rows gives all it has; what is then short is filled at random
-    from all rows left, those without a class included.
+    from all rows left, those without a class included. If there are more classes than
+    rows to take, the first k classes get a row each.
     """
     if k <= 0:
         return df.limit(0)
     cls, digest = canonical_label(F.col(by)), rank_hash(seed)
-    counted = _counts(df.select(cls.alias("cls"), digest.alias("h")), _bucket(F.col("h")))
-    counts = _small(counted)
-    if counts is None:
-        split, n, taken = _cut_many_classes(df, cls, digest, save_step(counted), k)
-        if split is None:
-            return df
-    else:
-        n = int(counts["n"].sum())
-        if k >= n:
-            return df
-        by_class = counts.groupby("cls")["n"].sum().sort_index()
-        if by_class.empty:
-            return random_sample(df, k, seed)
-        base, extra = divmod(k, len(by_class))
-        quotas = {
-            c: base + (i < extra)
-            for i, c in enumerate(by_class.index)
-            if base + (i < extra) > 0
-        }
-        split = _cut(df, cls, digest, counts, quotas)
-        taken = sum(min(int(by_class[c]), q) for c, q in quotas.items())
-    if taken == k:
-        return split.taken()
-    return _top_up(split, k - taken, seed)
+    counts = save_step(_counts(df.select(cls.alias("cls"), digest.alias("h")), _bucket(F.col("h"))))
+    by_class = counts.groupBy("cls").agg(F.sum("n").alias("size"))
+    n, classes = by_class.agg(F.sum("size"), F.count("cls")).first()
+    if k >= (n or 0):
+        return df
+    if not classes:
+        return random_sample(df, k, seed)
+    named = by_class.where("cls is not null")
+    base, extra = divmod(k, classes)
+    quota = F.lit(base).cast("long")
+    if extra:
+        last = named.select("cls").orderBy("cls").limit(extra).agg(F.max("cls")).first()[0]
+        quota = quota + (F.col("cls") <= last).cast("long")
+    quotas = save_step(named.withColumn("quota", quota).where("quota > 0"))
+    taken = quotas.agg(F.sum(F.least("size", "quota"))).first()[0]
+    split = _cut(df, cls, digest, counts, quotas)
+    return split.taken() if taken == k else _top_up(split, k - taken, seed)
 
 
 def _top_up(split: _Cut, short: int, seed: int) -> DataFrame:
@@ -329,8 +281,9 @@ def _top_up(split: _Cut, short: int, seed: int) -> DataFrame:
     """
     digest = rank_hash(f"{seed}:topup")
     rest = split.rest()
-    extra = _cut(rest, None, digest, _one_class_counts(rest, digest), {"": short})
-    if split.copies or extra.tied:
+    counts, quota, _ = _one_class(rest, digest, short)
+    extra = _cut(rest, None, digest, counts, quota)
+    if split.copies or extra.tied or extra.bound is None:
         return split.taken().unionByName(extra.taken())
     # both parts are row predicates, so one scan serves them
     return split.marked.where(
@@ -345,100 +298,3 @@ def sample_queries(df: DataFrame, k: int | None, seed: int = 42) -> DataFrame:
     if "label" in df.columns:
         return balanced_sample(df, k, "label", seed)
     return random_sample(df, k, seed)
-
-
-def _reaches(quota: str, order: str) -> tuple[Column, Column]:
-    """Where the running count `n` of a class reaches `quota`, and what is left to take."""
-    upto = F.sum("n").over(W.partitionBy("cls").orderBy(order))
-    return (
-        (upto >= F.col(quota)) & (upto - F.col("n") < F.col(quota)),
-        F.col(quota) - (upto - F.col("n")),
-    )
-
-
-def _last_hashes_many(keyed: DataFrame, counts: DataFrame, quotas: DataFrame) -> DataFrame:
-    """As `_last_hashes`, for class tables that do not fit the plan."""
-    reached, need = _reaches("quota", "bucket")
-    edges = (
-        counts.join(quotas.where("n > quota").select("cls", "quota"), "cls")
-        .select("cls", "bucket", reached.alias("reached"), need.alias("need"))
-        .where("reached")
-        .drop("reached")
-    )
-    hashes = (
-        keyed.withColumn("bucket", _bucket(F.col("h")))
-        .join(edges, ["cls", "bucket"])
-        .groupBy("cls", "need", "h")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    reached, take = _reaches("need", "h")
-    return save_step(
-        hashes.select(
-            "cls", F.col("h").alias("cut"), reached.alias("reached"),
-            take.alias("take"), F.col("n").alias("total"),
-        )
-        .where("reached")
-        .drop("reached")
-    )
-
-
-def _cut_many_classes(
-    df: DataFrame, cls: Column, digest: Column, counts: DataFrame, k: int
-) -> tuple[_Cut | None, int, int]:
-    """As `_cut`, plus the row counts of the population and the sample.
-
-    Quotas and cut-offs stay tables. If there are more classes than rows to take, only
-    the first k classes get a row each.
-    """
-    by_class = counts.groupBy("cls").agg(F.sum("n").alias("n"))
-    n, classes = by_class.agg(F.sum("n"), F.count("cls")).first()
-    if k >= n:
-        return None, n, n
-    named = by_class.where("cls is not null")
-    base, extra = divmod(k, classes) if classes <= k else (0, k)
-    quota = F.lit(base).cast("long")
-    if extra:
-        last = named.orderBy("cls").limit(extra).agg(F.max("cls")).first()[0]
-        quota = quota + (F.col("cls") <= last).cast("long")
-    quotas = save_step(named.withColumn("quota", quota).where("quota > 0"))
-    taken = quotas.agg(F.sum(F.least("n", "quota"))).first()[0]
-
-    keyed = df.select(cls.alias("cls"), digest.alias("h"))
-    cuts = _last_hashes_many(keyed, counts, quotas)
-    ties = cuts.where("take < total").select(
-        "cls", "cut", F.col("total").alias("n"), F.col("take").alias("quota")
-    )
-    row_digest = _row_digest(df.columns)
-    tied = (
-        df.select(cls.alias("cls"), digest.alias("cut"), row_digest.alias("h"))
-        .join(ties.select("cls", "cut"), ["cls", "cut"])
-        .select("cls", "h")
-    )
-    finer = _last_hashes_many(tied, _counts(tied, _bucket(F.col("h"))), ties)
-    table = save_step(
-        quotas.select("cls")
-        .join(cuts, "cls", "left")
-        .join(
-            finer.select(
-                "cls", F.col("cut").alias("_cut2"), F.col("take").alias("_take2"),
-                (F.col("total") - F.col("take")).alias("_spare2"),
-            ),
-            "cls",
-            "left",
-        )
-        .select(
-            F.col("cls").alias("_cls"),
-            F.lit(True).alias("_listed"),
-            F.col("cut").alias("_cut"),
-            (F.col("take") == F.col("total")).alias("_whole"),
-            "_cut2",
-            (F.col("_spare2") == 0).alias("_whole2"),
-            "_take2",
-            "_spare2",
-        )
-    )
-    marked = df.withColumns({"_cls": cls, "_h": digest, "_digest": row_digest}).join(
-        table, "_cls", "left"
-    )
-    copies = not table.where("_spare2 > 0").isEmpty()
-    return _Cut(marked, df.columns, None, copies, True), n, taken

@@ -39,7 +39,7 @@ def test_random_sample_is_one_filter(spark):
 def test_topped_up_sample_is_one_scan(spark):
     log = inputs.document_log(spark, FOLDER)
     text = plan(sampling.balanced_sample(log.withColumn("label", log.url), 190))
-    assert text.count("FileScan") == 1 and "BroadcastHashJoin" in text and "Sort" not in text
+    assert text.count("documents.parquet") == 1 and "BroadcastHashJoin" in text and "Sort" not in text
 
 
 def test_vote_is_one_shuffle_with_map_side_reduction(spark):

@@ -101,16 +101,23 @@ def test_hot_copies_of_a_class_are_topped_up_whole(hot):
         assert sum(got.values()) == k and got["y"] == min(k // 2, 4000)
 
 
-def test_buckets_too_full_to_list(log, pairs, monkeypatch):
-    monkeypatch.setattr(sampling, "PLAN_ROWS", 60)
+def test_buckets_too_full_for_one_round(log, pairs, monkeypatch):
+    monkeypatch.setattr(sampling, "_FINER", 1)
     assert set(ids(random_sample(log, 3000))) == set(smallest([q for q, _ in pairs], 3000))
+    assert set(ids(balanced_sample(log, 1000))) == brute_force(pairs, 1000)
 
 
-def test_too_many_classes_for_the_plan(spark, log, pairs, hot, monkeypatch):
-    monkeypatch.setattr(sampling, "PLAN_ROWS", 2)
-    assert set(ids(balanced_sample(log, 1000))) == brute_force(pairs, 1000)
+def test_many_classes(spark, hot):
     split = hot.withColumn("label", F.when(F.col("query") == "same", "y").otherwise("x"))
     got = Counter(r.label for r in balanced_sample(split, 900).collect())
     assert got == {"x": 450, "y": 450}
     own = spark.range(300).selectExpr("cast(id as string) qid", "cast(id as string) label")
     assert ids(balanced_sample(own, 7)) == sorted(sorted(str(i) for i in range(300))[:7])
+    # 900 classes of 20 rows, and one of nine tenths of all rows
+    wide = spark.range(180_000).selectExpr("cast(id as string) qid", "if(id % 10 = 0, concat('c', id % 9000), 'hot') label")
+    taken = Counter(r.label for r in balanced_sample(wide, 9010).collect())
+    assert len(taken) == 901 and set(taken.values()) == {10}
+
+
+def test_empty_population(log):
+    assert balanced_sample(log.limit(0), 5).count() == 0 and random_sample(log.limit(0), 5).count() == 0
