@@ -42,31 +42,31 @@ def retry_fold(votes: DataFrame, options: ValidateOptions = ValidateOptions()) -
 
     The first attempt that is not flagged, or that used up the retries, stands. If
     there is none yet, the latest attempt stands and the row still needs a retry.
+    Labels are carried as their places in the class list, so every counter is a number
+    and the aggregate is a hash aggregate; a label outside the list comes back as NULL.
     """
-    flagged = validate_flags(votes, options)
-    row = F.struct("ai_label", "ai_confidence", "flags", "attempt")
+    classes = F.array(*[F.lit(c) for c in options.allowed])
+    flagged = validate_flags(votes, options).withColumn("place", F.array_position(classes, F.col("ai_label")))
+    stands = F.when(~F.col("needs_retry"), F.col("attempt"))
+    folded = flagged.groupBy("qid").agg(
+        F.min(stands).alias("first"),
+        F.min_by("place", stands).alias("first_place"),
+        F.min_by("ai_confidence", stands).alias("first_confidence"),
+        F.max("attempt").alias("last"),
+        F.max_by("place", "attempt").alias("last_place"),
+        F.max_by("ai_confidence", "attempt").alias("last_confidence"),
+    )
+    settled = F.col("first").isNotNull()
+    pick = lambda name: F.when(settled, F.col(f"first{name}")).otherwise(F.col(f"last{name}"))
+    label, confidence = F.get(classes, (F.col("place") - 1).cast("int")), F.col("ai_confidence")
     return (
-        flagged.groupBy("qid")
-        .agg(
-            F.min_by(
-                F.when(~F.col("needs_retry"), row),
-                F.when(~F.col("needs_retry"), F.col("attempt")),
-            ).alias("settled"),
-            F.max_by(row, F.col("attempt")).alias("latest"),
-        )
-        .select(
-            "qid",
-            F.coalesce("settled", "latest").alias("row"),
-            F.col("settled").isNull().alias("needs_retry"),
+        folded.select(
+            "qid", pick("_place").alias("place"), pick("_confidence").alias("ai_confidence"),
+            pick("").cast("int").alias("retry_count"), (~settled).alias("needs_retry"),
         )
         .select(
-            "qid",
-            F.col("row.ai_label").alias("ai_label"),
-            F.col("row.ai_confidence").alias("ai_confidence"),
-            F.col("row.flags").alias("flags"),
-            "needs_retry",
-            F.col("row.attempt").cast("int").alias("retry_count"),
-            F.col("row.ai_label").alias("final_type"),
+            "qid", label.alias("ai_label"), "ai_confidence", flag_names(label, confidence, options).alias("flags"),
+            "needs_retry", "retry_count", label.alias("final_type"),
         )
     )
 

@@ -50,6 +50,11 @@ def test_vote_is_one_shuffle_with_map_side_reduction(spark):
     assert "SortAggregate" not in text
 
 
+def test_retries_are_folded_by_hash(spark):
+    text = plan(QUERIES["retry_fold"](spark, FOLDER))
+    assert "SortAggregate" not in text and "ObjectHashAggregate" not in text
+
+
 def test_split_filter_reaches_the_scan(spark):
     text = plan(QUERIES["split_filter"](spark, FOLDER))
     assert "PushedFilters: [IsNotNull(lang)]" in text and "text" not in text
