@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import heapq
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import groupby
 
 import numpy as np
@@ -124,43 +124,51 @@ def _describe(n: int):
 
 
 class Index:
-    """Inverted lists of the sets of a group."""
+    """Inverted lists of the sets of a group, one after another in `owners`."""
 
     def __init__(self, sets: list[np.ndarray]):
         elements = np.concatenate(sets)
         owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
         order = np.argsort(elements, kind="stable")
-        elements, self.owners = elements[order], owner[order]
-        self.keys, starts = np.unique(elements, return_index=True)
+        self.owners: list[int] = owner[order].tolist()
+        self.keys, starts = np.unique(elements[order], return_index=True)
         self.starts = np.r_[starts, len(elements)]
 
-    def lists(self, query: np.ndarray) -> list[np.ndarray]:
-        """The lists of the query's elements, the shortest first."""
+    def lists(self, query: np.ndarray) -> list[tuple[int, int]]:
+        """Where the lists of the query's elements begin and end, the shortest first."""
         at = np.searchsorted(self.keys, query)
         at = at[at < len(self.keys)]
         at = at[np.isin(self.keys[at], query)]
-        found = [self.owners[self.starts[i] : self.starts[i + 1]] for i in at.tolist()]
-        return sorted(found, key=len)
+        at = at[np.argsort(self.starts[at + 1] - self.starts[at], kind="stable")]
+        return list(zip(self.starts[at].tolist(), self.starts[at + 1].tolist()))
 
 
-def t_occurrence(lists: list[np.ndarray], least, worth) -> Iterator[int]:
+def t_occurrence(
+    owners: list[int], lists: list[tuple[int, int]], least: Callable[[int | None], int], worth: Callable[[int], bool]
+) -> Iterator[int]:
     """Numbers that occur in at least `least(number)` of the lists, by DivideSkip.
 
-    `lists` are sorted inside and by length. `least(None)` is a lower bound of all
-    thresholds. Numbers that are not `worth` it when their turn comes are passed over.
+    The lists are parts of `owners`, rising inside, the shortest first. `least(None)` is
+    a lower bound of all thresholds. Numbers that are not `worth` it when their turn
+    comes are passed over.
     """
     t = least(None)
     aside = max(0, min(len(lists), t) - 1)
     short, long_ = lists[: len(lists) - aside], lists[len(lists) - aside :]
-    for number, hits in groupby(heapq.merge(*short)):
+    long_.reverse()  # the longest first: likeliest to hold a number
+    for number, hits in groupby(heapq.merge(*[owners[a:b] for a, b in short])):
         if not worth(number):
             continue
         count, need = sum(1 for _ in hits), least(number)
-        for left, members in enumerate(reversed(long_)):  # the longest first: likeliest to hold it
-            if count >= need or count + aside - left < need:
+        misses = count + aside - need  # as many long lists may be without it
+        for begin, end in long_:
+            if misses < 0 or count >= need:
                 break
-            at = bisect_left(members, number)
-            count += at < len(members) and members[at] == number
+            at = bisect_left(owners, number, begin, end)
+            if at < end and owners[at] == number:
+                count += 1
+            else:
+                misses -= 1
         if count >= need:
             yield number
 
@@ -199,7 +207,7 @@ def _forest(ids: list[int], blocks: list[int], sets: list[np.ndarray]) -> list[t
                 and root(i) != root(j)
             )
 
-        for j in t_occurrence(index.lists(query), least, worth):
+        for j in t_occurrence(index.owners, index.lists(query), least, worth):
             parent[root(i)] = root(j)
             edges.append((ids[i], ids[j]))
             apart -= 1

@@ -282,7 +282,10 @@ def test_skipping_lists_finds_what_counting_finds():
     for _ in range(20):
         lists = sorted((np.unique(draw.integers(0, 30, draw.integers(1, 25))) for _ in range(9)), key=len)
         counts = {n: sum(n in x for x in lists) for n in range(30)}
-        found = set(op10_jaccard_join.t_occurrence(lists, lambda n: 5, lambda n: True))
+        ends = np.cumsum([len(x) for x in lists]).tolist()
+        places = list(zip([0, *ends], ends))
+        owners = np.concatenate(lists).tolist()
+        found = set(op10_jaccard_join.t_occurrence(owners, places, lambda n: 5, lambda n: True))
         assert found == {n for n, c in counts.items() if c >= 5}
 
 
