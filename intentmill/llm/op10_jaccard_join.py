@@ -242,7 +242,9 @@ def described(docs: DataFrame, n: int = 3) -> DataFrame:
     )
 
 
-def jaccard_components(docs: DataFrame, n: int = 3, block_elements: int = 60_000) -> DataFrame:
+def jaccard_components(
+    docs: DataFrame, n: int = 3, block_elements: int = 60_000, broadcast_rows: int = 200_000
+) -> DataFrame:
     """Per row: doc_id, text_hash, n_shingles, component_id, the smallest id linked with it.
 
     `root` names the component; it is NULL for an empty set.
@@ -268,8 +270,10 @@ def jaccard_components(docs: DataFrame, n: int = 3, block_elements: int = 60_000
         "wanted",
     )
     source = texts(docs).withColumn("text_hash", F.xxhash64("text"))
+    # A list of candidates of proven size goes to the texts; a longer one meets them in a shuffle.
+    few = F.broadcast(wanted) if wanted.count() <= broadcast_rows else wanted
     with_text = source.join(
-        wanted, source["doc_id"].eqNullSafe(wanted["w_id"]) & (source["text_hash"] == wanted["w_hash"])
+        few, source["doc_id"].eqNullSafe(wanted["w_id"]) & (source["text_hash"] == wanted["w_hash"])
     ).select("set_id", "part", "block", "blocks", "text")
     built = with_text.mapInArrow(_elements(n), "set_id long, part long, block int, blocks int, elements binary")
     others = F.sequence(F.lit(0), F.col("blocks") - 1)

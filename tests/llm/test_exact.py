@@ -250,10 +250,10 @@ def test_changed_shards_are_rewritten(spark, docs, prose, tmp_path):
 # --- 10 ---
 
 
-@pytest.mark.parametrize("block", [400, 60_000])
-def test_jaccard_components(docs, prose, block):
+@pytest.mark.parametrize("block, few", [(400, 0), (60_000, 200_000)])
+def test_jaccard_components(docs, prose, block, few):
     expected = brute.jaccard(prose)
-    rows = by_id(op10_jaccard_join.jaccard_components(docs(prose), block_elements=block))
+    rows = by_id(op10_jaccard_join.jaccard_components(docs(prose), block_elements=block, broadcast_rows=few))
     assert {i: (r["n_shingles"], r["component_id"]) for i, r in rows.items()} == expected
 
 
