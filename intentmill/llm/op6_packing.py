@@ -2,7 +2,7 @@
 
 A task's documents, in the order read, form one stream of tokens. Cuts may fall at the
 end of a document (free), at the end of a sentence (a small penalty) and, in stretches
-without either, at every 64th of a window (a larger one). The cuts that minimise padding plus
+without either, at every 32nd of a window (a larger one). The cuts that minimise padding plus
 penalties follow from f(j) = c(j) + min over i of f(i) + capacity - (p(j) - p(i)): the
 minimum slides over a window and is kept in a monotone queue, so a block of n possible
 cuts takes n steps. Windows whose length is a power of two need no padding; they are
@@ -146,7 +146,7 @@ class Packer:
             steps = np.diff(np.concatenate([[0], inner, [len(tokens)]]))
             marks = inner.tolist()
             costs = [self.sentence_cost] * len(marks)
-            every = max(1, self.capacity // 64)
+            every = max(1, self.capacity // 32)
             if steps.max() > 2 * every:  # a long stretch without a boundary may be cut anywhere near
                 full, last = {}, 0
                 for mark in [*marks, len(tokens)]:
