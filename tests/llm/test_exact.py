@@ -19,6 +19,7 @@ from intentmill.llm import (
     op9_sharding,
     op10_jaccard_join,
 )
+from intentmill.llm.common import components
 from intentmill.llm.queries import QUERIES
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -250,6 +251,23 @@ def test_changed_shards_are_rewritten(spark, docs, prose, tmp_path):
 # --- 10 ---
 
 
+def test_components(spark):
+    draw = np.random.default_rng(4)
+    edges = [(int(a), int(b)) for a, b in draw.integers(0, 300, (220, 2))] + [(i, i + 1) for i in range(1000, 1040)]
+    edges += [(2000, i) for i in range(2001, 2200)]
+    parent = {x: x for e in edges for x in e}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        parent[max(root(a), root(b))] = min(root(a), root(b))
+    found = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert {r["node"]: r["root"] for r in found} == {x: root(x) for x in parent if root(x) != x}
+
+
 @pytest.mark.parametrize("block, few", [(400, 0), (60_000, 200_000)])
 def test_jaccard_components(docs, prose, block, few):
     expected = brute.jaccard(prose)
