@@ -99,9 +99,17 @@ def _dealt(shards: np.ndarray, entries: np.ndarray, kind: int) -> Iterator[tuple
             yield int(shard), kind, part.tobytes()
 
 
-def _by_row(places: np.ndarray) -> pd.DataFrame:
-    """One line for each document: its places as bytes."""
-    places = np.sort(places, order=["row", "at"])
+def _to_buckets(places: np.ndarray, buckets: int) -> pd.DataFrame:
+    """Places for each bucket of documents, so that rows do not follow shards times documents."""
+    rows = list(_dealt(places["row"] % buckets, places, 0))
+    return pd.DataFrame({"bucket": [r[0] for r in rows], "entries": [r[2] for r in rows]}).astype(
+        {"bucket": "int64", "entries": object}
+    )
+
+
+def _by_row(bucket: pd.DataFrame) -> pd.DataFrame:
+    """One line for each document of a bucket: its places as bytes."""
+    places = np.unique(_joined([np.frombuffer(x, _PLACE) for x in bucket["entries"]], _PLACE))
     cuts = np.flatnonzero(np.diff(places["row"])) + 1
     parts = np.split(places, cuts) if len(places) else []
     return pd.DataFrame(
@@ -153,15 +161,17 @@ def _send_anchors(window: int, k: int, shards: int):
     return send
 
 
-def _report(group: pd.DataFrame) -> pd.DataFrame:
-    """Places of the anchors that a shard's sketch counts twice or more."""
-    parts = _read(group, 0, _ANCHOR)
-    bits = max(10, int(8 * sum(map(len, parts))).bit_length())
-    merged = CountMin(bits)
-    for part in parts:  # what one batch sent; within it each anchor is new
-        merged.add(part["gram"])
-    repeated = [part[merged.estimate(part["gram"]) > 1][["row", "at"]].astype(_PLACE) for part in parts]
-    return _by_row(_joined([*repeated, *_read(group, 1, _PLACE)], _PLACE))
+def _report(buckets: int):
+    def report(group: pd.DataFrame) -> pd.DataFrame:
+        """Places of the anchors that a shard's sketch counts twice or more."""
+        parts = _read(group, 0, _ANCHOR)
+        merged = CountMin(max(10, (8 * sum(map(len, parts))).bit_length()))
+        for part in parts:  # what one batch sent; within it each anchor is new
+            merged.add(part["gram"])
+        repeated = [part[merged.estimate(part["gram"]) > 1][["row", "at"]].astype(_PLACE) for part in parts]
+        return _to_buckets(_joined([*repeated, *_read(group, 1, _PLACE)], _PLACE), buckets)
+
+    return report
 
 
 def _send_windows(window: int, k: int, shards: int):
@@ -176,8 +186,7 @@ def _send_windows(window: int, k: int, shards: int):
             columns = [batch.column(c).to_pylist() for c in ("doc_id", "row", "places")]
             for doc_id, row, places, text in zip(*columns, batch.column("text")):
                 hashes, _, smallest = anchors(text.as_py())
-                at = np.unique(np.concatenate([np.frombuffer(p, "<i4") for p in places]))
-                starts = np.flatnonzero(np.isin(smallest, at))
+                starts = np.flatnonzero(np.isin(smallest, np.frombuffer(places, "<i4")))
                 if len(powers) < len(hashes):
                     powers = np.cumprod(np.r_[np.uint64(1), np.full(2 * len(hashes), base)], dtype=np.uint64)
                     back = np.cumprod(np.r_[np.uint64(1), np.full(2 * len(hashes), inverse)], dtype=np.uint64)
@@ -208,10 +217,13 @@ def _first_of_each(windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return windows[new], places
 
 
-def _mark(group: pd.DataFrame) -> pd.DataFrame:
-    """Places of all windows of a shard that are not the first of their kind."""
-    _, later = _first_of_each(_joined(_read(group, 0, _WINDOW), _WINDOW))
-    return _by_row(_joined([later, *_read(group, 1, _PLACE)], _PLACE))
+def _mark(buckets: int):
+    def mark(group: pd.DataFrame) -> pd.DataFrame:
+        """Places of all windows of a shard that are not the first of their kind."""
+        _, later = _first_of_each(_joined(_read(group, 0, _WINDOW), _WINDOW))
+        return _to_buckets(_joined([later, *_read(group, 1, _PLACE)], _PLACE), buckets)
+
+    return mark
 
 
 def _kept(window: int):
@@ -222,7 +234,7 @@ def _kept(window: int):
                 words = text.as_py().encode().split()
                 n_words.append(len(words))
                 if places:
-                    starts = np.unique(np.concatenate([np.frombuffer(p, "<i4") for p in places]))
+                    starts = np.frombuffer(places, "<i4")
                     step = np.zeros(len(words) + 1, np.int64)
                     step[starts] += 1
                     step[starts + window] -= 1
@@ -245,11 +257,15 @@ def remove_repeats(docs: DataFrame, window: int = 20, k: int = 6, shard_bytes: i
     rows = texts(docs).withColumn("row", F.xxhash64(F.coalesce("doc_id", F.lit(_FIRST_ID)), "text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // shard_bytes))
-    by_row = lambda df: df.groupBy("row").agg(F.collect_list("places").alias("places"))
-    gather = lambda df, f: by_row(df.groupBy("shard").applyInPandas(f, "row long, places binary"))
-    repeated = gather(rows.select("row", "text").mapInArrow(_send_anchors(window, k, shards), _ROWS), _report)
+
+    def gathered(sent: DataFrame, decide) -> DataFrame:
+        """What shards decide about places, as a row for each document."""
+        decided = sent.groupBy("shard").applyInPandas(decide(shards), "bucket long, entries binary")
+        return decided.groupBy("bucket").applyInPandas(_by_row, "row long, places binary")
+
+    repeated = gathered(rows.select("row", "text").mapInArrow(_send_anchors(window, k, shards), _ROWS), _report)
     asked = rows.join(repeated, "row").select("doc_id", "row", "places", "text")
-    marked = gather(asked.mapInArrow(_send_windows(window, k, shards), _ROWS), _mark)
+    marked = gathered(asked.mapInArrow(_send_windows(window, k, shards), _ROWS), _mark)
     return rows.join(marked, "row", "left").select("doc_id", "text", "places").mapInArrow(
         _kept(window), "doc_id long, n_words long, n_removed long, kept binary"
     )
