@@ -32,8 +32,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by similarity of 3-word shingles."""
-    return op10_jaccard_join.one_of_each(docs)
+    """One document of each group linked by a similarity of 0.8 or more of 5-word shingles."""
+    return op10_jaccard_join.one_of_each(docs, n=5, per_cent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,7 +45,7 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def _with_least(rows: DataFrame, least: DataFrame, salts: int = 16) -> DataFrame:
+def with_least(rows: DataFrame, least: DataFrame, salts: int = 16) -> DataFrame:
     """Rows (a, b) with their node's `m` from (a, m); a node of very many rows is split by b."""
     spread = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return rows.withColumn("salt", F.pmod(F.hash("b"), F.lit(salts))).join(spread, ["a", "salt"])
@@ -65,13 +65,13 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         both = now.select("a", "b").union(now.select(F.col("b"), F.col("a")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = (
-            _with_least(both.where("b > a"), least)
+            with_least(both.where("b > a"), least)
             .select(F.col("b").alias("a"), F.col("m").alias("b"))
         )
         ordered = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
         low = ordered.groupBy("a").agg(F.min("b").alias("m"))
         small = (
-            _with_least(ordered, low).select(F.col("b").alias("a"), F.col("m").alias("b"))
+            with_least(ordered, low).select(F.col("b").alias("a"), F.col("m").alias("b"))
             .union(low.select("a", F.col("m").alias("b")))
         )
         now = stored(small.where("a <> b").distinct(), "edges")

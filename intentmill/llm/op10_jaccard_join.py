@@ -1,12 +1,15 @@
 """N-gram Jaccard join: T-occurrence search with DivideSkip, inside exact candidate groups.
 
-A document's set holds its distinct 3-word shingles as 64-bit hashes. Equal sets are one
-set from the start, so copies cost nothing later. Two sets link at a Jaccard similarity of
-0.9 or more; they then differ in at most a ninth of either. Sets are therefore cut by hash
-into a few more segments than that, the number depending on the size class, and any two
-that link have an equal segment in a class both take part in. Sets with an equal segment
-are candidates; a star of edges per segment and their connected components make candidate
-groups, which hold every link.
+A document's set holds its distinct shingles of `n` words as 64-bit hashes. Equal sets are
+one set from the start, so copies cost nothing later. Two sets link at a Jaccard similarity
+of `per_cent` or more; at 90 they then differ in at most a ninth of either, at 80 in at most
+a quarter. Sets are therefore cut by hash into a few more segments than that, the number
+depending on the size class, and any two that link have an equal segment in a class both
+take part in. A set also has as many equal segments with a linked one as it has segments
+more than differences; sets of which fewer segments occur in any other set can't link and
+are left out, so a passage that many texts share does not make one group of them. A star
+of edges per segment and their connected components make candidate groups, which hold
+every link.
 
 Inside a group the join is a T-occurrence search: each set asks the inverted lists of its
 shingles for sets that occur in at least T of them. Following DivideSkip, the longest
@@ -36,10 +39,10 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from intentmill.llm.common import components, fresh, stored, texts
+from intentmill.llm.common import components, fresh, stored, texts, with_least
 from intentmill.llm.hashing import WordHashes, mixed, runs
 
-PER_CENT = 90  # of similarity; segments and thresholds follow from it
+PER_CENT = 90  # of similarity, unless a caller asks for another; segments and thresholds follow from it
 
 
 # --- sets and their segments ---
@@ -52,9 +55,9 @@ def shingles(hashes: np.ndarray, n: int) -> np.ndarray:
     return np.unique(runs(hashes, n, 1) if len(hashes) >= n else runs(hashes, len(hashes), 1))
 
 
-def most_apart(size: int) -> int:
+def most_apart(size: int, per_cent: int = PER_CENT) -> int:
     """How many elements a linked set may have more and less, together, than one of this size."""
-    return size * (100 - PER_CENT) // PER_CENT
+    return size * (100 - per_cent) // per_cent
 
 
 def size_class(size: int) -> int:
@@ -62,25 +65,33 @@ def size_class(size: int) -> int:
     return int(np.log(size) / np.log(1.6) + 1e-9)
 
 
-def segment_keys(elements: np.ndarray) -> np.ndarray:
+def segment_keys(elements: np.ndarray, per_cent: int = PER_CENT) -> np.ndarray:
     """Hashes of (class, segment, the elements in it); linked sets have one in common.
 
-    A set takes part in its size class and, if a linked set may be in it, in the next.
+    A set takes part in its size class and, if a linked set may be in them, in the next
+    ones. The lowest six bits of a key are its class.
     """
-    size, keys = len(elements), []
+    return _segments(elements, per_cent)[0]
+
+
+def _segments(elements: np.ndarray, per_cent: int) -> tuple[np.ndarray, list[int]]:
+    """Segment keys; per class, how many of them a linked set has at least, above the class in six bits."""
+    size, keys, needs = len(elements), [], []
     own = size_class(size)
-    for cls in range(own, size_class(size * 100 // PER_CENT + 1) + 1):
-        apart = most_apart(int(1.6 ** (cls + 1)) + 1)
+    for cls in range(own, size_class(size * 100 // per_cent + 1) + 1):
+        apart = most_apart(int(1.6 ** (cls + 1)) + 1, per_cent)
         count = apart + 2 + apart // 16
         where = ((elements >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)).astype(np.int64)
         starts = np.flatnonzero(np.r_[True, np.diff(where) != 0])
         sums = np.add.reduceat(mixed(elements), starts)
         names = where[starts]
-        if len(starts) <= most_apart(size):  # differences could touch every filled segment
+        needs.append(max(1, len(starts) - most_apart(size, per_cent)) << 6 | cls)
+        if len(starts) <= most_apart(size, per_cent):  # differences could touch every filled segment
             empty = np.setdiff1d(np.arange(count), names)
             names, sums = np.r_[names, empty], np.r_[sums, np.zeros(len(empty), np.uint64)]
-        keys.append(mixed(sums ^ mixed(names.astype(np.uint64) + np.uint64(cls << 32))))
-    return np.concatenate(keys).view(np.int64)
+        hashes = mixed(sums ^ mixed(names.astype(np.uint64) + np.uint64(cls << 32)))
+        keys.append(hashes & ~np.uint64(63) | np.uint64(cls))
+    return np.concatenate(keys).view(np.int64), needs
 
 
 class _Sets:
@@ -95,26 +106,28 @@ def _set_id(elements: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(elements.tobytes()) - (1 << 63)
 
 
-def _describe(n: int):
-    """doc_id, text_hash, size, set_id; segment keys once for each set of a batch."""
+def _describe(n: int, per_cent: int):
+    """doc_id, text_hash, size, set_id; segment keys and needs once for each set of a batch."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = _Sets(n)
         for batch in batches:
-            sizes, ids, keys, seen = [], [], [], set()
+            sizes, ids, keys, needs, seen = [], [], [], [], set()
             for text in batch.column("text"):
                 elements = sets(text.as_py())
                 sizes.append(len(elements))
                 ids.append(_set_id(elements) if len(elements) else None)
                 new = len(elements) and ids[-1] not in seen
                 seen.add(ids[-1])
-                keys.append(segment_keys(elements) if new else None)
+                own = _segments(elements, per_cent) if new else (None, None)
+                keys.append(own[0])
+                needs.append(own[1])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()),
-                    pa.array(ids, pa.int64()), pa.array(keys, pa.list_(pa.int64())),
+                    pa.array(ids, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(needs, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "text_hash", "size", "set_id", "keys"],
+                names=["doc_id", "text_hash", "size", "set_id", "keys", "needs"],
             )
 
     return describe
@@ -173,7 +186,9 @@ def t_occurrence(
             yield number
 
 
-def _forest(ids: list[int], blocks: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
+def _forest(
+    ids: list[int], blocks: list[int], sets: list[np.ndarray], per_cent: int = PER_CENT
+) -> list[tuple[int, int]]:
     """Edges of a spanning forest of the links between sets of two blocks, or inside one."""
     order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), ids[i]))
     ids, blocks, sets = ([x[i] for i in order] for x in (ids, blocks, sets))
@@ -188,7 +203,7 @@ def _forest(ids: list[int], blocks: list[int], sets: list[np.ndarray]) -> list[t
         return i
 
     def overlap(a: int, b: int) -> int:
-        return -(-PER_CENT * (a + b) // (100 + PER_CENT))
+        return -(-per_cent * (a + b) // (100 + per_cent))
 
     edges, apart = [], 0  # apart: components among the sets so far
     for i, query in enumerate(sets):
@@ -196,7 +211,7 @@ def _forest(ids: list[int], blocks: list[int], sets: list[np.ndarray]) -> list[t
         if apart == 1:
             continue
         size = sizes[i]
-        smallest = -(-PER_CENT * size // 100)
+        smallest = -(-per_cent * size // 100)
 
         def least(j: int | None) -> int:
             return overlap(size, smallest if j is None else sizes[j])
@@ -216,11 +231,14 @@ def _forest(ids: list[int], blocks: list[int], sets: list[np.ndarray]) -> list[t
     return edges
 
 
-def _join_blocks(group: pd.DataFrame) -> pd.DataFrame:
-    group = group.drop_duplicates("set_id")
-    sets = [np.frombuffer(x, np.uint64) for x in group["elements"]]
-    edges = _forest(group["set_id"].tolist(), group["block"].tolist(), sets)
-    return pd.DataFrame(edges, columns=["a", "b"]).astype("int64")
+def _join_blocks(per_cent: int):
+    def join(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.drop_duplicates("set_id")
+        sets = [np.frombuffer(x, np.uint64) for x in group["elements"]]
+        edges = _forest(group["set_id"].tolist(), group["block"].tolist(), sets, per_cent)
+        return pd.DataFrame(edges, columns=["a", "b"]).astype("int64")
+
+    return join
 
 
 def _elements(n: int):
@@ -234,26 +252,46 @@ def _elements(n: int):
     return build
 
 
-def described(docs: DataFrame, n: int = 3) -> DataFrame:
-    """Per row: doc_id, text_hash, size, set_id and, once for each set of a batch, segment keys."""
+def described(docs: DataFrame, n: int = 3, per_cent: int = PER_CENT) -> DataFrame:
+    """Per row: doc_id, text_hash, size, set_id and, once for each set of a batch, segment keys and needs."""
     rows = texts(docs).withColumn("text_hash", F.xxhash64("text"))
     return rows.select("doc_id", "text_hash", "text").mapInArrow(
-        _describe(n), "doc_id long, text_hash long, size long, set_id long, keys array<long>"
+        _describe(n, per_cent), "doc_id long, text_hash long, size long, set_id long, keys array<long>, needs array<long>"
+    )
+
+
+def _supported(met: DataFrame, needs: DataFrame) -> DataFrame:
+    """Stars (set_id, center) of the segments of sets that have as many shared ones as a link needs.
+
+    `met` holds every shared segment's sets but the smallest, which is their center. A set
+    that comes in several batches counts its segments more often, which keeps it.
+    """
+    shared = met.select("set_id", "key").union(met.select("center", "key").distinct()).withColumn(
+        "cls", F.col("key").bitwiseAND(F.lit(63))
+    )
+    wanted = needs.distinct().select(
+        "set_id", F.col("need").bitwiseAND(F.lit(63)).alias("cls"), F.shiftright("need", 6).alias("least")
     )
+    able = shared.groupBy("set_id", "cls").agg(F.count("*").alias("n")).join(wanted, ["set_id", "cls"]).where("n >= least")
+    able = stored(able.select("set_id", "cls"), "able")
+    left = stored(shared.join(able, ["set_id", "cls"]).select(F.col("key").alias("a"), F.col("set_id").alias("b")), "shared")
+    with_center = with_least(left, left.groupBy("a").agg(F.min("b").alias("m"))).where("b <> m")
+    return with_center.select(F.col("b").alias("set_id"), F.col("m").alias("center")).distinct()
 
 
 def jaccard_components(
-    docs: DataFrame, n: int = 3, block_elements: int = 60_000, broadcast_rows: int = 200_000
+    docs: DataFrame, n: int = 3, block_elements: int = 60_000, broadcast_rows: int = 200_000, per_cent: int = PER_CENT
 ) -> DataFrame:
     """Per row: doc_id, text_hash, n_shingles, component_id, the smallest id linked with it.
 
     `root` names the component; it is NULL for an empty set.
     """
-    rows = stored(described(docs, n), "sets")
+    rows = stored(described(docs, n, per_cent), "sets")
     postings = rows.where("keys is not null").select("set_id", F.explode("keys").alias("key"))
     # Each set points at the smallest with the same segment; reading on needs no memory.
     first = F.expr("first(set_id) over (partition by key order by set_id rows between unbounded preceding and current row)")
-    stars = postings.select("set_id", first.alias("center")).where("set_id <> center").distinct()
+    met = stored(postings.select("set_id", "key", first.alias("center")).where("set_id <> center"), "met")
+    stars = _supported(met, rows.where("keys is not null").select("set_id", F.explode("needs").alias("need")))
     groups = stored(components(stars.select(F.col("set_id").alias("a"), F.col("center").alias("b"))), "groups")
     members = groups.union(groups.select(F.col("root"), F.col("root")).distinct()).distinct()
 
@@ -280,7 +318,7 @@ def jaccard_components(
     paired = built.withColumn("other", F.explode(others)).select(
         "part", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"), "block", "set_id", "elements"
     )
-    edges = paired.groupBy("part", "b1", "b2").applyInPandas(_join_blocks, "a long, b long")
+    edges = paired.groupBy("part", "b1", "b2").applyInPandas(_join_blocks(per_cent), "a long, b long")
     linked = components(edges)
 
     least = rows.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("least"))
