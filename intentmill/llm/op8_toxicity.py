@@ -160,6 +160,12 @@ class Lexicon:
 # --- learning ---
 
 
+def _distinct(rows: pd.DataFrame) -> pd.DataFrame:
+    """One row of each label and whole text, whatever its case and spaces."""
+    whole = rows["text"].map(lambda t: " ".join(t.lower().split()))
+    return rows[~pd.DataFrame({"text": whole, "label": rows["label"]}).duplicated()]
+
+
 def _terms(rows: pd.DataFrame, least: int, purity: float) -> tuple[dict[str, float], dict[str, float]]:
     """Words and beginnings that mark toxic documents, with log odds as weights."""
     counts = (Counter(), Counter()), (Counter(), Counter())  # words, stems; by label
@@ -210,15 +216,15 @@ def train(
 ) -> tuple[Lexicon, np.ndarray] | None:
     """Lexicon and weights from at most `sample` labelled rows; None without any.
 
-    A term must be in `least` toxic documents that begin differently (copies count once)
-    and have at least 1 / `purity` times the odds of one. Beginnings need twice as many.
+    A term must be in `least` toxic documents of different texts (copies count once) and
+    have at least 1 / `purity` times the odds of one. Beginnings need twice as many. The
+    weights are fitted to all rows of the sample.
     """
 
     def learn(rows: pd.DataFrame) -> bytes:
-        rows = rows[~rows["text"].str.slice(0, 40).duplicated()] if len(rows) else rows
         if not len(rows):
             return pickle.dumps(None)
-        lexicon = Lexicon(*_terms(rows, least, purity))
+        lexicon = Lexicon(*_terms(_distinct(rows), least, purity))
         weights = _logistic(np.array([lexicon.features(t) for t in rows["text"]]), rows["label"].to_numpy(float))
         lexicon.known.clear()
         return pickle.dumps((lexicon, weights))

@@ -79,6 +79,21 @@ def test_odd_rows_get_scores(spark, docs):
         assert op.classify(table.limit(0), labels).count() == 0
 
 
+def test_rows_with_a_shared_beginning_are_learned_from(spark, docs):
+    banner = "This text is shared under the same license as all others here. "
+    texts = {i: f"{banner} page{i} " + ("you grobnik" if i % 2 else "you friend") for i in range(100)}
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in texts], "doc_id long, quality int, toxic int")
+    lexicon, _ = op8_toxicity.train(docs(texts), labels)
+    assert "grobnik" in lexicon.words
+    rows = op8_toxicity.classify(docs(texts), labels).where("held_out").collect()
+    assert rows and all(r["predicted"] == r["doc_id"] % 2 for r in rows)
+
+
+def test_copies_count_once():
+    copies = op8_toxicity.pd.DataFrame({"text": ["You grobnik", "you  GROBNIK"] * 9 + ["you grobnik two"], "label": [1] * 18 + [1]})
+    assert len(op8_toxicity._distinct(copies)) == 2
+
+
 def test_what_is_held_out(spark):
     import zlib
 
