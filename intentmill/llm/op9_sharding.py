@@ -4,9 +4,11 @@ Rows belong to blocks by a hash of their text, so equal texts share a block, and
 lie in the old shards. Block sizes are the only thing the driver sees, and their number
 is a parameter. From old shard sizes and new capacities a flow of least cost, where a
 byte costs 0 if it stays and 1 if it moves, says how many bytes go from each old shard to
-each new one; whole blocks then carry the flow. A large block (one text may be a third of
-all rows) is split by row into parts, as often as its size asks, so that no task numbers
-it alone; its parts are placed together unless it is more than a twelfth of all bytes.
+each new one; whole blocks then carry the flow. A text of many bytes (one may be a third
+of all rows) leaves its block for one of its own, which is split by row into parts, as
+often as its size asks, so that no task numbers it alone; its parts are placed together
+unless it is more than a twelfth of all bytes. A large block of the other texts is split
+by their hash, so equal texts stay together.
 
 Each row's place in its shard is its block's first place plus its rank in the block, so
 no task numbers a whole shard. Texts are never shuffled: the plan works on ids, sizes and
@@ -146,31 +148,50 @@ def reshard(
 ) -> DataFrame:
     """Per row: doc_id, size, text_crc32, old_shard, shard, slot.
 
-    The old layout has `n_old` shards of consecutive blocks. A block of more than one
-    `parts`-th of all bytes is split into pieces of about that size, so the driver sees at
-    most n_blocks + 2 * parts rows.
+    The old layout has `n_old` shards of consecutive blocks. A text of more than one
+    `parts`-th of all bytes is split by row, and a block of more without such texts by
+    hash, into pieces of about that size, so the driver sees at most n_blocks + 3 * parts
+    rows.
     """
     narrow = stored(
         docs.select(
             docs["doc_id"].cast("long").alias("doc_id"),
             (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
             F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
-            F.pmod(F.xxhash64("text"), F.lit(n_blocks)).cast("int").alias("block"),
+            F.xxhash64("text").alias("hash"),
             F.monotonically_increasing_id().alias("row"),
-        ),
+        ).withColumn("home", F.pmod("hash", F.lit(n_blocks)).cast("int")),
         "sizes",
     )
-    sums = narrow.groupBy("block").agg(F.sum("size").alias("size"), F.count("*").alias("rows"))
+    sums = narrow.groupBy("home").agg(F.sum("size").alias("size"))
     total = sums.agg(F.sum("size")).first()[0] or 0
     share = max(1, total // parts)
-    cut = F.when(F.col("size") > share, F.ceil(F.col("size") / share).cast("int")).otherwise(1)
-    pieces = sums.select("block", cut.alias("pieces"))
-    spread = narrow.join(F.broadcast(pieces), "block").withColumn(  # n_blocks rows at most
-        "part", F.pmod(F.hash("row"), F.col("pieces"))
+    pieces = F.ceil(F.col("size") / share).cast("int")
+    full = stored(sums.where(F.col("size") > share), "full")  # 2 * parts blocks at most
+    # Only texts of full blocks are summed one by one.
+    inside = narrow.join(F.broadcast(full.select("home")), "home", "left_semi")
+    by_text = inside.groupBy("hash").agg(F.sum("size").alias("size"), F.first("home").alias("home"))
+    hot = stored(by_text.where(F.col("size") > share).withColumn("pieces", pieces), "hot")  # as few
+    names = sorted((r.hash, r.home, r.pieces, r.size) for r in hot.toLocalIterator())
+    own = docs.sparkSession.createDataFrame(
+        [(h, n_blocks + k, n) for k, (h, _, n, _) in enumerate(names)], "hash long, own int, own_pieces int"
+    )
+    home_of = {n_blocks + k: home for k, (_, home, _, _) in enumerate(names)}
+    gone = hot.groupBy("home").agg(F.sum("size").alias("gone"))
+    cold = (
+        full.join(F.broadcast(gone), "home", "left")
+        .select("home", (F.col("size") - F.coalesce("gone", F.lit(0))).alias("size"))
+        .select("home", F.greatest(pieces, F.lit(1)).alias("cold_pieces"))
+    )
+    by_row = F.pmod(F.hash("row"), F.col("own_pieces"))
+    by_hash = F.pmod(F.hash("hash"), F.coalesce("cold_pieces", F.lit(1)))
+    spread = narrow.join(F.broadcast(own), "hash", "left").join(F.broadcast(cold), "home", "left").select(
+        "doc_id", "size", "text_crc32", "row", F.coalesce("own", "home").alias("block"),
+        F.when(F.col("own").isNotNull(), by_row).otherwise(by_hash).alias("part"),
     )
     found = spread.groupBy("block", "part").agg(F.sum("size").alias("size"), F.count("*").alias("rows"))
     blocks = sorted(
-        (Block(r.block, r.part, r.size, r.rows, r.block * n_old // n_blocks) for r in found.toLocalIterator()),
+        (Block(r.block, r.part, r.size, r.rows, home_of.get(r.block, r.block) * n_old // n_blocks) for r in found.toLocalIterator()),
         key=lambda b: (b.block, b.part),
     )
     shards = place(blocks, n_old, n_new) if blocks else []
@@ -186,7 +207,7 @@ def reshard(
     order = Window.partitionBy("block", "part").orderBy("doc_id", "size", "text_crc32", "row")
     return (
         spread.withColumn("rank", F.row_number().over(order) - 1)
-        .join(F.broadcast(planned), ["block", "part"])  # n_blocks + 2 * parts rows at most
+        .join(F.broadcast(planned), ["block", "part"])  # n_blocks + 3 * parts rows at most
         .select(
             "doc_id", "size", "text_crc32", "old_shard", "shard",
             (F.col("first") + F.col("rank")).cast("long").alias("slot"), "row",

@@ -227,6 +227,20 @@ def test_resharding(docs, prose):
     assert all(len(s) == 1 for s in groups.values())
 
 
+@pytest.mark.parametrize("n_blocks", [1, 4])
+def test_texts_beside_a_hot_one_stay_together(docs, n_blocks):
+    hot, cold = "a hot text " * 20, {i: f"cold text {i // 8} " * 9 for i in range(400)}
+    rows = op9_sharding.reshard(docs([*cold.items(), *((1000 + i, hot) for i in range(200))]), n_blocks=n_blocks, parts=40).collect()
+    groups, slots, sizes = {}, [[] for _ in range(8)], [0] * 8
+    for r in rows:
+        groups.setdefault(cold.get(r["doc_id"], hot), set()).add(r["shard"])
+        slots[r["shard"]].append(r["slot"])
+        sizes[r["shard"]] += r["size"]
+    assert len(rows) == 600 and all(sorted(s) == list(range(len(s))) for s in slots)
+    assert len(groups.pop(hot)) > 1 and all(len(s) == 1 for s in groups.values())
+    assert max(sizes) < 1.2 * min(sizes)
+
+
 def test_resharding_of_one_text_and_of_nothing(docs):
     rows = op9_sharding.reshard(docs([(None, "same")] * 400)).collect()
     counts = [sum(r["shard"] == s for r in rows) for s in range(8)]
