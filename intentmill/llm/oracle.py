@@ -74,8 +74,19 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
 FROM (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) LEFT JOIN sizes USING (doc_id)
 """
 
+ARCHIVE = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+d AS (SELECT page_id, octet_length(encode(t)) AS payload_bytes, sha1(t) AS payload_digest FROM p),
+k AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM d),
+r AS (SELECT *, payload_bytes >= 1000 AND last IS NOT NULL AND page_id IS DISTINCT FROM last AS again FROM k)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN last END AS refers_to
+FROM r
+"""
+
 ORACLE_SQL = {
     "op5_winnowing": DECONTAMINATION,
     "op7_count_min": REPEATS,
     "op10_t_occurrence": JACCARD,
+    "op13_warc_archive": ARCHIVE,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ import corpus_pipeline
 from intentmill.llm import (
     op1_secret_scan,
     op10_jaccard_join,
+    op13_warc,
     op2_fingerprint,
     op3_quality,
     op4_token_counts,
@@ -21,6 +24,7 @@ from intentmill.llm import (
 )
 from intentmill.llm.common import table
 from intentmill.llm.oracle import ORACLE_SQL
+from intentmill.sources.results import shared_folder
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
@@ -85,6 +89,14 @@ def op10_t_occurrence(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op13_warc_archive(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/archive-{uuid.uuid4().hex}"
+    op13_warc.write_archives(table(spark, folder, "pages"), path)
+    return op13_warc.read_archives(spark, path, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan_,
     "op2_closed_syncmers": op2_closed_syncmers,
@@ -96,5 +108,6 @@ QUERIES = {
     "op8_levenshtein_toxicity": op8_levenshtein_toxicity,
     "op9_resharding": op9_resharding,
     "op10_t_occurrence": op10_t_occurrence,
+    "op13_warc_archive": op13_warc_archive,
     "pipeline": corpus_pipeline.run,
 }
