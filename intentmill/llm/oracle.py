@@ -74,6 +74,40 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
 FROM (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) LEFT JOIN sizes USING (doc_id)
 """
 
+PHRASES = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOW}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+starts AS (SELECT lang, w, k, unnest(range(len(w) - k + 1)) AS i FROM w CROSS JOIN range(1, 4) AS t(k) WHERE len(w) >= k),
+f AS (
+  SELECT lang, k, phrase, count(*) AS f FROM (SELECT lang, k, array_to_string(w[i + 1 : i + k], ' ') AS phrase FROM starts)
+  GROUP BY lang, k, phrase
+),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE k > 1 AND f >= 10),
+cut AS (SELECT *, unnest(range(1, k)) AS c FROM cand),
+parts AS (
+  SELECT cut.lang, cut.k, cut.phrase, a, c, x.f AS l, y.f AS r,
+         (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
+  FROM cut
+  JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(w[:c], ' ')
+  JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(w[c + 1 :], ' ')
+),
+scored AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) AS first FROM parts) WHERE first = 1
+),
+around AS (
+  SELECT lang, array_to_string(w[s : s + 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest([1, 2]) AS s FROM cand WHERE k = 3) GROUP BY 1, 2
+),
+kept AS (
+  SELECT s.* FROM scored s LEFT JOIN around o ON o.lang = s.lang AND o.phrase = s.phrase AND s.k = 2
+  WHERE o.longer IS NULL OR 100 * o.longer < 50 * a
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
 ARCHIVE = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
 d AS (SELECT page_id, octet_length(encode(t)) AS payload_bytes, sha1(t) AS payload_digest FROM p),
@@ -88,5 +122,6 @@ ORACLE_SQL = {
     "op5_winnowing": DECONTAMINATION,
     "op7_count_min": REPEATS,
     "op10_t_occurrence": JACCARD,
+    "op12_best_first_phrases": PHRASES,
     "op13_warc_archive": ARCHIVE,
 }

@@ -12,6 +12,7 @@ import corpus_pipeline
 from intentmill.llm import (
     op1_secret_scan,
     op10_jaccard_join,
+    op12_collocations,
     op13_warc,
     op2_fingerprint,
     op3_quality,
@@ -89,6 +90,10 @@ def op10_t_occurrence(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op12_best_first_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return op12_collocations.collocations(table(spark, folder, "documents"))
+
+
 def op13_warc_archive(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{shared_folder(spark)}/archive-{uuid.uuid4().hex}"
     op13_warc.write_archives(table(spark, folder, "pages"), path)
@@ -108,6 +113,7 @@ QUERIES = {
     "op8_levenshtein_toxicity": op8_levenshtein_toxicity,
     "op9_resharding": op9_resharding,
     "op10_t_occurrence": op10_t_occurrence,
+    "op12_best_first_phrases": op12_best_first_phrases,
     "op13_warc_archive": op13_warc_archive,
     "pipeline": corpus_pipeline.run,
 }
