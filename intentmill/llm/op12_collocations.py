@@ -276,11 +276,18 @@ def _scored_triples(triples: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
+def _best(rows: DataFrame, order: list[Column], k: int, parts: int = 64) -> DataFrame:
+    """The first k rows of each language, with their `rank`; a hot language is first cut down in parts."""
+    number = lambda *by: F.row_number().over(Window.partitionBy("lang", *by).orderBy(*order))
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64(*rows.columns), F.lit(parts)))
+    some = dealt.withColumn("rank", number("part")).where(F.col("rank") <= k).drop("part", "rank")
+    return some.withColumn("rank", number().cast("long")).where(F.col("rank") <= k)
+
+
 def _floors(pairs: DataFrame, rank: int) -> DataFrame:
     """Per language the score of its `rank`-th best pair, 0 if it has fewer."""
-    best = Window.partitionBy("lang").orderBy(F.desc("score"))
     return (
-        pairs.select("lang", "score", F.row_number().over(best).alias("k")).where(F.col("k") <= rank)
+        _best(pairs.select("lang", "phrase", "score"), [F.desc("score")], rank)
         .groupBy("lang").agg(F.when(F.count("*") == rank, F.min("score")).otherwise(F.lit(0)).alias("floor"))
     )
 
@@ -330,10 +337,7 @@ def _ranked(pairs: DataFrame, triples: DataFrame, floors: DataFrame, top: int, i
     columns = ["lang", "phrase", "a", "l", "r", "score"]
     kept = high.where(F.col("longer").isNull() | (100 * F.col("longer") < inside * F.col("a"))).select(*columns)
     grown = triples.join(floors, "lang").where("score >= floor").select(*columns)
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    return kept.union(grown).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top).withColumn(
-        "rank", F.col("rank").cast("long")
-    )
+    return _best(kept.union(grown), [F.desc("score"), F.desc("a"), F.asc("phrase")], top)
 
 
 def _settled(floors: DataFrame, ranked: DataFrame, top: int) -> DataFrame:
