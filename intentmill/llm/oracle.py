@@ -78,19 +78,21 @@ PHRASES = rf"""
 WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOW}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
 w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
 starts AS (SELECT lang, w, k, unnest(range(len(w) - k + 1)) AS i FROM w CROSS JOIN range(1, 4) AS t(k) WHERE len(w) >= k),
-f AS (
+f AS MATERIALIZED (
   SELECT lang, k, phrase, count(*) AS f FROM (SELECT lang, k, array_to_string(w[i + 1 : i + k], ' ') AS phrase FROM starts)
   GROUP BY lang, k, phrase
 ),
 n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
 cand AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE k > 1 AND f >= 10),
-cut AS (SELECT *, unnest(range(1, k)) AS c FROM cand),
+cut AS MATERIALIZED (
+  SELECT lang, k, phrase, a, c, array_to_string(w[:c], ' ') AS head, array_to_string(w[c + 1 :], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, k)) AS c FROM cand)
+),
 parts AS (
   SELECT cut.lang, cut.k, cut.phrase, a, c, x.f AS l, y.f AS r,
          (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
   FROM cut
-  JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(w[:c], ' ')
-  JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(w[c + 1 :], ' ')
+  JOIN f x ON x.lang = cut.lang AND x.phrase = head JOIN f y ON y.lang = cut.lang AND y.phrase = tail
 ),
 scored AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) AS first FROM parts) WHERE first = 1
