@@ -12,6 +12,7 @@ import corpus_pipeline
 from intentmill.llm import (
     op1_secret_scan,
     op10_jaccard_join,
+    op11_alignment,
     op12_collocations,
     op13_warc,
     op2_fingerprint,
@@ -90,6 +91,12 @@ def op10_t_occurrence(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op11_fragment_monoid(spark: SparkSession, folder: str) -> DataFrame:
+    return op11_alignment.align(
+        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
 def op12_best_first_phrases(spark: SparkSession, folder: str) -> DataFrame:
     return op12_collocations.collocations(table(spark, folder, "documents"))
 
@@ -113,6 +120,7 @@ QUERIES = {
     "op8_levenshtein_toxicity": op8_levenshtein_toxicity,
     "op9_resharding": op9_resharding,
     "op10_t_occurrence": op10_t_occurrence,
+    "op11_fragment_monoid": op11_fragment_monoid,
     "op12_best_first_phrases": op12_best_first_phrases,
     "op13_warc_archive": op13_warc_archive,
     "pipeline": corpus_pipeline.run,
