@@ -26,7 +26,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.stored_at = path
+    return found
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the tables of stored frames that nothing reads any more."""
+    for frame in frames:
+        place = frame.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(frame.stored_at)
+        place.getFileSystem(frame.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def fresh(frame: DataFrame, name: str) -> str:
@@ -74,7 +83,8 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
             with_least(ordered, low).select(F.col("b").alias("a"), F.col("m").alias("b"))
             .union(low.select("a", F.col("m").alias("b")))
         )
-        now = stored(small.where("a <> b").distinct(), "edges")
+        before, now = now, stored(small.where("a <> b").distinct(), "edges")
+        discard(before)
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(state) == seen:
             break

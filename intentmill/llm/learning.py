@@ -14,13 +14,14 @@ from intentmill.llm.common import held_out, texts
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
     """doc_id, text, label of at most `rows` labelled documents that are not held out.
 
-    They are those with the smallest hashes of their ids; an id with several texts or
-    labels counts once.
+    They are those with the smallest hashes of their ids among documents that are there; an id
+    with several texts or labels counts once.
     """
+    there = texts(docs).select("doc_id").distinct()
     usable = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels[label].cast("int").alias("label"))
     chosen = (
         usable.where(F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
-        .groupBy("doc_id").agg(F.max("label").alias("label"))
+        .groupBy("doc_id").agg(F.max("label").alias("label")).join(there, "doc_id", "left_semi")
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
     found = texts(docs).join(F.broadcast(chosen), "doc_id")  # `rows` rows at most

@@ -36,10 +36,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from intentmill.llm.common import components, fresh, stored, texts, with_least
+from intentmill.llm.common import components, discard, fresh, stored, texts, with_least
 from intentmill.llm.hashing import WordHashes, mixed, runs
 
 PER_CENT = 90  # of similarity, unless a caller asks for another; segments and thresholds follow from it
@@ -260,9 +260,10 @@ def described(docs: DataFrame, n: int = 3, per_cent: int = PER_CENT) -> DataFram
     )
 
 
-def _supported(met: DataFrame, needs: DataFrame) -> DataFrame:
+def _supported(met: DataFrame, needs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """Stars (set_id, center) of the segments of sets that have as many shared ones as a link needs.
 
+    Also the tables stored for it, which can go when the stars are stored.
     `met` holds every shared segment's sets but the smallest, which is their center. A set
     that comes in several batches counts its segments more often, which keeps it.
     """
@@ -276,23 +277,27 @@ def _supported(met: DataFrame, needs: DataFrame) -> DataFrame:
     able = stored(able.select("set_id", "cls"), "able")
     left = stored(shared.join(able, ["set_id", "cls"]).select(F.col("key").alias("a"), F.col("set_id").alias("b")), "shared")
     with_center = with_least(left, left.groupBy("a").agg(F.min("b").alias("m"))).where("b <> m")
-    return with_center.select(F.col("b").alias("set_id"), F.col("m").alias("center")).distinct()
+    return with_center.select(F.col("b").alias("set_id"), F.col("m").alias("center")).distinct(), [able, left]
 
 
 def jaccard_components(
-    docs: DataFrame, n: int = 3, block_elements: int = 60_000, broadcast_rows: int = 200_000, per_cent: int = PER_CENT
+    docs: DataFrame, n: int = 3, block_elements: int = 250_000, per_cent: int = PER_CENT
 ) -> DataFrame:
     """Per row: doc_id, text_hash, n_shingles, component_id, the smallest id linked with it.
 
     `root` names the component; it is NULL for an empty set.
     """
-    rows = stored(described(docs, n, per_cent), "sets")
-    postings = rows.where("keys is not null").select("set_id", F.explode("keys").alias("key"))
+    sets = stored(described(docs, n, per_cent), "sets")
+    rows = stored(sets.select("doc_id", "text_hash", "size", "set_id"), "rows")
+    postings = sets.where("keys is not null").select("set_id", F.explode("keys").alias("key"))
     # Each set points at the smallest with the same segment; reading on needs no memory.
     first = F.expr("first(set_id) over (partition by key order by set_id rows between unbounded preceding and current row)")
     met = stored(postings.select("set_id", "key", first.alias("center")).where("set_id <> center"), "met")
-    stars = _supported(met, rows.where("keys is not null").select("set_id", F.explode("needs").alias("need")))
-    groups = stored(components(stars.select(F.col("set_id").alias("a"), F.col("center").alias("b"))), "groups")
+    stars, kept = _supported(met, sets.where("keys is not null").select("set_id", F.explode("needs").alias("need")))
+    stars = stored(stars.select(F.col("set_id").alias("a"), F.col("center").alias("b")), "stars")
+    discard(sets, met, *kept)
+    groups = stored(components(stars), "groups")
+    discard(stars)
     members = groups.union(groups.select(F.col("root"), F.col("root")).distinct()).distinct()
 
     chosen = rows.where("set_id is not null").groupBy("set_id").agg(
@@ -308,10 +313,8 @@ def jaccard_components(
         "wanted",
     )
     source = texts(docs).withColumn("text_hash", F.xxhash64("text"))
-    # A list of candidates of proven size goes to the texts; a longer one meets them in a shuffle.
-    few = F.broadcast(wanted) if wanted.count() <= broadcast_rows else wanted
     with_text = source.join(
-        few, source["doc_id"].eqNullSafe(wanted["w_id"]) & (source["text_hash"] == wanted["w_hash"])
+        wanted, source["doc_id"].eqNullSafe(wanted["w_id"]) & (source["text_hash"] == wanted["w_hash"])
     ).select("set_id", "part", "block", "blocks", "text")
     built = with_text.mapInArrow(_elements(n), "set_id long, part long, block int, blocks int, elements binary")
     others = F.sequence(F.lit(0), F.col("blocks") - 1)
@@ -319,7 +322,8 @@ def jaccard_components(
         "part", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"), "block", "set_id", "elements"
     )
     edges = paired.groupBy("part", "b1", "b2").applyInPandas(_join_blocks(per_cent), "a long, b long")
-    linked = components(edges)
+    linked = stored(components(edges), "linked")
+    discard(groups, wanted)
 
     least = rows.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("least"))
     roots = least.join(linked, least["set_id"] == linked["node"], "left").select(
@@ -344,14 +348,21 @@ def one_of_each(docs: DataFrame, **how) -> DataFrame:
     """
     found = jaccard_components(docs, **how)
     first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_hash"))).alias("x")
-    keep = (
-        found.where("root is not null").groupBy("root").agg(first).select("x.doc_id", "x.text_hash")
-        .union(found.where("root is null").select("doc_id", "text_hash").distinct())
-        .select(F.col("doc_id").alias("_k_id"), F.col("text_hash").alias("_k_hash"))
-    )
-    key, rank = fresh(docs, "text_hash"), fresh(docs, "rank")
-    joined = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit("")))).join(
-        keep, F.col("doc_id").eqNullSafe(F.col("_k_id")) & (F.col(key) == F.col("_k_hash"))
-    )
-    number = F.row_number().over(Window.partitionBy("_k_id", "_k_hash").orderBy(key))
-    return joined.withColumn(rank, number).where(F.col(rank) == 1).select(*docs.columns)
+    one = found.where("root is not null").groupBy("root").agg(first).select("root", "x.doc_id", "x.text_hash")
+    again = found.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n"), F.max("root").alias("root"))
+    same = again["doc_id"].eqNullSafe(one["doc_id"]) & (again["text_hash"] == one["text_hash"]) & (again["root"] == one["root"])
+    away = again.join(one, same, "left_anti").where("root is not null")
+    go = stored(away.select("doc_id", "text_hash").union(again.where("n > 1").select("doc_id", "text_hash")).distinct(), "go")
+    names = [fresh(docs, x) for x in ("text_hash", "go_id", "go_hash")]
+    key, go_id, go_hash = names
+    go = go.toDF(go_id, go_hash)
+    hashed = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit(""))))
+    match = F.col("doc_id").eqNullSafe(F.col(go_id)) & (F.col(key) == F.col(go_hash))
+    kept = hashed.join(go, match, "left_anti").select(*docs.columns)
+    # Of rows that repeat as a whole group's first, or without a set, one comes back.
+    gone = away.select(F.col("doc_id").alias("a_id"), F.col("text_hash").alias("a_hash"))
+    back = again.where("n > 1").join(gone, F.expr("doc_id <=> a_id and text_hash = a_hash"), "left_anti")
+    back = stored(back.select(F.col("doc_id").alias(go_id), F.col("text_hash").alias(go_hash)), "back")
+    rows = F.struct(*[F.col(c) for c in docs.columns])
+    some = hashed.join(back, match, "left_semi").groupBy("doc_id", key).agg(F.min_by(rows, F.xxhash64(*docs.columns)).alias("row"))
+    return kept.union(some.select("row.*"))

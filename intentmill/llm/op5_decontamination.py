@@ -14,7 +14,8 @@ benchmark fill it, more candidates are joined, with the same result. The join is
 the optimizer, which splits frequent windows. Hits are gathered per document, so an
 array is never longer than its document.
 
-A NULL text has no words. Rows with equal id and text are counted each and get the same
+A NULL text has no words. The windows of an item without an id are hits like others; only its
+id is left out of the items. Rows with equal id and text are counted each and get the same
 result. An empty benchmark or table of documents gives no hits or no rows.
 """
 
@@ -25,7 +26,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from intentmill.llm.common import fresh
+from intentmill.llm.common import fresh, stored
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -119,7 +120,6 @@ def item_windows(items: DataFrame, window: int, k: int) -> DataFrame:
         short = short.when(F.size("words") == n, _spans(n, F.array(F.lit(0)), _key(n, window, k)))
     return (
         cut.select("item", F.explode(F.concat(whole, short)).alias("x"))
-        .where("item is not null")
         .groupBy("x.n", "x.key", "x.span").agg(F.collect_set("item").alias("items"))
     )
 
@@ -192,10 +192,11 @@ def decontaminate(
 def clean_only(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
     """The documents that are not contaminated, with all their columns and as often as they come."""
     found = decontaminate(docs, items, **how).where("contaminated").select("doc_id", "text_hash").distinct()
-    key = fresh(docs, "text_hash")
-    found = found.select(F.col("doc_id").alias("_found_id"), F.col("text_hash").alias("_found_hash"))
+    key, found_id, found_hash = (fresh(docs, x) for x in ("text_hash", "found_id", "found_hash"))
+    # Stored, so that its true size is known before the texts are read: few ids need no shuffle of texts.
+    found = stored(found, "contaminated").toDF(found_id, found_hash)
     return (
         docs.withColumn(key, F.xxhash64("text"))
-        .join(found, F.col("doc_id").eqNullSafe(F.col("_found_id")) & (F.col(key) == F.col("_found_hash")), "left_anti")
+        .join(found, F.col("doc_id").eqNullSafe(F.col(found_id)) & F.col(key).eqNullSafe(F.col(found_hash)), "left_anti")
         .drop(key)
     )

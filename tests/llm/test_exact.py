@@ -282,10 +282,10 @@ def test_components(spark):
     assert {r["node"]: r["root"] for r in found} == {x: root(x) for x in parent if root(x) != x}
 
 
-@pytest.mark.parametrize("block, few", [(400, 0), (60_000, 200_000)])
-def test_jaccard_components(docs, prose, block, few):
+@pytest.mark.parametrize("block", [400, 250_000])
+def test_jaccard_components(docs, prose, block):
     expected = brute.jaccard(prose)
-    rows = by_id(op10_jaccard_join.jaccard_components(docs(prose), block_elements=block, broadcast_rows=few))
+    rows = by_id(op10_jaccard_join.jaccard_components(docs(prose), block_elements=block))
     assert {i: (r["n_shingles"], r["component_id"]) for i, r in rows.items()} == expected
 
 
@@ -329,3 +329,14 @@ def test_empty_tables(docs):
     assert op7_substring_dedup.remove_repeats(none).count() == 0
     assert op10_jaccard_join.jaccard_components(none).count() == 0
     assert op10_jaccard_join.one_of_each(none).columns == none.columns
+
+
+def test_clashing_names_and_items_without_id(spark, docs, prose):
+    table = docs(prose).withColumns({c: F.lit("own") for c in ("_k_id", "_k_hash", "_found_id", "_found_hash", "go_id", "go_hash", "found_id", "root")})
+    kept = op10_jaccard_join.one_of_each(table)
+    assert kept.columns == table.columns and kept.where("root = 'own' and go_id = 'own'").count() == kept.count() > 0
+    items = spark.createDataFrame([(None, prose[1]), ("b", prose[2])], "item_id string, text string")
+    clean = op5_decontamination.clean_only(table, items)
+    assert clean.columns == table.columns and {1, 2}.isdisjoint(r["doc_id"] for r in clean.collect())
+    rows = by_id(op5_decontamination.decontaminate(docs({1: prose[1], 2: prose[2]}), items))
+    assert rows[1]["n_hit"] > 0 and rows[1]["contaminated"] and (rows[1]["n_items"], rows[2]["n_items"]) == (0, 1)

@@ -1,11 +1,14 @@
 """Operators that learn: held-out accuracy, gradients, automata."""
 
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from intentmill.llm import op3_quality, op8_toxicity
 from intentmill.llm.common import held_out
+from intentmill.llm.learning import labelled_sample
 from intentmill.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.1"
@@ -95,7 +98,14 @@ def test_copies_count_once():
 
 
 def test_what_is_held_out(spark):
-    import zlib
-
     rows = spark.range(100).select("id", held_out(F.col("id")).alias("out")).collect()
     assert all(r["out"] == (zlib.crc32(str(r["id"]).encode()) % 5 == 0) for r in rows)
+
+
+@pytest.mark.parametrize("rows", [10, 4000])
+def test_labels_of_other_documents_use_up_nothing(spark, docs, rows):
+    table = docs([(500 * i, f"text {i}") for i in range(40)])
+    labels = spark.range(20_000).selectExpr("id doc_id", "cast(id % 2 as int) quality")
+    usable = [500 * i for i in range(40) if zlib.crc32(str(500 * i).encode()) % 5]
+    found = {r["doc_id"] for r in labelled_sample(table, labels, "quality", rows).collect()}
+    assert len(found) == min(rows, len(usable)) and found <= set(usable)
