@@ -17,7 +17,7 @@ REQUIRED_COLUMNS = ("qid", "query")
 @dataclass(frozen=True)
 class LoadOptions:
     split: str = "validation"            # "all" keeps every split
-    multiline: bool = False              # records of text files may hold quoted line breaks
+    multiline: bool = True               # records of text files may hold quoted line breaks
     lowercase: bool = True
     strip_punct: bool = True
     keep_columns: tuple[str, ...] | None = None

@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from intentmill.functions.replies import with_object
 from intentmill.functions.text import strip
 from intentmill.options import REQUIRED_COLUMNS
+from intentmill.sources.records import read_records, spans_lines
 
 _SEPARATORS = {".tsv": "\t", ".csv": ","}
 
@@ -31,13 +32,13 @@ def check_not_empty(df: DataFrame, what: str = "records") -> DataFrame:
     return df
 
 
-def read_query_log(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def read_query_log(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """Read a query log by its extension, all columns as text.
 
     `.tsv` and `.csv` have a header. If the header names neither `qid` nor `query`
-    the file is read again as two tab-separated columns without a header. A record
-    must not span lines, which keeps one large file splittable; `multiline` allows
-    quoted line breaks, and each file is then read by one task.
+    the file is read again as two tab-separated columns without a header. Quoted fields
+    may hold line breaks; files are read in pieces all the same (`records`). Without
+    `multiline`, which saves a scan, every line is a record.
     """
     suffix = path[path.rfind("."):].rstrip("/").lower() if "." in path else ""
     if suffix == ".parquet":
@@ -45,16 +46,14 @@ def read_query_log(spark: SparkSession, path: str, multiline: bool = False) -> D
     if suffix not in _SEPARATORS:
         raise ValueError(f"cannot tell the format of {path}: use .tsv, .csv or .parquet")
 
-    quoting = {"quote": '"', "escape": '"', "multiLine": multiline}
-    df = (
-        spark.read.options(sep=_SEPARATORS[suffix], header=True, **quoting).csv(path)
-    )
-    if not set(REQUIRED_COLUMNS) <= set(df.columns):
-        df = (
-            spark.read.options(sep="\t", header=False, **quoting)
-            .schema("qid string, query string")
-            .csv(path)
-        )
+    quoting, sep = {"quote": '"', "escape": '"'}, _SEPARATORS[suffix]
+    df = spark.read.options(sep=sep, header=True, **quoting).csv(path)
+    header = set(REQUIRED_COLUMNS) <= set(df.columns)
+    if not header:
+        sep = "\t"
+        df = spark.read.options(sep=sep, header=False, **quoting).schema("qid string, query string").csv(path)
+    if multiline and spans_lines(spark, path, sep):
+        df = read_records(spark, path, sep, df.columns, header)
     return check_columns(df)
 
 

@@ -1,4 +1,6 @@
+import csv
 import json
+import random
 
 import pytest
 
@@ -7,6 +9,7 @@ from intentmill.options import LoadOptions
 from intentmill.sources.results import (
     counted, drop_steps, save_step, shared_folder, write_summary, write_tsv,
 )
+from intentmill.sources.records import lines_of, spans_lines
 from intentmill.sources.tables import check_not_empty, read_examples, read_query_log
 
 LOG = (
@@ -120,9 +123,42 @@ def test_steps_and_counters(spark):
 def test_line_breaks_in_records(spark, tmp_path):
     path = tmp_path / "log.csv"
     path.write_text('qid,query\n1,"two\nlines"\n2,one\n')
-    assert {r.qid: r.query for r in read_query_log(spark, str(path), multiline=True).collect()} == {"1": "two\nlines", "2": "one"}
-    write_tsv(spark.createDataFrame([("1", "two\r\nlines")], "qid string, query string"), str(tmp_path / "out.tsv"))
-    assert read_query_log(spark, str(tmp_path / "out.tsv")).first().query == "two lines"
+    assert {r.qid: r.query for r in read_query_log(spark, str(path)).collect()} == {"1": "two\nlines", "2": "one"}
+
+
+ODD_TEXTS = ["a\nb", "\n", "tab\there", 'say "hi"', '"', '""', 'x "\n" y', "two\r\nlines", "\r", 'a\n"b"\n\n"c', "plain", "a,b", '32" tv', None,
+             "qid\tquery", "é\n日本", "back\\slash\n", " lead", "trail ", "\n\n\n", '"\n"\n"']
+
+
+def test_texts_come_back_as_they_were(spark, tmp_path):
+    data = {(str(i), t) for i, t in enumerate(ODD_TEXTS)}
+    write_tsv(spark.createDataFrame(sorted(data, key=str), "qid string, query string").repartition(3), str(tmp_path / "out.tsv"))
+    assert {tuple(r) for r in read_query_log(spark, str(tmp_path / "out.tsv")).collect()} == data
+
+
+@pytest.mark.parametrize("split", [7, 64, 500])
+def test_one_file_in_many_pieces(spark, tmp_path, split):
+    draw = random.Random(split)
+    rows = [(str(i), draw.choice([x for x in ODD_TEXTS if x]) * draw.randint(1, 4)) for i in range(80 if split > 7 else 12)]
+    path = tmp_path / "log.tsv"
+    with path.open("w", newline="") as file:
+        out = csv.writer(file, delimiter="\t", lineterminator="\n")
+        out.writerows([("qid", "query"), *rows])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
+    try:
+        assert lines_of(spark, str(path)).rdd.getNumPartitions() > 7
+        assert sorted(tuple(r) for r in read_query_log(spark, str(path)).collect()) == sorted(rows)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_quotes_inside_plain_texts_open_nothing(spark, tmp_path):
+    path = tmp_path / "log.tsv"
+    path.write_text('qid\tquery\n1\t32" tv\n2\tplain\n3\t5" and 6"\n4\tit"s\n')
+    assert not spans_lines(spark, str(path), "\t")
+    assert read_query_log(spark, str(path)).count() == 4
 
 
 def test_steps_can_be_dropped(spark):
