@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -135,13 +136,16 @@ def ask_model(
     tries: int = TRIES,
     failed: str = FAILED_REPLY,
     parallel: int | None = None,
+    concurrency: int = 1,
 ) -> DataFrame:
-    """Replies from `ask(system_prompt, prompt)`, asked by `parallel` tasks.
+    """Replies from `ask(system_prompt, prompt)`, asked by `parallel` tasks, `concurrency` calls at a time in each.
 
     Requests are dealt out by their keys, as many tasks as the session has cores if
     nothing else is said: a small file is one partition, which one core would serve. A
     prompt is tried again if the call raises; after the last try the reply is
-    `failed`. A lost task asks again, so store the result before using it.
+    `failed`. A lost task asks again, so store the result before using it. With a `concurrency`
+    above 1, `ask` is called from several threads; at most that many prompts wait for a reply, and
+    rows keep their order.
     """
     keys = [c for c in requests.columns if c not in ("system_prompt", "prompt")]
     schema = T.StructType(
@@ -157,9 +161,10 @@ def ask_model(
         return failed
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            raw = [reply(s, p) for s, p in zip(batch["system_prompt"], batch["prompt"])]
-            yield batch[keys].assign(raw=pd.Series(raw, index=batch.index, dtype="object"))
+        with ThreadPoolExecutor(concurrency) as threads:
+            for batch in batches:
+                raw = list(threads.map(reply, batch["system_prompt"], batch["prompt"]))
+                yield batch[keys].assign(raw=pd.Series(raw, index=batch.index, dtype="object"))
 
     tasks = parallel or requests.sparkSession.sparkContext.defaultParallelism
     return requests.repartition(tasks, *keys).mapInPandas(run, schema)

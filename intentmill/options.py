@@ -31,6 +31,7 @@ class AnnotateOptions:
     mode: str = "zeroshot"               # or "fewshot"
     votes: int = 1
     parallel: int | None = None          # tasks that ask the model; None: one per core
+    concurrency: int = 1                 # model calls at a time in each task
     model_name: str = "replayed"
     provider: str = "table"
     prompt_version: str = "v1"

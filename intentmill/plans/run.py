@@ -139,7 +139,7 @@ def run(
         asked = save_step(_requests(waiting, annotate, examples), f"{out}/requests-{attempt}")
         if attempt and asked.isEmpty():
             break
-        new = save_step(ask_model(asked, ask, parallel=annotate.parallel), f"{out}/replies-{attempt}")
+        new = save_step(ask_model(asked, ask, parallel=annotate.parallel, concurrency=annotate.concurrency), f"{out}/replies-{attempt}")
         new = save_step(
             vote(parse_replies(new, annotate.allowed), annotate.allowed), f"{out}/votes-{attempt}"
         )
@@ -156,7 +156,7 @@ def run(
             sample, score.judge_mode, pick_ai_column(labelled, score.ai_columns), score.human_column,
         ).select("qid", "system_prompt", "prompt")
         verdicts = save_step(
-            ask_model(questions, ask_judge, 1, "", annotate.parallel), f"{out}/judge-replies"
+            ask_model(questions, ask_judge, 1, "", annotate.parallel, annotate.concurrency), f"{out}/judge-replies"
         )
         judged = save_step(judge_rows(labelled, verdicts, score, sample), f"{out}/judged")
     marks = None if judged is None else judge_tally(judged, score.allowed)

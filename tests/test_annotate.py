@@ -95,3 +95,27 @@ def test_merged_rows_get_new_provenance(rows):
     merged = merge_labels(old, new, AnnotateOptions(model_name="m2", provider="p2"))
     assert {r.qid: (r.ai_label, r.model_name, r.provider) for r in merged.collect()} == {
         "1": ("c", "m2", "p2"), "2": ("b", "m1", None)}
+
+
+def test_calls_wait_side_by_side(rows, tmp_path):
+    asked = rows([(str(i), "s", f"p{i}") for i in range(24)], "qid string, system_prompt string, prompt string")
+    places = str(tmp_path / "calls")
+
+    def ask(system, prompt):
+        import os, time
+        with open(f"{places}-{prompt}-{time.time_ns()}", "w"):
+            time.sleep(0.2)
+        if prompt == "p5":
+            raise ValueError
+        return prompt[::-1]
+
+    import time
+    ask_model(asked.limit(1), ask, parallel=1).collect()
+    took = []
+    for n in (1, 12):
+        start = time.perf_counter()
+        found = {r.qid: r.raw for r in ask_model(asked, ask, parallel=1, concurrency=n).collect()}
+        took.append(time.perf_counter() - start)
+        assert found == {str(i): FAILED_REPLY if i == 5 else f"p{i}"[::-1] for i in range(24)}
+    assert took[1] < took[0] / 3
+    assert sum("-p5-" in x.name for x in tmp_path.iterdir()) == 4
