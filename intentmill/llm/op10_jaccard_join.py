@@ -7,17 +7,24 @@ a quarter. Sets are therefore cut by hash into a few more segments than that, th
 depending on the size class, and any two that link have an equal segment in a class both
 take part in. A set also has as many equal segments with a linked one as it has segments
 more than differences; sets of which fewer segments occur in any other set can't link and
-are left out, so a passage that many texts share does not make one group of them. A star
-of edges per segment and their connected components make candidate groups, which hold
-every link.
-
-Inside a group the join is a T-occurrence search: each set asks the inverted lists of its
+are left out, so a passage that many texts share does not make one group of them.
+
+Links are found in a few rounds and a rest. In a round each segment names one of its sets by
+a hash that changes with the round, and a set goes to that named set of another component
+with which it has most segments in common, and enough for a link. Sets that meet there are
+joined, in blocks, and links found make components. A segment whose sets are all in one
+component has nothing left to say and goes; so do sets that have too few segments left. Each
+set travels once a round. What is still open after the rounds is searched in full: a star of
+edges per segment and their connected components make candidate groups, which hold every
+link that is missing.
+
+In a block or group the join is a T-occurrence search: each set asks the inverted lists of its
 shingles for sets that occur in at least T of them. Following DivideSkip, the longest
 lists are left aside, the short ones are merged by a heap, and what the merge leaves is
 looked up in the long ones by binary search until T is reached or out of reach. Sets
 already connected are not counted again, so a group of copies takes one count a set, not
-one a pair. A large group is cut into blocks, and each pair of blocks is a task of its
-own, so no task holds more than two blocks; tasks return spanning forests, never pairs.
+one a pair. A large group of the rest is cut into blocks, and each pair of blocks is a task
+of its own, so no task holds more than two blocks; tasks return spanning forests, never pairs.
 
 Similarity is exact up to 64-bit hashes. A NULL or empty text has an empty set, links with
 nothing, and is its own component. Rows that repeat are in one component; a NULL id counts
@@ -30,13 +37,14 @@ from __future__ import annotations
 import heapq
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import groupby
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from intentmill.llm.common import components, discard, fresh, stored, texts, with_least
@@ -187,13 +195,18 @@ def t_occurrence(
 
 
 def _forest(
-    ids: list[int], blocks: list[int], sets: list[np.ndarray], per_cent: int = PER_CENT
+    ids: list[int], blocks: list[int], sets: list[np.ndarray], per_cent: int = PER_CENT,
+    labels: list[int] | None = None,
 ) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the links between sets of two blocks, or inside one."""
+    """Edges of a spanning forest of the links between sets of two blocks, or inside one.
+
+    Sets of equal labels are known to be connected.
+    """
     order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), ids[i]))
-    ids, blocks, sets = ([x[i] for i in order] for x in (ids, blocks, sets))
+    ids, blocks, sets, labels = ([x[i] for i in order] for x in (ids, blocks, sets, labels or ids))
     sizes = [len(s) for s in sets]
-    index, parent = Index(sets), list(range(len(sets)))
+    index, first = Index(sets), {}
+    parent = [first.setdefault(label, i) for i, label in enumerate(labels)]
     crossing = len(set(blocks)) > 1
 
     def root(i: int) -> int:
@@ -207,7 +220,7 @@ def _forest(
 
     edges, apart = [], 0  # apart: components among the sets so far
     for i, query in enumerate(sets):
-        apart += 1
+        apart += first[labels[i]] == i
         if apart == 1:
             continue
         size = sizes[i]
@@ -235,7 +248,8 @@ def _join_blocks(per_cent: int):
     def join(group: pd.DataFrame) -> pd.DataFrame:
         group = group.drop_duplicates("set_id")
         sets = [np.frombuffer(x, np.uint64) for x in group["elements"]]
-        edges = _forest(group["set_id"].tolist(), group["block"].tolist(), sets, per_cent)
+        own = [group[x].tolist() for x in ("set_id", "block", "label")]
+        edges = _forest(own[0], own[1], sets, per_cent, own[2])
         return pd.DataFrame(edges, columns=["a", "b"]).astype("int64")
 
     return join
@@ -246,8 +260,7 @@ def _elements(n: int):
         sets = _Sets(n)
         for batch in batches:
             built = pa.array([sets(t.as_py()).tobytes() for t in batch.column("text")], pa.binary())
-            names = ["set_id", "part", "block", "blocks"]
-            yield pa.RecordBatch.from_arrays([*map(batch.column, names), built], names=[*names, "elements"])
+            yield pa.RecordBatch.from_arrays([batch.column("set_id"), built], names=["set_id", "elements"])
 
     return build
 
@@ -260,32 +273,109 @@ def described(docs: DataFrame, n: int = 3, per_cent: int = PER_CENT) -> DataFram
     )
 
 
-def _supported(met: DataFrame, needs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
-    """Stars (set_id, center) of the segments of sets that have as many shared ones as a link needs.
+def _class() -> Column:
+    return F.col("key").bitwiseAND(F.lit(63)).alias("cls")
+
 
-    Also the tables stored for it, which can go when the stars are stored.
-    `met` holds every shared segment's sets but the smallest, which is their center. A set
-    that comes in several batches counts its segments more often, which keeps it.
+def _undecided(postings: DataFrame, linked: DataFrame | None, wanted: DataFrame) -> DataFrame:
+    """Postings (key, set_id, label) that may still tell of a link between two components.
+
+    Left out are keys all of whose sets are in one component, then sets with fewer shared
+    keys of each class than a link needs. A set that comes in several batches counts its
+    keys more often, which keeps it.
     """
-    shared = met.select("set_id", "key").union(met.select("center", "key").distinct()).withColumn(
-        "cls", F.col("key").bitwiseAND(F.lit(63))
+    if linked is None:
+        named = postings.withColumn("label", F.col("set_id"))
+    else:
+        known = linked.select(F.col("node").alias("set_id"), "root")
+        named = postings.join(known, "set_id", "left").select(
+            "key", "set_id", F.coalesce("root", "set_id").alias("label")
+        )
+        several = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
+        kept = with_least(
+            named.withColumnsRenamed({"key": "a", "set_id": "b"}), several.select(F.col("key").alias("a")), salts=8
+        )
+        named = kept.select(F.col("a").alias("key"), F.col("b").alias("set_id"), "label")
+    counted = named.groupBy("set_id", _class()).agg(F.count("*").alias("n"))
+    able = counted.join(wanted, ["set_id", "cls"]).where("n >= least").select("set_id", "cls")
+    return stored(named.withColumn("cls", _class()).join(able, ["set_id", "cls"]).drop("cls"), "undecided")
+
+
+def _centers(postings: DataFrame, turn: int) -> DataFrame:
+    """Postings with one of the key's sets, another in each turn, as center, where that is of another component."""
+    pick = F.min(F.struct(F.xxhash64("set_id", F.lit(turn)), "set_id", "label")).alias("m")
+    least = postings.groupBy("key").agg(pick).withColumnRenamed("key", "a")
+    met = with_least(postings.withColumnsRenamed({"key": "a", "set_id": "b"}), least, salts=8)
+    return met.where("label <> m.label").select(
+        F.col("a").alias("key"), F.col("b").alias("set_id"), "label", F.col("m.set_id").alias("center"),
+        F.col("m.label").alias("center_label"),
+    )
+
+
+def _round(
+    postings: DataFrame, wanted: DataFrame, elements: DataFrame, turn: int, block_elements: int, per_cent: int
+) -> DataFrame:
+    """Links between each set and those that have the same nearest center, of which there are blocks of bounded size."""
+    shared = _centers(postings, turn).groupBy("set_id", "label", "center", "center_label", _class()).agg(F.count("*").alias("n"))
+    enough = shared.join(wanted, ["set_id", "cls"]).where("n >= least")
+    best = enough.groupBy("set_id").agg(
+        F.max_by(F.struct("label", "center", "center_label"), F.struct("n", "center")).alias("x")
+    ).select(F.col("x.center").alias("a"), F.col("set_id").alias("b"), "x.label", "x.center_label")
+    best = stored(best, "best")
+    sizes = elements.select(F.col("set_id").alias("b"), (F.octet_length("elements") / 8).alias("size"))
+    weight = best.join(sizes, "b").groupBy("a").agg(
+        F.ceil(F.sum("size") / block_elements).cast("int").alias("m"), F.first("center_label").alias("center_label")
+    )
+    weight = stored(weight, "weight")
+    sent = with_least(best.drop("center_label"), weight.drop("center_label"), salts=8).select(
+        F.col("b").alias("set_id"), "label", F.col("a").alias("center"),
+        F.pmod(F.xxhash64("b"), F.col("m")).cast("int").alias("part"),
+    )
+    heads = weight.select(
+        F.col("a").alias("set_id"), F.col("center_label").alias("label"), F.col("a").alias("center"),
+        F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("part"),
+    )
+    met = sent.union(heads).join(elements, "set_id").withColumn("block", F.lit(0))
+    found = stored(met.groupBy("center", "part").applyInPandas(_join_blocks(per_cent), "a long, b long"), "found")
+    discard(best, weight)
+    return found
+
+
+def _rest(postings: DataFrame, elements: DataFrame, turn: int, block_elements: int, per_cent: int) -> DataFrame:
+    """All further links, inside the groups that shared keys make, by pairs of blocks."""
+    met = _centers(postings, turn)
+    # Sets of one component are one node of the groups, or a link between it and others might be lost.
+    stars = stored(met.select(F.col("label").alias("a"), F.col("center_label").alias("b")).distinct(), "stars")
+    groups = stored(components(stars), "groups")
+    discard(stars)
+    members = groups.union(groups.select("root", "root").distinct()).distinct()
+    sets = postings.select("set_id", "label").distinct()
+    sized = sets.join(members, sets["label"] == members["node"]).join(
+        elements.select("set_id", (F.octet_length("elements") / 8).alias("size")), "set_id"
     )
-    wanted = needs.distinct().select(
-        "set_id", F.col("need").bitwiseAND(F.lit(63)).alias("cls"), F.shiftright("need", 6).alias("least")
+    sized = stored(sized.select(F.col("root").alias("a"), F.col("set_id").alias("b"), "label", "size"), "sized")
+    weight = sized.groupBy("a").agg(F.ceil(F.sum("size") / block_elements).cast("int").alias("m"))
+    wanted = with_least(sized.drop("size"), weight, salts=8).select(
+        F.col("b").alias("set_id"), "label", F.col("a").alias("part"), F.col("m").alias("blocks"),
+        F.pmod(F.xxhash64("b"), F.col("m")).cast("int").alias("block"),
     )
-    able = shared.groupBy("set_id", "cls").agg(F.count("*").alias("n")).join(wanted, ["set_id", "cls"]).where("n >= least")
-    able = stored(able.select("set_id", "cls"), "able")
-    left = stored(shared.join(able, ["set_id", "cls"]).select(F.col("key").alias("a"), F.col("set_id").alias("b")), "shared")
-    with_center = with_least(left, left.groupBy("a").agg(F.min("b").alias("m"))).where("b <> m")
-    return with_center.select(F.col("b").alias("set_id"), F.col("m").alias("center")).distinct(), [able, left]
+    others = F.sequence(F.lit(0), F.col("blocks") - 1)
+    paired = wanted.join(elements, "set_id").withColumn("other", F.explode(others)).select(
+        "part", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"), "block", "label", "set_id",
+        "elements",
+    )
+    found = stored(paired.groupBy("part", "b1", "b2").applyInPandas(_join_blocks(per_cent), "a long, b long"), "found")
+    discard(groups, sized)
+    return found
 
 
 def jaccard_components(
-    docs: DataFrame, n: int = 3, block_elements: int = 250_000, per_cent: int = PER_CENT
+    docs: DataFrame, n: int = 3, block_elements: int = 250_000, per_cent: int = PER_CENT, rounds: int = 2
 ) -> DataFrame:
     """Per row: doc_id, text_hash, n_shingles, component_id, the smallest id linked with it.
 
-    `root` names the component; it is NULL for an empty set.
+    `root` names the component; it is NULL for an empty set. The result is the same for any
+    number of `rounds` and size of blocks.
     """
     sets = stored(described(docs, n, per_cent), "sets")
     rows = stored(sets.select("doc_id", "text_hash", "size", "set_id"), "rows")
@@ -293,48 +383,54 @@ def jaccard_components(
     # Each set points at the smallest with the same segment; reading on needs no memory.
     first = F.expr("first(set_id) over (partition by key order by set_id rows between unbounded preceding and current row)")
     met = stored(postings.select("set_id", "key", first.alias("center")).where("set_id <> center"), "met")
-    stars, kept = _supported(met, sets.where("keys is not null").select("set_id", F.explode("needs").alias("need")))
-    stars = stored(stars.select(F.col("set_id").alias("a"), F.col("center").alias("b")), "stars")
-    discard(sets, met, *kept)
-    groups = stored(components(stars), "groups")
-    discard(stars)
-    members = groups.union(groups.select(F.col("root"), F.col("root")).distinct()).distinct()
-
-    chosen = rows.where("set_id is not null").groupBy("set_id").agg(
-        F.min(F.struct("doc_id", "text_hash")).alias("first"), F.max("size").alias("size")
-    )
-    sized = chosen.join(members, chosen["set_id"] == members["node"]).select("set_id", "first.*", "size", "root")
-    weight = sized.groupBy("root").agg(F.ceil(F.sum("size") / block_elements).cast("int").alias("blocks"))
+    needs = sets.where("keys is not null").select("set_id", F.explode("needs").alias("need")).distinct()
     wanted = stored(
-        sized.join(weight, "root").select(
-            F.col("doc_id").alias("w_id"), F.col("text_hash").alias("w_hash"), "set_id", F.col("root").alias("part"),
-            "blocks", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int").alias("block"),
-        ),
-        "wanted",
+        needs.select("set_id", F.col("need").bitwiseAND(F.lit(63)).alias("cls"), F.shiftright("need", 6).alias("least")), "wanted"
+    )
+    shared = met.select("key", "set_id").union(met.select("key", "center").distinct())
+    left = _undecided(shared, None, wanted)
+    discard(sets, met)
+
+    chosen = rows.where("set_id is not null").groupBy("set_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    open_ = left.select("set_id").distinct()
+    texts_of = stored(
+        chosen.join(open_, "set_id").select("set_id", F.col("first.doc_id").alias("w_id"), F.col("first.text_hash").alias("w_hash")),
+        "texts_of",
     )
     source = texts(docs).withColumn("text_hash", F.xxhash64("text"))
     with_text = source.join(
-        wanted, source["doc_id"].eqNullSafe(wanted["w_id"]) & (source["text_hash"] == wanted["w_hash"])
-    ).select("set_id", "part", "block", "blocks", "text")
-    built = with_text.mapInArrow(_elements(n), "set_id long, part long, block int, blocks int, elements binary")
-    others = F.sequence(F.lit(0), F.col("blocks") - 1)
-    paired = built.withColumn("other", F.explode(others)).select(
-        "part", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"), "block", "set_id", "elements"
-    )
-    edges = paired.groupBy("part", "b1", "b2").applyInPandas(_join_blocks(per_cent), "a long, b long")
-    linked = stored(components(edges), "linked")
-    discard(groups, wanted)
+        texts_of, source["doc_id"].eqNullSafe(texts_of["w_id"]) & (source["text_hash"] == texts_of["w_hash"])
+    ).select("set_id", "text")
+    built = with_text.mapInArrow(_elements(n), "set_id long, elements binary")
+    elements = stored(built.dropDuplicates(["set_id"]), "elements")  # rows may be equal in id and text
+    discard(texts_of)
+
+    edges, linked = [], None
+    for turn in range(rounds):
+        edges.append(_round(left, wanted, elements, turn, block_elements, per_cent))
+        before, linked = linked, stored(components(reduce(DataFrame.union, edges)), "linked")
+        last, left = left, _undecided(left.select("key", "set_id"), linked, wanted)
+        discard(last, *([before] if before is not None else []))
+    edges.append(_rest(left, elements, rounds, block_elements, per_cent))
+    before, linked = linked, stored(components(reduce(DataFrame.union, edges)), "linked")
+    discard(left, wanted, elements, *edges, *([before] if before is not None else []))
+    linked = linked.union(linked.select("root", "root").distinct())
 
     least = rows.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("least"))
-    roots = least.join(linked, least["set_id"] == linked["node"], "left").select(
-        "set_id", "least", F.coalesce("root", "set_id").alias("root")
+    joined = stored(least.join(linked, least["set_id"] == linked["node"]).select(F.col("root").alias("a"), F.col("set_id").alias("b"), "least"), "joined")
+    smallest = joined.groupBy("a").agg(F.min("least").alias("m"))
+    named = with_least(joined.drop("least"), smallest, salts=8).select(
+        F.col("b").alias("key"), F.col("a").alias("root"), F.col("m").alias("component_id")
+    )
+    alone = least.select(F.col("set_id").alias("key"), "least")
+    named = alone.join(named, "key", "left").select(
+        "key", F.coalesce("root", "key").alias("root"),
+        F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"),
     )
-    smallest = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = roots.join(smallest, "root").select("set_id", "root", "component_id")
     # Rows without a set get a key of their own each, so that they do not meet in one task.
     key = F.coalesce("set_id", F.xxhash64("doc_id", "text_hash"))
     keyed = rows.select("doc_id", "text_hash", "size", "set_id", key.alias("key"))
-    return keyed.join(named.withColumnRenamed("set_id", "key"), "key", "left").select(
+    return keyed.join(named, "key", "left").select(
         "doc_id", "text_hash", F.col("size").alias("n_shingles"),
         F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.when(F.col("set_id").isNotNull(), F.col("root")).alias("root"),

@@ -1,5 +1,6 @@
 """Operators whose results a plain version gives exactly."""
 
+import random
 import zlib
 
 import brute
@@ -282,13 +283,37 @@ def test_components(spark):
     assert {r["node"]: r["root"] for r in found} == {x: root(x) for x in parent if root(x) != x}
 
 
-@pytest.mark.parametrize("block", [400, 250_000])
-def test_jaccard_components(docs, prose, block):
+@pytest.mark.parametrize("block, rounds", [(400, 0), (400, 2), (250_000, 2)])
+def test_jaccard_components(docs, prose, block, rounds):
     expected = brute.jaccard(prose)
-    rows = by_id(op10_jaccard_join.jaccard_components(docs(prose), block_elements=block))
+    rows = by_id(op10_jaccard_join.jaccard_components(docs(prose), block_elements=block, rounds=rounds))
     assert {i: (r["n_shingles"], r["component_id"]) for i, r in rows.items()} == expected
 
 
+@pytest.mark.parametrize("rounds", [0, 1, 3])
+def test_chains_of_near_copies_in_small_blocks(docs, rounds):
+    draw = random.Random(11)
+    words = [f"w{i}" for i in range(400)]
+    texts = {}
+    for group in range(3):
+        now = [draw.choice(words) for _ in range(150)]
+        for i in range(30):  # neighbours link, the ends of a chain do not
+            texts[group * 100 + i] = " ".join(now)
+            now = [*now]
+            for _ in range(draw.choice([1, 2, 4])):
+                now[draw.randrange(150)] = draw.choice(words)
+    rows = by_id(op10_jaccard_join.jaccard_components(docs(texts), block_elements=700, rounds=rounds))
+    assert {i: (r["n_shingles"], r["component_id"]) for i, r in rows.items()} == brute.jaccard(texts)
+
+
+def test_sets_known_to_be_connected_are_not_linked_again():
+    sets = [np.arange(i, i + 100, dtype=np.uint64) for i in range(4)]
+    ids = [7, 8, 9, 10]
+    assert len(op10_jaccard_join._forest(ids, [0] * 4, sets)) == 3
+    assert op10_jaccard_join._forest(ids, [0] * 4, sets, labels=[1, 1, 1, 1]) == []
+    assert len(op10_jaccard_join._forest(ids, [0] * 4, sets, labels=[1, 1, 2, 2])) == 1
+
+
 def test_one_of_each(docs):
     text = "a b c d e f g"
     table = docs([(None, text), (5, text), (5, text), (2, text), (7, None), (7, None), (8, ""), (None, "x y z"), (None, "x y z")])
