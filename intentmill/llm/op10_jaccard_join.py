@@ -9,7 +9,7 @@ take part in. A set also has as many equal segments with a linked one as it has
 more than differences; sets of which fewer segments occur in any other set can't link and
 are left out, so a passage that many texts share does not make one group of them.
 
-Links are found in a few rounds and a rest. In a round each segment names one of its sets by
+Links are found in rounds, one by default, and a rest. In a round each segment names one of its sets by
 a hash that changes with the round, and a set goes to that named set of another component
 with which it has most segments in common, and enough for a link. Sets that meet there are
 joined, in blocks, and links found make components. A segment whose sets are all in one
@@ -370,7 +370,7 @@ def _rest(postings: DataFrame, elements: DataFrame, turn: int, block_elements: i
 
 
 def jaccard_components(
-    docs: DataFrame, n: int = 3, block_elements: int = 250_000, per_cent: int = PER_CENT, rounds: int = 2
+    docs: DataFrame, n: int = 3, block_elements: int = 250_000, per_cent: int = PER_CENT, rounds: int = 1
 ) -> DataFrame:
     """Per row: doc_id, text_hash, n_shingles, component_id, the smallest id linked with it.
 
