@@ -1,19 +1,21 @@
 """Exact, repeatable samples as a row predicate.
 
-Rows are ordered by a hash of their id, and the sample is the smallest hashes. The
-cut-off hash per class is found from counts alone: a histogram over leading hash digits,
-then finer ones inside the bucket that holds the cut. The sample itself is then a filter on
-one scan: nothing is sorted, ranked or gathered, whatever its size, and the same rows
-come out on any partitioning. The frame is read a few times, so it should be a
-stored table or cheap to compute, and give the same rows each time.
-
-Histograms, quotas and cut-offs are tables, stored between rounds, for any number of
+Rows are ordered by a hash of their id, and the sample is the smallest hashes. Without
+classes the cut-off hash is bounded by mergeable quantile sketches and then counted exactly
+between the bounds, in two passes as a rule. Per class it is found from counts: a histogram
+over leading hash digits, then finer ones inside the bucket that holds the cut. The sample
+itself is then a filter on one scan: nothing is sorted, ranked or gathered, whatever its
+size, and the same rows come out on any partitioning. The frame is read a few times, so it
+should be a stored table or cheap to compute, and give the same rows each time.
+
+Histograms, quotas and cut-offs of classes are tables, stored between rounds, for any number of
 classes; a round leaves at most 4,096 counts per class. Only single numbers reach the
-driver, and for a sample without classes its one cut-off.
+driver, and for a sample without classes some thirty rows of 257 quantiles and its cut-off.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +29,11 @@ _COPIES_PER_ROW = 10_000
 _DIGITS = 32                 # length of a hex digest
 _FINER = 3                   # digits added in a round, so 4,096 counts per class
 _PAST_BUCKET = "g"           # sorts after every hex digit
+_HEAD = 15                   # hex digits that fit in a long
+_DETAIL = 1024               # size parameter of a sketch: ranks are right to about half a per cent
+_GRID = 256                  # quantiles read from a sketch
+_MARGIN = 0.01               # share of a sketch's rows left on each side of the cut
+_EXACT = 100_000             # more rows than this between the bounds are sketched again
 
 
 def rank_hash(seed: int | str, column: str = "qid") -> Column:
@@ -165,10 +172,9 @@ class _Cut:
         )
 
 
-def _cut(df: DataFrame, cls: Column | None, digest: Column, counts: DataFrame, quotas: DataFrame) -> _Cut:
-    """Split `df` at the quotas (cls, size, quota) of smallest digests; no `cls` is one class."""
-    label = F.lit("") if cls is None else cls
-    keyed = df.select(label.alias("cls"), digest.alias("h"))
+def _cut(df: DataFrame, cls: Column, digest: Column, counts: DataFrame, quotas: DataFrame) -> _Cut:
+    """Split `df` at the quotas (cls, size, quota) of smallest digests per class."""
+    keyed = df.select(cls.alias("cls"), digest.alias("h"))
     cuts = save_step(_last_hashes(keyed, counts, quotas))
     ties = cuts.where("take < total").select(
         "cls", "cut", F.col("total").alias("size"), F.col("take").alias("quota")
@@ -179,7 +185,7 @@ def _cut(df: DataFrame, cls: Column | None, digest: Column, counts: DataFrame, q
         # several rows share the cut-off hash: go on by a digest of the whole row
         row_digest = _row_digest(df.columns)
         rows = (
-            df.select(label.alias("cls"), digest.alias("cut"), row_digest.alias("h"))
+            df.select(cls.alias("cls"), digest.alias("cut"), row_digest.alias("h"))
             .join(ties.select("cls", "cut"), ["cls", "cut"])
             .select("cls", "h")
         )
@@ -204,32 +210,114 @@ def _cut(df: DataFrame, cls: Column | None, digest: Column, counts: DataFrame, q
         )
     )
     bounds = table.agg(F.max("_cut"), F.count("*") - F.count("_cut"), F.count(F.when(F.col("_spare2") > 0, 1))).first()
-    marked = df.withColumns({"_cls": label, "_h": digest, "_digest": row_digest})
-    if cls is None:
-        only = table.first()
-        marked = marked.withColumns(
-            {f.name: F.lit(only[f.name]).cast(f.dataType) for f in table.schema if f.name != "_cls"}
-        )
-    else:
-        # by class and first digit of the hash: a class of very many rows is sixteen groups
-        digits = F.explode(F.array(*[F.lit(c) for c in "0123456789abcdef"]))
-        marked = (
-            marked.withColumn("_digit", F.substring("_h", 1, 1))
-            .join(table.withColumn("_digit", digits), ["_cls", "_digit"], "left")
-            .drop("_digit")
-        )
+    # by class and first digit of the hash: a class of very many rows is sixteen groups
+    digits = F.explode(F.array(*[F.lit(c) for c in "0123456789abcdef"]))
+    marked = (
+        df.withColumns({"_cls": cls, "_h": digest, "_digest": row_digest})
+        .withColumn("_digit", F.substring("_h", 1, 1))
+        .join(table.withColumn("_digit", digits), ["_cls", "_digit"], "left")
+        .drop("_digit")
+    )
     return _Cut(
         marked, df.columns, bound=None if bounds[1] else bounds[0], copies=bounds[2] > 0, tied=tied
     )
 
 
-def _one_class(df: DataFrame, digest: Column, k: int) -> tuple[DataFrame, DataFrame, int]:
-    """The counts, the quota and the size of a population without classes."""
-    keyed = df.select(F.lit("").alias("cls"), digest.alias("h"))
-    counts = save_step(_counts(keyed, _bucket(F.col("h"))))
-    size = counts.agg(F.sum("n")).first()[0] or 0
-    quota = df.sparkSession.createDataFrame([("", size, k)], "cls string, size long, quota long")
-    return counts, quota, size
+def _value(digest: Column) -> Column:
+    """The first 15 hex digits as a number: same order as the digest, ties aside."""
+    return F.conv(F.substring(digest, 1, _HEAD), 16, 10).cast("long")
+
+
+def _kth_hash(hashes: DataFrame, k: int) -> tuple[str, int, int] | None:
+    """The k-th smallest digest `h`, how many of its rows to take, and how many there are.
+
+    None if there are no more than k rows. One pass makes a quantile sketch per number of
+    leading zeros, so the error is relative to k and not to all rows. The sketches bound
+    the cut; the next pass counts what lies below the bounds and, digest by digest, what
+    lies between them. Bounds that leave too much are sketched again; bounds that miss the
+    cut, which the counts show, are widened. So the result is exact whatever the sketch says.
+    """
+    value = _value(F.col("h"))
+    zeros = F.length("h") - F.length(F.ltrim("h", F.lit("0")))
+    ranks = F.array(*[F.lit(i / _GRID) for i in range(_GRID + 1)])
+    low, high, margin, total = 0, 16**_HEAD - 1, _MARGIN, None
+    while True:
+        near = hashes.where(value <= high)
+        found = (
+            near.groupBy(F.when(value >= low, zeros).alias("zeros"))
+            .agg(
+                F.count(F.lit(1)).alias("n"),
+                F.kll_sketch_agg_bigint(value, F.lit(_DETAIL)).alias("sketch"),
+            )
+            .select("zeros", "n", F.kll_sketch_get_quantile_bigint("sketch", ranks).alias("grid"))
+            .collect()
+        )
+        seen = sum(r.n for r in found)
+        if total is None and k >= seen:
+            return None
+        total = seen if total is None else total
+        below = sum(r.n for r in found if r.zeros is None)
+        bounds, inside = None, 0
+        for r in sorted((r for r in found if r.zeros is not None), key=lambda r: -r.zeros):
+            if below < k <= below + r.n:
+                bounds, inside = r, r.n
+                break
+            below += r.n
+        if bounds is None:  # the range missed the cut
+            low, high, margin = 0, 16**_HEAD - 1, min(1.0, margin * 4)
+            continue
+        while True:
+            at, wide = (k - below) / inside, margin + 1 / _GRID
+            first, last = math.floor((at - wide) * _GRID), math.ceil((at + wide) * _GRID)
+            before = low, high
+            low = max(low, bounds.grid[first] if first > 0 else _first_of(bounds.zeros))
+            high = min(high, bounds.grid[last] if last < _GRID else _last_of(bounds.zeros))
+            if 2 * wide * inside > _EXACT and margin < 0.25 and before != (low, high) and low < high:
+                break  # still many: sketch what lies between the bounds
+            counts = (
+                hashes.where(value <= high)
+                .groupBy(F.when(value >= low, F.col("h")).otherwise("").alias("finer"))
+                .agg(F.count(F.lit(1)).alias("n"))
+                .coalesce(1)  # a bounded number of digests: the window needs no second shuffle
+                .withColumns({"cls": F.lit(""), "open": F.lit(k)})
+            )
+            hit = _reaching(counts, "open", "finer").select("finer", "need", "n").first()
+            if hit is not None and hit.finer:
+                return hit.finer, hit.need, hit.n
+            low, high, margin = *before, min(1.0, margin * 4)
+
+
+def _first_of(zeros: int) -> int:
+    """The smallest value whose digest begins with so many zeros."""
+    return 16 ** (_HEAD - 1 - zeros) if zeros < _HEAD else 0
+
+
+def _last_of(zeros: int) -> int:
+    return 16 ** (_HEAD - zeros) - 1 if zeros < _HEAD else 0
+
+
+def _split(df: DataFrame, digest: Column, k: int) -> _Cut | None:
+    """Split `df` after its k smallest digests; None if it has no more rows than that."""
+    edge = _kth_hash(df.select(digest.alias("h")), k)
+    if edge is None:
+        return None
+    cut, take, total = edge
+    row_digest, cut2, take2, total2 = F.lit(None).cast("string"), None, None, None
+    if take < total:
+        # several rows share the cut-off hash: go on by a digest of the whole row
+        row_digest = _row_digest(df.columns)
+        cut2, take2, total2 = _kth_hash(df.where(digest == cut).select(row_digest.alias("h")), take)
+    values = {
+        "_cls": ("", "string"), "_listed": (True, "boolean"),
+        "_cut": (cut, "string"), "_whole": (take == total, "boolean"),
+        "_cut2": (cut2, "string"), "_whole2": (take2 == total2, "boolean"),
+        "_take2": (take2, "long"), "_spare2": (total2 - take2 if total2 else None, "long"),
+    }
+    marked = df.withColumns(
+        {"_h": digest, "_digest": row_digest}
+        | {name: F.lit(value).cast(kind) for name, (value, kind) in values.items()}
+    )
+    return _Cut(marked, df.columns, bound=cut, copies=take2 != total2, tied=take < total)
 
 
 def random_sample(df: DataFrame, k: int | None, seed: int = 42) -> DataFrame:
@@ -238,9 +326,8 @@ def random_sample(df: DataFrame, k: int | None, seed: int = 42) -> DataFrame:
         return df
     if k <= 0:
         return df.limit(0)
-    digest = rank_hash(seed)
-    counts, quota, size = _one_class(df, digest, k)
-    return df if k >= size else _cut(df, None, digest, counts, quota).taken()
+    split = _split(df, rank_hash(seed), k)
+    return df if split is None else split.taken()
 
 
 def balanced_sample(df: DataFrame, k: int, by: str = "label", seed: int = 42) -> DataFrame:
@@ -281,9 +368,10 @@ def _top_up(split: _Cut, short: int, seed: int) -> DataFrame:
     """
     digest = rank_hash(f"{seed}:topup")
     rest = split.rest()
-    counts, quota, _ = _one_class(rest, digest, short)
-    extra = _cut(rest, None, digest, counts, quota)
-    if split.copies or extra.tied or extra.bound is None:
+    extra = _split(rest, digest, short)
+    if extra is None:
+        return split.taken().unionByName(rest)
+    if split.copies or extra.tied:
         return split.taken().unionByName(extra.taken())
     # both parts are row predicates, so one scan serves them
     return split.marked.where(

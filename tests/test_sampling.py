@@ -107,6 +107,39 @@ def test_buckets_too_full_for_one_round(log, pairs, monkeypatch):
     assert set(ids(balanced_sample(log, 1000))) == brute_force(pairs, 1000)
 
 
+def jobs(spark, action):
+    spark.sparkContext.setJobGroup("counted", "")
+    before = set(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+    out = action()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return out, len(set(spark.sparkContext.statusTracker().getJobIdsForGroup("counted")) - before)
+
+
+def test_a_plain_sample_is_planned_in_four_jobs(spark, log):
+    sample, n = jobs(spark, lambda: random_sample(log, 700))
+    assert n <= 4
+    assert sample.count() == 700
+
+
+def test_sketched_again_while_much_is_left(spark, monkeypatch):
+    """Small sketches and a low limit, so that bounds are wide, sketched again, and sometimes missed."""
+    monkeypatch.setattr(sampling, "_DETAIL", 16)
+    monkeypatch.setattr(sampling, "_EXACT", 50)
+    wide = spark.range(60_000).selectExpr("cast(id as string) qid")
+    order = smallest([str(i) for i in range(60_000)], 60_000)
+    for k in (1, 333, 30_000, 59_999):
+        assert set(ids(random_sample(wide, k))) == set(order[:k])
+
+
+@pytest.mark.parametrize("over", [1, 2500, 5001])
+def test_hot_id_under_small_sketches(hot, pairs, over, monkeypatch):
+    monkeypatch.setattr(sampling, "_DETAIL", 16)
+    monkeypatch.setattr(sampling, "_EXACT", 50)
+    before = sorted((q for q, _ in pairs), key=lambda q: digest(42, q)).index("7")
+    got = Counter(r.qid for r in random_sample(hot, before + over).collect())
+    assert sum(got.values()) == before + over and got["7"] == min(over, 5001)
+
+
 def test_many_classes(spark, hot):
     split = hot.withColumn("label", F.when(F.col("query") == "same", "y").otherwise("x"))
     got = Counter(r.label for r in balanced_sample(split, 900).collect())
