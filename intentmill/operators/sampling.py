@@ -239,7 +239,7 @@ def _kth_hash(hashes: DataFrame, k: int) -> tuple[str, int, int] | None:
     """
     value = _value(F.col("h"))
     zeros = F.length("h") - F.length(F.ltrim("h", F.lit("0")))
-    ranks = F.array(*[F.lit(i / _GRID) for i in range(_GRID + 1)])
+    ranks = F.expr(f"array({', '.join(f'{i / _GRID}D' for i in range(_GRID + 1))})")
     low, high, margin, total = 0, 16**_HEAD - 1, _MARGIN, None
     while True:
         near = hashes.where(value <= high)
