@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from intentmill.functions.cues import CUE_WORDS, has_cue
 from intentmill.functions.text import clean_query
 from intentmill.options import AnnotateOptions
+from intentmill.sources.results import Steps
 
 FAILED_REPLY = '{"type": "abstain", "confidence": 0.0}'
 TRIES = 2
@@ -137,13 +138,15 @@ def ask_model(
     failed: str = FAILED_REPLY,
     parallel: int | None = None,
     concurrency: int = 1,
+    slices: int = 1,
 ) -> DataFrame:
     """Replies from `ask(system_prompt, prompt)`, asked by `parallel` tasks, `concurrency` calls at a time in each.
 
     Requests are dealt out by their keys, as many tasks as the session has cores if
     nothing else is said: a small file is one partition, which one core would serve. A
     prompt is tried again if the call raises; after the last try the reply is
-    `failed`. A lost task asks again, so store the result before using it. With a `concurrency`
+    `failed`. A lost task asks again, so store the result before using it; with at least so many
+    `slices`, that many smaller tasks follow one another and a lost one repeats its slice alone. With a `concurrency`
     above 1, `ask` is called from several threads; at most that many prompts wait for a reply, and
     rows keep their order.
     """
@@ -167,4 +170,52 @@ def ask_model(
                 yield batch[keys].assign(raw=pd.Series(raw, index=batch.index, dtype="object"))
 
     tasks = parallel or requests.sparkSession.sparkContext.defaultParallelism
-    return requests.repartition(tasks, *keys).mapInPandas(run, schema)
+    return requests.repartition(max(tasks, slices), *keys).mapInPandas(run, schema)
+
+
+def ask_in_commits(
+    steps: Steps,
+    name: str,
+    requests: DataFrame,
+    n: int,
+    ask: Callable[[str, str], str],
+    tries: int = TRIES,
+    failed: str = FAILED_REPLY,
+    options: AnnotateOptions = AnnotateOptions(),
+) -> DataFrame:
+    """As `ask_model` for `n` stored requests, with replies stored about every `commit_rows` calls.
+
+    Requests are dealt out by a hash of their keys, so each commit holds the same ones
+    whenever the run is started again; only commits without a mark are asked for. Inside a
+    commit a task has about `slice_rows` calls, which is all that a lost task repeats.
+    """
+    keys = [c for c in requests.columns if c not in ("system_prompt", "prompt")]
+    commits = max(1, -(-n // options.commit_rows))
+    slices = -(-n // (commits * options.slice_rows))
+    dealt: list[DataFrame] = []
+
+    def asked(i: int) -> DataFrame:
+        if not dealt:
+            dealt.append(_dealt(requests, keys, commits, slices, f"{steps.out}/{name}-dealt"))
+        mine = dealt[0].where(F.col("_commit") == i).drop("_commit")
+        return ask_model(mine, ask, tries, failed, options.parallel, options.concurrency, slices)
+
+    unanswered = F.col("raw") == failed
+    parts = [
+        steps.table(f"{name}/commit={i}", lambda i=i: asked(i), commits, tries, unanswered=unanswered)
+        for i in range(commits)
+    ]
+    if commits == 1:
+        return parts[0]
+    paths = [f"{steps.out}/{name}/commit={i}" for i in range(commits)]
+    return requests.sparkSession.read.schema(parts[0].schema).parquet(*paths)
+
+
+def _dealt(requests: DataFrame, keys: list[str], commits: int, slices: int, path: str) -> DataFrame:
+    """Requests with their `_commit`; if there are several, a folder each, so that one is read alone."""
+    marked = requests.withColumn("_commit", F.pmod(F.xxhash64(*keys), F.lit(commits)))
+    if commits == 1:
+        return marked
+    part = F.pmod(F.xxhash64(*keys, F.lit("part")), F.lit(slices))
+    marked.repartition("_commit", part).write.partitionBy("_commit").mode("overwrite").parquet(path)
+    return requests.sparkSession.read.schema(marked.schema).parquet(path)

@@ -32,6 +32,8 @@ class AnnotateOptions:
     votes: int = 1
     parallel: int | None = None          # tasks that ask the model; None: one per core
     concurrency: int = 1                 # model calls at a time in each task
+    slice_rows: int = 1_000              # calls of a task, repeated if it is lost
+    commit_rows: int = 1_000_000         # calls between two commits, repeated if the run dies
     model_name: str = "replayed"
     provider: str = "table"
     prompt_version: str = "v1"

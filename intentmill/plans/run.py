@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from intentmill.functions.replies import parse_replies
 from intentmill.operators.annotate import (
-    ask_model,
+    ask_in_commits,
     pending_requests,
     with_provenance,
 )
@@ -28,7 +28,7 @@ from intentmill.operators.prepare import load_queries
 from intentmill.operators.prompts import annotation_prompts, judge_prompts
 from intentmill.operators.votes import vote
 from intentmill.options import AnnotateOptions, EvalOptions, LoadOptions, ValidateOptions
-from intentmill.sources.results import counted, save_step, write_summary, write_tsv
+from intentmill.sources.results import Steps, input_state, write_summary, write_tsv
 from intentmill.sources.tables import check_not_empty, read_query_log
 
 
@@ -119,57 +119,72 @@ def run(
     that break one of the `rules` are listed, not dropped. Every step's table is stored
     before the next step reads it. If the judge is to compare with human labels and there
     are none, it is not asked.
+
+    A run that died goes on, when it is started again with equal input, options and output folder, after
+    its last stored step; prompts whose replies were committed are not asked again. What `ask`
+    itself does is not seen: name another model in the options, or another folder.
     """
     if score.judge_on and ask_judge is None:
         raise ValueError("the judge is on but cannot be asked")
-    loaded, counter = counted(load_queries(read_query_log(spark, path, load.multiline), load), "loaded")
-    loaded = check_not_empty(save_step(loaded, f"{out}/loaded"))
+    steps = Steps(spark, out, input_state(spark, path), asdict(load))
+    loaded = check_not_empty(
+        steps.table("loaded", lambda: load_queries(read_query_log(spark, path, load.multiline), load))
+    )
 
     if rules:
-        save_step(constraint_errors(loaded, rules), f"{out}/errors")
+        steps.table("errors", lambda: constraint_errors(loaded, rules), [(r.path, str(r.broken), str(r.error)) for r in rules])
 
     votes = None
     labelled = loaded
+    tallied = [asdict(annotate), asdict(validate), _state(examples)]
     for attempt in range(validate.max_retries + 1):
         waiting = (
             loaded.select("qid", F.lit(0).alias("attempt"), "query")
             if attempt == 0
             else pending_requests(labelled)
         )
-        asked = save_step(_requests(waiting, annotate, examples), f"{out}/requests-{attempt}")
-        if attempt and asked.isEmpty():
+        asked = steps.table(f"requests-{attempt}", lambda: _requests(waiting, annotate, examples), *tallied)
+        n = steps.counts[f"requests-{attempt}"]["n_records"]
+        if attempt and not n:
             break
-        new = save_step(ask_model(asked, ask, parallel=annotate.parallel, concurrency=annotate.concurrency), f"{out}/replies-{attempt}")
-        new = save_step(
-            vote(parse_replies(new, annotate.allowed), annotate.allowed), f"{out}/votes-{attempt}"
+        replies = ask_in_commits(steps, f"replies-{attempt}", asked, n, ask, options=annotate)
+        new = steps.table(
+            f"votes-{attempt}", lambda: vote(parse_replies(replies, annotate.allowed), annotate.allowed)
         )
         votes = new if votes is None else votes.unionByName(new)
-        labelled = save_step(
-            label_from_votes(loaded, votes, annotate, validate), f"{out}/labelled-{attempt}"
+        labelled = steps.table(
+            f"labelled-{attempt}", lambda: label_from_votes(loaded, votes, annotate, validate)
         )
-    labelled = save_step(labelled, f"{out}/validated")
+    last = labelled
+    labelled = steps.table(
+        "validated", lambda: last, labelled=F.col("ai_label").isNotNull(),
+        flagged=F.col("flags") != "", retried=F.col("retry_count") > 0,
+    )
 
     judged = None
     if score.judge_on:
-        sample = save_step(sample_to_judge(labelled, score), f"{out}/judge-asked")
+        sample = steps.table("judge-asked", lambda: sample_to_judge(labelled, score), asdict(score))
         questions = judge_prompts(
             sample, score.judge_mode, pick_ai_column(labelled, score.ai_columns), score.human_column,
         ).select("qid", "system_prompt", "prompt")
-        verdicts = save_step(
-            ask_model(questions, ask_judge, 1, "", annotate.parallel, annotate.concurrency), f"{out}/judge-replies"
+        verdicts = ask_in_commits(
+            steps, "judge-replies", questions, steps.counts["judge-asked"]["n_records"], ask_judge, 1, "", annotate
         )
-        judged = save_step(judge_rows(labelled, verdicts, score, sample), f"{out}/judged")
+        judged = steps.table("judged", lambda: judge_rows(labelled, verdicts, score, sample))
     marks = None if judged is None else judge_tally(judged, score.allowed)
-    measured = save_step(measures(label_tally(labelled, score), marks, score), f"{out}/measured")
+    measured = steps.table("measured", lambda: measures(label_tally(labelled, score), marks, score), asdict(score))
     metrics, overall = metrics_table(measured), summary(measured)
     if judged is not None:
         write_tsv(judged, f"{out}/judge_sample.tsv")
     write_tsv(metrics.coalesce(1), f"{out}/metrics_by_class.tsv")
     write_summary(overall, f"{out}/summary.json")
-    n_records = counter.get["n_records"]
+    n_records = steps.counts["loaded"]["n_records"]
+    unanswered = [c["unanswered"] for name, c in steps.counts.items() if name.startswith("replies-")]
     info = {
         "input": path, "output": out, "split": load.split, "n_records": n_records, "spark": spark.version,
-        "judged": 0 if judged is None else judged.count(),
+        "judged": 0 if judged is None else steps.counts["judged"]["n_records"],
+        **{key: steps.counts["validated"][key] for key in ("labelled", "flagged", "retried")},
+        "unanswered": sum(unanswered),
         "load": asdict(load), "annotate": asdict(annotate), "validate": asdict(validate), "score": asdict(score),
     }
     return RunResult(
@@ -177,6 +192,14 @@ def run(
     )
 
 
+def _state(examples: DataFrame | None) -> list:
+    """What tells one table of few-shot examples from another: rows, and the sum of their hashes."""
+    if examples is None:
+        return []
+    hashes = F.sum(F.xxhash64(*examples.columns).cast("decimal(20,0)"))
+    return [str(v) for v in examples.agg(F.count(F.lit(1)), hashes).first()]
+
+
 def _requests(
     waiting: DataFrame, annotate: AnnotateOptions, examples: DataFrame | None
 ) -> DataFrame:

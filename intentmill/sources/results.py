@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import uuid
+from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -67,7 +70,72 @@ def in_plan(spark: SparkSession, rows: list[dict], kinds: dict[str, str]) -> Dat
     return spark.createDataFrame(pa.Table.from_pylist(rows, schema=schema))
 
 
-def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """The frame with a row counter that fills during its first action."""
+def counted(df: DataFrame, name: str, **counters: Column) -> tuple[DataFrame, Observation]:
+    """The frame with a row counter, and further ones of conditions, that fill during its first action."""
     counter = Observation(name)
-    return df.observe(counter, F.count(F.lit(1)).alias("n_records")), counter
+    further = [F.count_if(condition).alias(key) for key, condition in counters.items()]
+    return df.observe(counter, F.count(F.lit(1)).alias("n_records"), *further), counter
+
+
+def input_state(spark: SparkSession, path: str) -> list:
+    """What tells one state of an input file or folder from another: size, files, time of change."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    size = fs.getContentSummary(where)
+    return [path, size.getLength(), size.getFileCount(), fs.getFileStatus(where).getModificationTime()]
+
+
+class Steps:
+    """The step tables of a run under one folder, from which a run that died goes on.
+
+    Each step, once written, gets a commit mark: a digest of its own options and of all
+    steps before it, and the counters observed while it was written. A step whose mark has
+    the expected digest is read, not made. The first one made anew makes all later ones
+    anew, since a model may answer differently. A mark is removed before its table is.
+    """
+
+    def __init__(self, spark: SparkSession, out: str, *made_from: object):
+        self.spark, self.out = spark, out
+        self.counts: dict[str, dict[str, int]] = {}
+        self._digest = self._next("", made_from)
+        self._going_on = True
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self._path = lambda name: path(f"{out}/_marks/{name.replace('/', '.')}.json")
+        self._fs = path(out).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _next(self, name: str, options: tuple) -> str:
+        before = getattr(self, "_digest", "")
+        text = json.dumps([before, name, options], sort_keys=True, default=str)
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    def _mark(self, name: str) -> dict | None:
+        if not self._fs.exists(self._path(name)):
+            return None
+        stream = self._fs.open(self._path(name))
+        try:
+            return json.loads(bytes(stream.readAllBytes()))
+        finally:
+            stream.close()
+
+    def table(
+        self, name: str, make: Callable[[], DataFrame], *options: object, **counters: Column
+    ) -> DataFrame:
+        """The step's stored table; `counts[name]` has its rows as `n_records` and the further `counters`."""
+        self._digest, path = self._next(name, options), f"{self.out}/{name}"
+        mark = self._mark(name) if self._going_on else None
+        if mark is not None and mark["digest"] == self._digest:
+            self.counts[name] = mark["counts"]
+            return self.spark.read.schema(mark["schema"]).parquet(path)
+        self._going_on = False
+        self._fs.delete(self._path(name), False)
+        df, counter = counted(make(), name, **counters)
+        stored = save_step(df, path)
+        self.counts[name] = {k: int(v) for k, v in counter.get.items()}
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        text = json.dumps({"digest": self._digest, "schema": schema, "counts": self.counts[name]})
+        stream = self._fs.create(self._path(name), True)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        return stored

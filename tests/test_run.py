@@ -2,10 +2,11 @@ import json
 
 import pytest
 
+from intentmill.operators.annotate import ask_in_commits
 from intentmill.operators.checks import matches
 from intentmill.options import AnnotateOptions, EvalOptions, LoadOptions
 from intentmill.plans.run import abstain_unanswered, label_from_replies, run
-from intentmill.sources.results import write_tsv
+from intentmill.sources.results import Steps, save_step, write_tsv
 
 
 def test_whole_run(spark, tmp_path):
@@ -105,3 +106,83 @@ def test_a_missing_judge_is_told_before_anything_runs(spark, tmp_path):
     with pytest.raises(ValueError):
         run(spark, log, out, lambda s, p: "{}", score=EvalOptions(use_judge=True))
     assert not (tmp_path / "out").exists()
+
+
+def _called(path):
+    """Every call left a line."""
+    return open(path).read().split() if path.exists() else []
+
+
+def test_a_run_that_died_goes_on(spark, tmp_path, monkeypatch):
+    import intentmill.plans.run as plan
+
+    log, out, _ = _unlabelled(spark, tmp_path)
+    calls = tmp_path / "calls"
+    at = str(calls)
+
+    def ask(system, prompt):
+        with open(at, "a") as f:
+            f.write(prompt.split('q ')[-1][0] + "\n")
+        return '{"type": "nav", "confidence": 0.9}' if "q 3" not in prompt else '{"type": "nav", "confidence": 0.1}'
+
+    voting = plan.vote
+    monkeypatch.setattr(plan, "vote", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run(spark, log, out, ask, load=LoadOptions(split="all"))
+    assert sorted(_called(calls)) == list("01234")
+    monkeypatch.setattr(plan, "vote", voting)
+    result = run(spark, log, out, ask, load=LoadOptions(split="all"))
+    assert sorted(_called(calls)) == list("012334")       # only the weak one again, as a retry
+    again = run(spark, log, out, ask, load=LoadOptions(split="all"))
+    assert sorted(_called(calls)) == list("012334")
+    assert sorted(again.annotations.collect()) == sorted(result.annotations.collect())
+    assert again.info == result.info
+    run(spark, log, out, ask, load=LoadOptions(split="all"), annotate=AnnotateOptions(model_name="other"))
+    assert len(_called(calls)) == 12
+
+
+def test_replies_are_committed_in_parts(spark, tmp_path):
+    """A worker that dies costs the calls of its own part."""
+    asked = spark.range(40).selectExpr("cast(id as string) qid", "0L vote", "'s' system_prompt", "cast(id as string) prompt")
+    asked = save_step(asked)
+    calls, dead = str(tmp_path / "calls"), str(tmp_path / "dead")
+    options = AnnotateOptions(slice_rows=3, commit_rows=10, parallel=1)
+
+    def ask(system, prompt):
+        import os
+        with open(calls, "a") as f:
+            f.write(prompt + "\n")
+        if prompt == "17" and not os.path.exists(dead):
+            open(dead, "w").close()
+            os._exit(1)
+        return "to " + prompt
+
+    def replies():
+        steps = Steps(spark, str(tmp_path / "out"))
+        return ask_in_commits(steps, "replies", asked, 40, ask, options=options), steps
+
+    with pytest.raises(Exception):
+        replies()
+    before = len(_called(tmp_path / "calls"))
+    found, steps = replies()
+    assert {r.qid: r.raw for r in found.collect()} == {str(i): f"to {i}" for i in range(40)}
+    assert found.count() == 40 and len(steps.counts) == 4
+    assert before < 40
+    part = asked.selectExpr("pmod(xxhash64(qid, vote), 4) part").groupBy("part").count().collect()
+    assert len(_called(tmp_path / "calls")) - 40 <= max(r["count"] for r in part)
+
+
+def test_counters_are_those_of_the_tables(spark, tmp_path):
+    log, out, _ = _unlabelled(spark, tmp_path)
+
+    def ask(system, prompt):
+        if "q 1" in prompt:
+            raise ValueError
+        return '{"type": "nav", "confidence": 0.9}'
+
+    info = run(spark, log, out, ask, load=LoadOptions(split="all")).info
+    table = spark.read.parquet(f"{out}/validated")
+    assert info["labelled"] == table.where("ai_label is not null").count() == 5
+    assert info["flagged"] == table.where("flags <> ''").count() == 1
+    assert info["retried"] == table.where("retry_count > 0").count() == 1
+    assert info["unanswered"] == 2 and info["judged"] == 0
