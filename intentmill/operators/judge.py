@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from intentmill.functions.replies import parse_judgements
@@ -65,6 +66,54 @@ def judge_rows(
     return parse_judgements(answered, options.allowed, audit)
 
 
+def both_tallies(
+    rows: DataFrame, replies: DataFrame, options: EvalOptions = EvalOptions()
+) -> DataFrame:
+    """Label pairs and verdicts of one read, for `measures`, if every row may be judged.
+
+    Rows meet the judge's replies (qid, raw), one reply per row, once; each reply is parsed
+    once, and one aggregate counts what both tallies need. It has at most a few hundred rows,
+    so which of them the judge was asked for (see `sample_to_judge`) is settled on it: whether
+    any row has a human label needs no look at the table.
+    """
+    audit, human = options.judge_mode != "compare_to_human", options.human_column
+    gold = F.col(human) if human in rows.columns else F.lit(None).cast("string")
+    base = rows.select(
+        "qid", gold.isNotNull().alias("has_gold"), canonical_label(gold).alias("y"),
+        canonical_label(F.col(pick_ai_column(rows, options.ai_columns))).alias("p"),
+    )
+    answered = base.join(replies.select("qid", "raw"), "qid", "left").select(
+        "has_gold", "y", "p", F.coalesce("raw", F.lit("")).alias("raw")
+    )
+    judged = parse_judgements(answered, options.allowed, audit)
+    known = lambda label: F.when(label.isin(*options.allowed), label)
+    counts = judged.groupBy(
+        "has_gold", known(F.col("y")).alias("y"), known(F.col("p")).alias("p"),
+        F.col("y").eqNullSafe(F.col("p")).alias("same"),
+        known(F.col("judge_label") if audit else F.lit(None).cast("string")).alias("judge_y"),
+        (F.col("judge_decision") == "correct").alias("approved"),
+    ).agg(F.count(F.lit(1)).alias("n"))
+
+    any_gold = F.max("has_gold").over(W.partitionBy(F.lit(0)))
+    if options.drop_missing_gold:
+        asked = F.col("has_gold") | ~any_gold if audit else F.col("has_gold")
+    else:
+        asked = F.lit(True) if audit else any_gold
+    no = F.lit(False)
+    pair = F.struct(
+        no.alias("verdict"), (F.col("has_gold") if options.drop_missing_gold else F.lit(True)).alias("kept"),
+        "has_gold", "y", "p", "same", "n",
+    )
+    verdict = F.struct(
+        F.lit(True).alias("verdict"), no.alias("kept"), no.alias("has_gold"), F.col("judge_y").alias("y"),
+        "p", F.col("approved").alias("same"), "n",
+    )
+    both = F.array(pair, F.when(F.col("asked"), verdict))
+    return (
+        counts.withColumn("asked", asked).select(F.explode(both).alias("c")).where("c is not null").select("c.*")
+    )
+
+
 def judge_score(judged_tally: DataFrame, allowed: tuple[str, ...] = CLASSES) -> DataFrame:
     """Share of correct verdicts per model label, and over all of them (`ALL`).
 

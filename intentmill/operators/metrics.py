@@ -126,9 +126,9 @@ def _class_counts(
 ) -> DataFrame:
     """One row of counts per class and one for `ALL`, in reporting order (`ord`)."""
     kept = "has_gold" if options.drop_missing_gold else "true"
-    pairs = tally.selectExpr(
-        "false verdict", f"{kept} kept", "has_gold", "y", "p", "same", "n"
-    )
+    pairs = tally
+    if "verdict" not in tally.columns:
+        pairs = tally.selectExpr("false verdict", f"{kept} kept", "has_gold", "y", "p", "same", "n")
     if judged is not None:
         pairs = pairs.union(
             judged.selectExpr("true", "false", "false", "y", "p", "same", "n")
@@ -176,7 +176,8 @@ def measures(
 ) -> DataFrame:
     """The metrics of each class, and on the `ALL` row those of the whole table.
 
-    `judged` is a `judge_tally`, or None if no judge was asked.
+    `judged` is a `judge_tally`, or None if no judge was asked; `tally` may be one of
+    `judge.both_tallies`, which has the verdicts too.
     """
     total = "class = 'ALL'"
     rows = (
@@ -212,7 +213,8 @@ def measures(
         "n_rows", "(n_rows - gold - ai + 2 * hit)",
         f"({_product('gold', 'ai')} + {_product('(n_rows - gold)', '(n_rows - ai)')})",
     )
-    audited = judged is not None and options.judge_mode != "compare_to_human"
+    asked = judged is not None or "verdict" in tally.columns
+    audited = asked and options.judge_mode != "compare_to_human"
     prf, kappa = ("human" if on else "false" for on in (options.use_prf, options.use_kappa))
     mode = F.lit(options.judge_mode if options.judge_on else None).cast("string")
     return counted.selectExpr(

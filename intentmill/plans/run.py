@@ -15,7 +15,7 @@ from intentmill.operators.annotate import (
     with_provenance,
 )
 from intentmill.operators.checks import Rule, constraint_errors, flag_names, retry_fold
-from intentmill.operators.judge import judge_rows, sample_to_judge
+from intentmill.operators.judge import both_tallies, judge_rows, sample_to_judge
 from intentmill.operators.metrics import (
     judge_tally,
     label_tally,
@@ -84,6 +84,8 @@ def evaluate(
         if judge_replies is None:
             raise ValueError("the judge is on but has no replies")
         judged = judge_rows(labelled, judge_replies, options)
+        if options.judge_sample_size is None:  # every row meets its reply, so one read serves both
+            return measures(both_tallies(labelled, judge_replies, options), None, options), judged
     tally = label_tally(labelled, options)
     marks = None if judged is None else judge_tally(judged, options.allowed)
     return measures(tally, marks, options), judged

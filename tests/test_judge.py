@@ -4,10 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from intentmill.functions.replies import UNREADABLE
-from intentmill.operators.judge import judge_rows, judge_sample, judge_score
-from intentmill.operators.metrics import judge_tally
+from intentmill.operators.judge import both_tallies, judge_rows, judge_sample, judge_score
+from intentmill.operators.metrics import judge_tally, label_tally, measures
 from intentmill.options import CLASSES, EvalOptions
 from intentmill.operators.prompts import judge_prompts
+from intentmill.plans.queries import QUERIES
 from intentmill.plans.run import evaluate
 
 SCHEMA = "qid string, query string, human_label_gold string, ai_label string"
@@ -98,3 +99,33 @@ def test_sample_size(spark):
 def test_prompts_show_canonical_labels(rows):
     row = judge_prompts(rows([("1", "a", " Trans ", "FACTUAL ")], SCHEMA)).first()
     assert "Human label: trans\n" in row.prompt and "Model label: factual\n" in row.prompt
+
+
+@pytest.mark.parametrize("mode", ["compare_to_human", "audit"])
+@pytest.mark.parametrize("drop", [True, False])
+@pytest.mark.parametrize("gold", ["some", "none", "absent"])
+def test_one_read_gives_both_tallies(spark, mode, drop, gold):
+    labels = "array('navigational', 'FACTUAL', 'odd', null, 'abstain')"
+    rows = spark.range(400).selectExpr(
+        "cast(id as string) qid", f"get({labels}, cast(id * 7 % 5 as int)) ai_label",
+        f"get({labels}, cast(id % 5 as int)) human_label_gold")
+    if gold == "none":
+        rows = rows.withColumn("human_label_gold", F.lit(None).cast("string"))
+    if gold == "absent":
+        rows = rows.drop("human_label_gold")
+    replies = spark.range(0, 400, 3).selectExpr(
+        "cast(id as string) qid",
+        """concat('{"decision": "', if(id % 2 = 0, 'correct', 'incorrect'),
+        '", "judge_label": "', if(id % 4 = 0, 'factual', 'odd'), '", "confidence": 0.5}') raw""")
+    options = EvalOptions(use_judge=True, judge_mode=mode, drop_missing_gold=drop, judge_sample_size=None)
+    marks = judge_tally(judge_rows(rows, replies, options), options.allowed)
+    apart = measures(label_tally(rows, options), marks, options)
+    once = measures(both_tallies(rows, replies, options), None, options)
+    assert sorted(map(str, once.collect())) == sorted(map(str, apart.collect()))
+
+
+def test_each_table_is_read_once(spark):
+    folder = "/root/testdata/sf0.001"
+    for name in ("metrics_table", "audit_kappa"):
+        text = QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
+        assert text.count("FileScan parquet") == 2  # the labelled rows and the replies
