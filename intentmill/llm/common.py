@@ -68,8 +68,11 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     stored; the loop ends when a round changes nothing. Nothing but two numbers per
     round reaches the driver.
     """
-    now = stored(edges.select("a", "b").where("a <> b").distinct(), "edges")
-    seen = None
+    def state() -> tuple:
+        return tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+    now = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    seen = state()
     for _ in range(rounds):
         both = now.select("a", "b").union(now.select(F.col("b"), F.col("a")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -85,10 +88,9 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         )
         before, now = now, stored(small.where("a <> b").distinct(), "edges")
         discard(before)
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(state) == seen:
+        before, seen = seen, state()
+        if seen == before:
             break
-        seen = tuple(state)
     else:
         raise RuntimeError("components did not settle")
     return now.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), "root")

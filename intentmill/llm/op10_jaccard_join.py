@@ -9,18 +9,18 @@ take part in. A set also has as many equal segments with a linked one as it has
 more than differences; sets of which fewer segments occur in any other set can't link and
 are left out, so a passage that many texts share does not make one group of them.
 
-Links are found in rounds, one by default, and a rest. In a round each segment names one of its sets by
-a hash that changes with the round, and a set goes to that named set of another component
-with which it has most segments in common, and enough for a link. Sets that meet there are
-joined, in blocks, and links found make components. A segment whose sets are all in one
-component has nothing left to say and goes; so do sets that have too few segments left. Each
-set travels once a round. What is still open after the rounds is searched in full: a star of
-edges per segment and their connected components make candidate groups, which hold every
-link that is missing.
+Of all segments only this is kept: how many a set has in common with each center, the smallest
+set of a segment. Links are found in rounds, one by default, and a rest. In a round a set goes
+to that center of another component with which it has most segments in common, and enough for a
+link. Sets that meet there are joined, in blocks, and links found make components. A segment
+whose sets are all in one component has nothing left to say and goes; so do sets that have too few
+segments left. Each set travels once a round. What is still open after the rounds is searched in
+full: sets and those of their centers that a link needs make candidate groups, as connected
+components, which hold every link that is missing.
 
 In a block or group the join is a T-occurrence search: each set asks the inverted lists of its
 shingles for sets that occur in at least T of them. Following DivideSkip, the longest
-lists are left aside, the short ones are merged by a heap, and what the merge leaves is
+lists are left aside, the short ones are merged, and what the merge leaves is
 looked up in the long ones by binary search until T is reached or out of reach. Sets
 already connected are not counted again, so a group of copies takes one count a set, not
 one a pair. A large group of the rest is cut into blocks, and each pair of blocks is a task
@@ -34,17 +34,15 @@ table gives an empty result.
 
 from __future__ import annotations
 
-import heapq
 from bisect import bisect_left
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
-from itertools import groupby
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from intentmill.llm.common import components, discard, fresh, stored, texts, with_least
@@ -151,7 +149,7 @@ class Index:
         elements = np.concatenate(sets)
         owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
         order = np.argsort(elements, kind="stable")
-        self.owners: list[int] = owner[order].tolist()
+        self.owners = owner[order].astype(np.int32)
         self.keys, starts = np.unique(elements[order], return_index=True)
         self.starts = np.r_[starts, len(elements)]
 
@@ -165,7 +163,7 @@ class Index:
 
 
 def t_occurrence(
-    owners: list[int], lists: list[tuple[int, int]], least: Callable[[int | None], int], worth: Callable[[int], bool]
+    owners: Sequence[int], lists: list[tuple[int, int]], least: Callable[[int | None], int], worth: Callable[[int], bool]
 ) -> Iterator[int]:
     """Numbers that occur in at least `least(number)` of the lists, by DivideSkip.
 
@@ -173,14 +171,19 @@ def t_occurrence(
     a lower bound of all thresholds. Numbers that are not `worth` it when their turn
     comes are passed over.
     """
+    owners = np.asarray(owners)
     t = least(None)
     aside = max(0, min(len(lists), t) - 1)
     short, long_ = lists[: len(lists) - aside], lists[len(lists) - aside :]
+    if not short:
+        return
     long_.reverse()  # the longest first: likeliest to hold a number
-    for number, hits in groupby(heapq.merge(*[owners[a:b] for a, b in short])):
+    merged = np.unique(np.concatenate([owners[a:b] for a, b in short]), return_counts=True)
+    owners = memoryview(owners)  # single numbers are read faster there
+    for number, count in zip(*(x.tolist() for x in merged)):
         if not worth(number):
             continue
-        count, need = sum(1 for _ in hits), least(number)
+        need = least(number)
         misses = count + aside - need  # as many long lists may be without it
         for begin, end in long_:
             if misses < 0 or count >= need:
@@ -244,13 +247,29 @@ def _forest(
     return edges
 
 
+def _at_smallest(edges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Each node of a forest and the smallest of its tree, so that chains inside a block are no longer there."""
+    up: dict[int, int] = {}
+
+    def root(i: int) -> int:
+        while up.setdefault(i, i) != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+
+    for a, b in edges:
+        a, b = root(a), root(b)
+        up[max(a, b)] = min(a, b)
+    return [(i, root(i)) for i in list(up) if root(i) != i]
+
+
 def _join_blocks(per_cent: int):
     def join(group: pd.DataFrame) -> pd.DataFrame:
         group = group.drop_duplicates("set_id")
         sets = [np.frombuffer(x, np.uint64) for x in group["elements"]]
         own = [group[x].tolist() for x in ("set_id", "block", "label")]
         edges = _forest(own[0], own[1], sets, per_cent, own[2])
-        return pd.DataFrame(edges, columns=["a", "b"]).astype("int64")
+        return pd.DataFrame(_at_smallest(edges), columns=["a", "b"]).astype("int64")
 
     return join
 
@@ -277,57 +296,72 @@ def _class() -> Column:
     return F.col("key").bitwiseAND(F.lit(63)).alias("cls")
 
 
-def _undecided(postings: DataFrame, linked: DataFrame | None, wanted: DataFrame) -> DataFrame:
-    """Postings (key, set_id, label) that may still tell of a link between two components.
+def _shared(postings: DataFrame) -> DataFrame:
+    """(set_id, center, cls, n): of how many keys that several sets have this one is center is, and the set has.
 
-    Left out are keys all of whose sets are in one component, then sets with fewer shared
-    keys of each class than a link needs. A set that comes in several batches counts its
-    keys more often, which keeps it.
+    The center of a key is its smallest set, for which there are rows too. Keys are sorted once;
+    no row knows more than the first set of its key and its neighbours, so reading on needs no memory.
     """
-    if linked is None:
-        named = postings.withColumn("label", F.col("set_id"))
-    else:
-        known = linked.select(F.col("node").alias("set_id"), "root")
-        named = postings.join(known, "set_id", "left").select(
-            "key", "set_id", F.coalesce("root", "set_id").alias("label")
-        )
-        several = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-        kept = with_least(
-            named.withColumnsRenamed({"key": "a", "set_id": "b"}), several.select(F.col("key").alias("a")), salts=8
-        )
-        named = kept.select(F.col("a").alias("key"), F.col("b").alias("set_id"), "label")
-    counted = named.groupBy("set_id", _class()).agg(F.count("*").alias("n"))
-    able = counted.join(wanted, ["set_id", "cls"]).where("n >= least").select("set_id", "cls")
-    return stored(named.withColumn("cls", _class()).join(able, ["set_id", "cls"]).drop("cls"), "undecided")
-
-
-def _centers(postings: DataFrame, turn: int) -> DataFrame:
-    """Postings with one of the key's sets, another in each turn, as center, where that is of another component."""
-    pick = F.min(F.struct(F.xxhash64("set_id", F.lit(turn)), "set_id", "label")).alias("m")
-    least = postings.groupBy("key").agg(pick).withColumnRenamed("key", "a")
-    met = with_least(postings.withColumnsRenamed({"key": "a", "set_id": "b"}), least, salts=8)
-    return met.where("label <> m.label").select(
-        F.col("a").alias("key"), F.col("b").alias("set_id"), "label", F.col("m.set_id").alias("center"),
-        F.col("m.label").alias("center_label"),
+    key = Window.partitionBy("key").orderBy("set_id")
+    center = F.first("set_id").over(key.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    seen = postings.select(
+        "key", "set_id", center.alias("center"), F.lag("set_id").over(key).alias("before"), F.lead("set_id").over(key).alias("after")
     )
+    # A set may have several rows for a key: the last counts for a center, the first for others.
+    once = seen.where("if(set_id = center, after <> set_id, before <> set_id)")
+    return once.groupBy("set_id", "center", _class()).agg(F.count("*").alias("n"))
 
 
-def _round(
-    postings: DataFrame, wanted: DataFrame, elements: DataFrame, turn: int, block_elements: int, per_cent: int
-) -> DataFrame:
+def _able(shared: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of sets that share as many keys of the class as a link needs, with that number and the set's size."""
+    needs = rows.select("set_id", "size", F.explode("needs").alias("need"))
+    wanted = needs.groupBy("set_id", F.col("need").bitwiseAND(F.lit(63)).alias("cls")).agg(
+        F.max(F.shiftright("need", 6)).alias("least"), F.max("size").alias("size")
+    )
+    total = F.sum("n").over(Window.partitionBy("set_id", "cls"))
+    return shared.withColumn("total", total).join(wanted, ["set_id", "cls"]).where("total >= least").drop("total")
+
+
+def _labelled(shared: DataFrame, linked: DataFrame | None) -> DataFrame:
+    """With the components of set and center, as far as known."""
+    if linked is None:
+        return shared.withColumns({"label": F.col("set_id"), "center_label": F.col("center")})
+    one = linked.select(F.col("node").alias("set_id"), F.col("root").alias("x"))
+    other = linked.select(F.col("node").alias("center"), F.col("root").alias("y"))
+    return shared.join(one, "set_id", "left").join(other, "center", "left").withColumns(
+        {"label": F.coalesce("x", "set_id"), "center_label": F.coalesce("y", "center")}
+    ).drop("x", "y")
+
+
+def _open(labelled: DataFrame) -> DataFrame:
+    """The rows at whose centers any further link to another component is found.
+
+    A key all of whose sets are in one component tells of none. Of a center's keys at most as
+    many have sets of another component as their rows say; a set in the center's component
+    has no more of them. With centers in one order for all sets, two linked sets meet at the
+    first center of a key of both, and from there on either has as many keys as a link needs.
+    A set thus stays away from its last centers, those of the most sets, that have fewer.
+    """
+    across = labelled.where("label <> center_label").groupBy("center", "cls").agg(F.sum("n").alias("across"))
+    left = F.when(F.col("label") != F.col("center_label"), F.col("n")).otherwise(F.least("n", "across"))
+    last_first = Window.partitionBy("set_id", "cls").orderBy(F.desc("across"), F.desc("center"))
+    from_here = F.sum("left").over(last_first.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    joined = labelled.join(across, ["center", "cls"]).withColumn("left", left).withColumn("from_here", from_here)
+    return joined.where("from_here >= least").select("set_id", "label", "center_label", "size").distinct()
+
+
+def _round(labelled: DataFrame, elements: DataFrame, turn: int, block_elements: int, per_cent: int) -> DataFrame:
     """Links between each set and those that have the same nearest center, of which there are blocks of bounded size."""
-    shared = _centers(postings, turn).groupBy("set_id", "label", "center", "center_label", _class()).agg(F.count("*").alias("n"))
-    enough = shared.join(wanted, ["set_id", "cls"]).where("n >= least")
-    best = enough.groupBy("set_id").agg(
-        F.max_by(F.struct("label", "center", "center_label"), F.struct("n", "center")).alias("x")
-    ).select(F.col("x.center").alias("a"), F.col("set_id").alias("b"), "x.label", "x.center_label")
+    near = labelled.where("label <> center_label and n >= least")
+    order = F.struct("n" if not turn else F.lit(0), F.xxhash64("center", F.lit(turn)))
+    best = near.groupBy("set_id").agg(F.max_by(F.struct("center", "label", "center_label", "size"), order).alias("x")).select(
+        F.col("x.center").alias("a"), F.col("set_id").alias("b"), "x.label", "x.center_label", "x.size"
+    )
     best = stored(best, "best")
-    sizes = elements.select(F.col("set_id").alias("b"), (F.octet_length("elements") / 8).alias("size"))
-    weight = best.join(sizes, "b").groupBy("a").agg(
+    weight = best.groupBy("a").agg(
         F.ceil(F.sum("size") / block_elements).cast("int").alias("m"), F.first("center_label").alias("center_label")
     )
-    weight = stored(weight, "weight")
-    sent = with_least(best.drop("center_label"), weight.drop("center_label"), salts=8).select(
+    sent = with_least(best.select("a", "b", "label"), weight.select("a", "m"), salts=8).select(
         F.col("b").alias("set_id"), "label", F.col("a").alias("center"),
         F.pmod(F.xxhash64("b"), F.col("m")).cast("int").alias("part"),
     )
@@ -337,22 +371,19 @@ def _round(
     )
     met = sent.union(heads).join(elements, "set_id").withColumn("block", F.lit(0))
     found = stored(met.groupBy("center", "part").applyInPandas(_join_blocks(per_cent), "a long, b long"), "found")
-    discard(best, weight)
+    discard(best)
     return found
 
 
-def _rest(postings: DataFrame, elements: DataFrame, turn: int, block_elements: int, per_cent: int) -> DataFrame:
-    """All further links, inside the groups that shared keys make, by pairs of blocks."""
-    met = _centers(postings, turn)
+def _rest(labelled: DataFrame, elements: DataFrame, block_elements: int, per_cent: int) -> DataFrame:
+    """All further links, inside the groups that centers make, by pairs of blocks."""
+    open_ = stored(_open(labelled), "open")
     # Sets of one component are one node of the groups, or a link between it and others might be lost.
-    stars = stored(met.select(F.col("label").alias("a"), F.col("center_label").alias("b")).distinct(), "stars")
+    stars = open_.where("label <> center_label").select(F.col("label").alias("a"), F.col("center_label").alias("b"))
     groups = stored(components(stars), "groups")
-    discard(stars)
-    members = groups.union(groups.select("root", "root").distinct()).distinct()
-    sets = postings.select("set_id", "label").distinct()
-    sized = sets.join(members, sets["label"] == members["node"]).join(
-        elements.select("set_id", (F.octet_length("elements") / 8).alias("size")), "set_id"
-    )
+    members = groups.union(groups.select("root", "root").distinct())
+    sets = open_.select("set_id", "label", "size").distinct()
+    sized = sets.join(members, sets["label"] == members["node"])
     sized = stored(sized.select(F.col("root").alias("a"), F.col("set_id").alias("b"), "label", "size"), "sized")
     weight = sized.groupBy("a").agg(F.ceil(F.sum("size") / block_elements).cast("int").alias("m"))
     wanted = with_least(sized.drop("size"), weight, salts=8).select(
@@ -365,7 +396,7 @@ def _rest(postings: DataFrame, elements: DataFrame, turn: int, block_elements: i
         "elements",
     )
     found = stored(paired.groupBy("part", "b1", "b2").applyInPandas(_join_blocks(per_cent), "a long, b long"), "found")
-    discard(groups, sized)
+    discard(open_, groups, sized)
     return found
 
 
@@ -378,21 +409,14 @@ def jaccard_components(
     number of `rounds` and size of blocks.
     """
     sets = stored(described(docs, n, per_cent), "sets")
-    rows = stored(sets.select("doc_id", "text_hash", "size", "set_id"), "rows")
-    postings = sets.where("keys is not null").select("set_id", F.explode("keys").alias("key"))
-    # Each set points at the smallest with the same segment; reading on needs no memory.
-    first = F.expr("first(set_id) over (partition by key order by set_id rows between unbounded preceding and current row)")
-    met = stored(postings.select("set_id", "key", first.alias("center")).where("set_id <> center"), "met")
-    needs = sets.where("keys is not null").select("set_id", F.explode("needs").alias("need")).distinct()
-    wanted = stored(
-        needs.select("set_id", F.col("need").bitwiseAND(F.lit(63)).alias("cls"), F.shiftright("need", 6).alias("least")), "wanted"
-    )
-    shared = met.select("key", "set_id").union(met.select("key", "center").distinct())
-    left = _undecided(shared, None, wanted)
-    discard(sets, met)
+    rows = stored(sets.drop("keys"), "rows")
+    shared = stored(_shared(sets.where("keys is not null").select("set_id", F.explode("keys").alias("key"))), "shared")
+    discard(sets)
+    able = stored(_able(shared, rows), "able")
+    discard(shared)
 
     chosen = rows.where("set_id is not null").groupBy("set_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
-    open_ = left.select("set_id").distinct()
+    open_ = able.select("set_id").distinct()
     texts_of = stored(
         chosen.join(open_, "set_id").select("set_id", F.col("first.doc_id").alias("w_id"), F.col("first.text_hash").alias("w_hash")),
         "texts_of",
@@ -405,15 +429,15 @@ def jaccard_components(
     elements = stored(built.dropDuplicates(["set_id"]), "elements")  # rows may be equal in id and text
     discard(texts_of)
 
-    edges, linked = [], None
-    for turn in range(rounds):
-        edges.append(_round(left, wanted, elements, turn, block_elements, per_cent))
-        before, linked = linked, stored(components(reduce(DataFrame.union, edges)), "linked")
-        last, left = left, _undecided(left.select("key", "set_id"), linked, wanted)
-        discard(last, *([before] if before is not None else []))
-    edges.append(_rest(left, elements, rounds, block_elements, per_cent))
-    before, linked = linked, stored(components(reduce(DataFrame.union, edges)), "linked")
-    discard(left, wanted, elements, *edges, *([before] if before is not None else []))
+    linked = None
+    for turn in range(rounds + 1):
+        now = _labelled(able, linked)
+        last = turn == rounds
+        found = _rest(now, elements, block_elements, per_cent) if last else _round(now, elements, turn, block_elements, per_cent)
+        known = [] if linked is None else [linked.select(F.col("node").alias("a"), F.col("root").alias("b"))]
+        before, linked = linked, stored(components(reduce(DataFrame.union, known, found)), "linked")
+        discard(found, *([before] if before is not None else []))
+    discard(able, elements)
     linked = linked.union(linked.select("root", "root").distinct())
 
     least = rows.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("least"))

@@ -365,3 +365,14 @@ def test_clashing_names_and_items_without_id(spark, docs, prose):
     assert clean.columns == table.columns and {1, 2}.isdisjoint(r["doc_id"] for r in clean.collect())
     rows = by_id(op5_decontamination.decontaminate(docs({1: prose[1], 2: prose[2]}), items))
     assert rows[1]["n_hit"] > 0 and rows[1]["contaminated"] and (rows[1]["n_items"], rows[2]["n_items"]) == (0, 1)
+
+
+def test_shared_keys_are_counted_by_center_and_once(spark):
+    rows = [(7, 64), (7, 64), (9, 64), (9, 64), (9, 128), (7, 128), (7, 192), (7, 192), (8, 65), (9, 65)]
+    postings = spark.createDataFrame(rows, "set_id long, key long")
+    found = {tuple(r) for r in op10_jaccard_join._shared(postings).collect()}
+    assert found == {(7, 7, 0, 2), (9, 7, 0, 2), (8, 8, 1, 1), (9, 8, 1, 1)}
+
+
+def test_links_of_a_block_lead_to_its_smallest_set():
+    assert sorted(op10_jaccard_join._at_smallest([(3, 2), (4, 3), (5, 4), (9, 8)])) == [(3, 2), (4, 2), (5, 2), (9, 8)]
