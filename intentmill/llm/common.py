@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,11 +26,20 @@ def texts(docs: DataFrame) -> DataFrame:
     )
 
 
+#: Whether shuffle files go when the query that wrote them has ended, and not when the driver happens to collect garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a table in the shared folder: its plan is cut, lost executors cost nothing."""
+    """The frame as a table in the shared folder: its plan is cut, lost executors cost nothing, its shuffle files go."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     found = spark.read.schema(df.schema).parquet(path)
     found.stored_at = path
     return found
@@ -38,6 +52,47 @@ def discard(*frames: DataFrame) -> None:
         place.getFileSystem(frame.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+class Among:
+    """Tells of 64-bit hashes whether they may be in the only column of `keys`: always if they are, seldom if not.
+
+    A bitmap of some `bits_each` bits a key, 2^`most_bits` at most, goes to the tasks, so rows that
+    have no partner need no shuffle.
+    """
+
+    def __init__(self, keys: DataFrame, bits_each: int = 16, most_bits: int = 27):
+        name = keys.columns[0]
+        self.last = (1 << min(most_bits, max(10, (keys.count() * bits_each).bit_length()))) - 1
+        at = F.shiftright(F.col(name).bitwiseAND(F.lit(self.last)), 6).alias("at")
+        bit = F.expr(f"shiftleft(1L, cast({name} & 63 as int))").alias("bit")
+        found = keys.select(at, bit).groupBy("at").agg(F.bit_or("bit").alias("set")).toArrow()
+        self.bitmap = np.zeros((self.last + 1) >> 6, np.int64)
+        self.bitmap[found["at"].to_numpy()] = found["set"].to_numpy()
+
+    def __call__(self, key: np.ndarray) -> np.ndarray:
+        at = key & self.last
+        return (self.bitmap[at >> 6] >> (at & 63)) & 1 == 1
+
+    def column(self, key: Column) -> Column:
+        @F.pandas_udf("boolean")
+        def known(key: pd.Series) -> pd.Series:
+            return pd.Series(self(key.to_numpy()))
+
+        return known(key)
+
+
+def trimmed(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """`work` on batches; at its end the Python process, which stays for other tasks, gives free memory back."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc alone
+        if trim is not None:
+            trim(0)
+
+    return run
+
+
 def fresh(frame: DataFrame, name: str) -> str:
     """A column name that the frame does not have."""
     taken = {c.lower() for c in frame.columns}

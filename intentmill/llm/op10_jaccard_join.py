@@ -15,16 +15,18 @@ to that center of another component with which it has most segments in common, a
 link. Sets that meet there are joined, in blocks, and links found make components. A segment
 whose sets are all in one component has nothing left to say and goes; so do sets that have too few
 segments left. Each set travels once a round. What is still open after the rounds is searched in
-full: sets and those of their centers that a link needs make candidate groups, as connected
-components, which hold every link that is missing.
+full by prefixes: with elements in one order for all sets, the rarest first, two sets that link have
+an element in common among the first of either. So a passage that many texts share brings only
+those together that are little else. Pairs of different components are bounded by short forms
+of their sets, 16 bits an element, before whole sets travel.
 
-In a block or group the join is a T-occurrence search: each set asks the inverted lists of its
+In a block the join is a T-occurrence search: each set asks the inverted lists of its
 shingles for sets that occur in at least T of them. Following DivideSkip, the longest
 lists are left aside, the short ones are merged, and what the merge leaves is
 looked up in the long ones by binary search until T is reached or out of reach. Sets
 already connected are not counted again, so a group of copies takes one count a set, not
-one a pair. A large group of the rest is cut into blocks, and each pair of blocks is a task
-of its own, so no task holds more than two blocks; tasks return spanning forests, never pairs.
+one a pair. A large group is cut into blocks that all hold its center, so no task holds more than a
+block; tasks return spanning forests, never pairs.
 
 Similarity is exact up to 64-bit hashes. A NULL or empty text has an empty set, links with
 nothing, and is its own component. Rows that repeat are in one component; a NULL id counts
@@ -45,7 +47,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from intentmill.llm.common import components, discard, fresh, stored, texts, with_least
+from intentmill.llm.common import Among, components, discard, fresh, stored, texts, trimmed, with_least
 from intentmill.llm.hashing import WordHashes, mixed, runs
 
 PER_CENT = 90  # of similarity, unless a caller asks for another; segments and thresholds follow from it
@@ -102,12 +104,16 @@ def _segments(elements: np.ndarray, per_cent: int) -> tuple[np.ndarray, list[int
 
 class _Sets:
     def __init__(self, n: int):
-        self.n, self.hashes = n, WordHashes()
+        self.n, self.hashes = n, WordHashes(300_000)
 
     def __call__(self, text: str) -> np.ndarray:
         return shingles(self.hashes(text.encode().lower().split()), self.n)
 
 
+def _slot_counts(elements, bits: int) -> np.ndarray:
+    return np.bincount((np.frombuffer(elements, np.uint64) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+
+
 def _set_id(elements: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(elements.tobytes()) - (1 << 63)
 
@@ -117,26 +123,29 @@ def _describe(n: int, per_cent: int):
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = _Sets(n)
-        for batch in batches:
-            sizes, ids, keys, needs, seen = [], [], [], [], set()
-            for text in batch.column("text"):
-                elements = sets(text.as_py())
-                sizes.append(len(elements))
-                ids.append(_set_id(elements) if len(elements) else None)
-                new = len(elements) and ids[-1] not in seen
-                seen.add(ids[-1])
-                own = _segments(elements, per_cent) if new else (None, None)
-                keys.append(own[0])
-                needs.append(own[1])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()),
-                    pa.array(ids, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(needs, pa.list_(pa.int64())),
-                ],
-                names=["doc_id", "text_hash", "size", "set_id", "keys", "needs"],
-            )
-
-    return describe
+        for whole in batches:
+            seen = set()
+            for at in range(0, whole.num_rows, 1000):  # keys are longer than texts
+                batch = whole.slice(at, 1000)
+                sizes, ids, keys, needs = [], [], [], []
+                for text in batch.column("text"):
+                    elements = sets(text.as_py())
+                    sizes.append(len(elements))
+                    ids.append(_set_id(elements) if len(elements) else None)
+                    new = len(elements) and ids[-1] not in seen
+                    seen.add(ids[-1])
+                    own = _segments(elements, per_cent) if new else (None, None)
+                    keys.append(own[0])
+                    needs.append(own[1])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()),
+                        pa.array(ids, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(needs, pa.list_(pa.int64())),
+                    ],
+                    names=["doc_id", "text_hash", "size", "set_id", "keys", "needs"],
+                )
+
+    return trimmed(describe)
 
 
 # --- T-occurrence search ---
@@ -274,14 +283,49 @@ def _join_blocks(per_cent: int):
     return join
 
 
-def _elements(n: int):
+def _short(elements: DataFrame) -> DataFrame:
+    """Sets with the last 16 bits of each element."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            short = [np.frombuffer(x.as_buffer(), np.uint64).astype(np.uint16).tobytes() for x in batch.column("elements")]
+            yield pa.RecordBatch.from_arrays([batch.column("set_id"), pa.array(short, pa.binary())], names=["set_id", "elements"])
+
+    return elements.mapInArrow(cut, "set_id long, elements binary")
+
+
+def _may_link(per_cent: int):
+    """Pairs of a center and a set that have as many short elements in common as a link needs: no fewer than whole ones."""
+
+    def keep(group: pd.DataFrame) -> pd.DataFrame:
+        center = group["center"].iloc[0]
+        sets = {i: np.frombuffer(x, np.uint16) for i, x in zip(group["set_id"], group["elements"])}
+        own = sets.pop(center)
+        counts, found = np.bincount(own, minlength=1 << 16), []
+        for i, other in sets.items():
+            values, times = np.unique(other, return_counts=True)
+            if int(np.minimum(counts[values], times).sum()) * (100 + per_cent) >= per_cent * (len(own) + len(other)):
+                found.append((center, i))
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+    return keep
+
+
+def _elements(n: int, wanted: Among):
+    """doc_id, text_hash, elements of rows whose key may be wanted."""
+
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = _Sets(n)
         for batch in batches:
-            built = pa.array([sets(t.as_py()).tobytes() for t in batch.column("text")], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("set_id"), built], names=["set_id", "elements"])
+            batch = batch.filter(pa.array(wanted(batch.column("key").to_numpy())))
+            for at in range(0, batch.num_rows, 1000):
+                some = batch.slice(at, 1000)
+                built = pa.array([sets(t.as_py()).tobytes() for t in some.column("text")], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [some.column("doc_id"), some.column("text_hash"), built], names=["doc_id", "text_hash", "elements"]
+                )
 
-    return build
+    return trimmed(build)
 
 
 def described(docs: DataFrame, n: int = 3, per_cent: int = PER_CENT) -> DataFrame:
@@ -351,17 +395,24 @@ def _open(labelled: DataFrame) -> DataFrame:
 
 
 def _round(labelled: DataFrame, elements: DataFrame, turn: int, block_elements: int, per_cent: int) -> DataFrame:
-    """Links between each set and those that have the same nearest center, of which there are blocks of bounded size."""
+    """Links between each set and those that have the same nearest center."""
     near = labelled.where("label <> center_label and n >= least")
     order = F.struct("n" if not turn else F.lit(0), F.xxhash64("center", F.lit(turn)))
     best = near.groupBy("set_id").agg(F.max_by(F.struct("center", "label", "center_label", "size"), order).alias("x")).select(
         F.col("x.center").alias("a"), F.col("set_id").alias("b"), "x.label", "x.center_label", "x.size"
     )
     best = stored(best, "best")
-    weight = best.groupBy("a").agg(
+    found = _met(best, elements, block_elements, _join_blocks(per_cent))
+    discard(best)
+    return found
+
+
+def _met(stars: DataFrame, elements: DataFrame, block_elements: int, join: Callable) -> DataFrame:
+    """What `join` finds among each center a and its sets b, in blocks of bounded size that all hold the center."""
+    weight = stars.groupBy("a").agg(
         F.ceil(F.sum("size") / block_elements).cast("int").alias("m"), F.first("center_label").alias("center_label")
     )
-    sent = with_least(best.select("a", "b", "label"), weight.select("a", "m"), salts=8).select(
+    sent = with_least(stars.select("a", "b", "label"), weight.select("a", "m"), salts=8).select(
         F.col("b").alias("set_id"), "label", F.col("a").alias("center"),
         F.pmod(F.xxhash64("b"), F.col("m")).cast("int").alias("part"),
     )
@@ -370,33 +421,88 @@ def _round(labelled: DataFrame, elements: DataFrame, turn: int, block_elements:
         F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("part"),
     )
     met = sent.union(heads).join(elements, "set_id").withColumn("block", F.lit(0))
-    found = stored(met.groupBy("center", "part").applyInPandas(_join_blocks(per_cent), "a long, b long"), "found")
-    discard(best)
-    return found
+    return stored(met.groupBy("center", "part").applyInPandas(join, "a long, b long"), "found")
+
+
+def _counts(elements: DataFrame, bits: int) -> np.ndarray:
+    """How many elements of all sets begin with each number of so many bits; of the same size for any input."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << bits, np.int64)
+        for batch in batches:
+            for x in batch.column("elements"):
+                total += _slot_counts(x.as_buffer(), bits)
+        slots = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(total[slots])], names=["slot", "n"])
+
+    found = elements.select("elements").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    total = np.zeros(1 << bits, np.int64)
+    for batch in found.toArrow().to_batches():  # 2^bits rows at most
+        total[batch.column("slot").to_numpy()] = batch.column("n").to_numpy()
+    return total
+
+
+def prefix(elements: np.ndarray, ranks: np.ndarray, bits: int, per_cent: int) -> np.ndarray:
+    """The first elements of a set, in the order of the ranks of their first bits.
+
+    A set has one of them in common with any it links with, whatever the order, if that is the
+    same for all sets: without them too few are left. With the rarest first, these are seldom
+    what many texts share.
+    """
+    order = np.lexsort((elements, ranks[(elements >> np.uint64(64 - bits)).astype(np.int64)]))
+    return elements[order[: len(elements) - -(-per_cent * len(elements) // 100) + 1]]
+
+
+def _prefixes(elements: DataFrame, per_cent: int, bits: int = 18) -> DataFrame:
+    """set_id, size, prefix of each set."""
+    ranks = np.empty(1 << bits, np.int32)
+    ranks[np.argsort(_counts(elements, bits), kind="stable")] = np.arange(1 << bits)
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("elements")]
+            firsts = [prefix(x, ranks, bits, per_cent).view(np.int64) for x in sets]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("set_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array(firsts, pa.list_(pa.int64()))],
+                names=["set_id", "size", "prefix"],
+            )
+
+    return elements.mapInArrow(build, "set_id long, size long, prefix array<long>")
 
 
 def _rest(labelled: DataFrame, elements: DataFrame, block_elements: int, per_cent: int) -> DataFrame:
-    """All further links, inside the groups that centers make, by pairs of blocks."""
-    open_ = stored(_open(labelled), "open")
-    # Sets of one component are one node of the groups, or a link between it and others might be lost.
-    stars = open_.where("label <> center_label").select(F.col("label").alias("a"), F.col("center_label").alias("b"))
-    groups = stored(components(stars), "groups")
-    members = groups.union(groups.select("root", "root").distinct())
-    sets = open_.select("set_id", "label", "size").distinct()
-    sized = sets.join(members, sets["label"] == members["node"])
-    sized = stored(sized.select(F.col("root").alias("a"), F.col("set_id").alias("b"), "label", "size"), "sized")
-    weight = sized.groupBy("a").agg(F.ceil(F.sum("size") / block_elements).cast("int").alias("m"))
-    wanted = with_least(sized.drop("size"), weight, salts=8).select(
-        F.col("b").alias("set_id"), "label", F.col("a").alias("part"), F.col("m").alias("blocks"),
-        F.pmod(F.xxhash64("b"), F.col("m")).cast("int").alias("block"),
+    """All further links: each open set with those of other components that share an element of its prefix.
+
+    Of an element's sets those of its commonest component are not paired with each other, so a group
+    of copies takes one row a set. From its first common element on, a pair has as many left as a
+    link needs. What the pairs have in common is first bounded by short forms of their sets.
+    """
+    open_ = stored(_open(labelled).select("set_id", "label").distinct(), "open")
+    first = _prefixes(elements, per_cent).join(open_, "set_id").select("set_id", "label", "size", F.posexplode("prefix").alias("at", "element"))
+    first = stored(first, "first")
+    sets_of = first.groupBy("element", "label").agg(F.count("*").alias("n"))
+    common = sets_of.groupBy("element").agg(F.max_by("label", "n").alias("common"), F.count("*").alias("labels")).where("labels > 1")
+    several = stored(first.join(common.drop("labels"), "element"), "several")
+    discard(open_, first)
+    x, y = several.where("label <> common").alias("x"), several.alias("y")
+    linkable = F.expr(
+        f"least(x.size, y.size) * 100 >= greatest(x.size, y.size) * {per_cent} and "
+        f"least(x.size - x.at, y.size - y.at) * {100 + per_cent} >= (x.size + y.size) * {per_cent}"
     )
-    others = F.sequence(F.lit(0), F.col("blocks") - 1)
-    paired = wanted.join(elements, "set_id").withColumn("other", F.explode(others)).select(
-        "part", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"), "block", "label", "set_id",
-        "elements",
+    ends = [F.struct(F.col(f"{i}.size"), F.col(f"{i}.set_id"), F.col(f"{i}.label")) for i in ("x", "y")]
+    pairs = x.join(y, F.expr("x.element = y.element and x.label <> y.label") & linkable).select(
+        F.greatest(*ends).alias("large"), F.least(*ends).alias("small")
+    ).distinct()
+    pairs = pairs.select(
+        F.col("large.set_id").alias("a"), F.col("small.set_id").alias("b"), "small.label",
+        F.col("large.label").alias("center_label"), "small.size",
     )
-    found = stored(paired.groupBy("part", "b1", "b2").applyInPandas(_join_blocks(per_cent), "a long, b long"), "found")
-    discard(open_, groups, sized)
+    pairs = stored(pairs, "pairs")
+    discard(several)
+    may = _met(pairs, _short(elements), 4 * block_elements, _may_link(per_cent))
+    some = stored(pairs.join(may, ["a", "b"]), "some")
+    found = _met(some, elements, block_elements, _join_blocks(per_cent))
+    discard(pairs, may, some)
     return found
 
 
@@ -421,11 +527,14 @@ def jaccard_components(
         chosen.join(open_, "set_id").select("set_id", F.col("first.doc_id").alias("w_id"), F.col("first.text_hash").alias("w_hash")),
         "texts_of",
     )
+    # Only the sets of texts that may be wanted are built and shuffled.
+    wanted = Among(texts_of.select(F.xxhash64("w_id", "w_hash").alias("key")))
     source = texts(docs).withColumn("text_hash", F.xxhash64("text"))
-    with_text = source.join(
-        texts_of, source["doc_id"].eqNullSafe(texts_of["w_id"]) & (source["text_hash"] == texts_of["w_hash"])
-    ).select("set_id", "text")
-    built = with_text.mapInArrow(_elements(n), "set_id long, elements binary")
+    source = source.select("doc_id", "text_hash", F.xxhash64("doc_id", "text_hash").alias("key"), "text")
+    built = source.mapInArrow(_elements(n, wanted), "doc_id long, text_hash long, elements binary")
+    built = built.join(
+        texts_of, built["doc_id"].eqNullSafe(texts_of["w_id"]) & (built["text_hash"] == texts_of["w_hash"])
+    ).select("set_id", "elements")
     elements = stored(built.dropDuplicates(["set_id"]), "elements")  # rows may be equal in id and text
     discard(texts_of)
 
@@ -478,11 +587,14 @@ def one_of_each(docs: DataFrame, **how) -> DataFrame:
     go = go.toDF(go_id, go_hash)
     hashed = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit(""))))
     match = F.col("doc_id").eqNullSafe(F.col(go_id)) & (F.col(key) == F.col(go_hash))
-    kept = hashed.join(go, match, "left_anti").select(*docs.columns)
+    # Only rows that may go are shuffled.
+    may_go = Among(go.select(F.xxhash64(go_id, go_hash).alias("key"))).column(F.xxhash64(F.col("doc_id").cast("long"), key))
+    some = hashed.where(may_go)
+    kept = hashed.where(~may_go).select(*docs.columns).union(some.join(go, match, "left_anti").select(*docs.columns))
     # Of rows that repeat as a whole group's first, or without a set, one comes back.
     gone = away.select(F.col("doc_id").alias("a_id"), F.col("text_hash").alias("a_hash"))
     back = again.where("n > 1").join(gone, F.expr("doc_id <=> a_id and text_hash = a_hash"), "left_anti")
     back = stored(back.select(F.col("doc_id").alias(go_id), F.col("text_hash").alias(go_hash)), "back")
     rows = F.struct(*[F.col(c) for c in docs.columns])
-    some = hashed.join(back, match, "left_semi").groupBy("doc_id", key).agg(F.min_by(rows, F.xxhash64(*docs.columns)).alias("row"))
+    some = some.join(back, match, "left_semi").groupBy("doc_id", key).agg(F.min_by(rows, F.xxhash64(*docs.columns)).alias("row"))
     return kept.union(some.select("row.*"))

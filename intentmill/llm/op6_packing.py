@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from intentmill.llm.common import texts
+from intentmill.llm.common import texts, trimmed
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -217,4 +217,4 @@ def pack(
                     yield rows(False)
         yield rows(True)
 
-    return texts(docs).mapInArrow(run, SCHEMA)
+    return texts(docs).mapInArrow(trimmed(run), SCHEMA)

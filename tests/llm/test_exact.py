@@ -1,10 +1,12 @@
 """Operators whose results a plain version gives exactly."""
 
 import random
+import time
 import zlib
 
 import brute
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -20,7 +22,7 @@ from intentmill.llm import (
     op9_sharding,
     op10_jaccard_join,
 )
-from intentmill.llm.common import components
+from intentmill.llm.common import Among, components, stored
 from intentmill.llm.queries import QUERIES
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -376,3 +378,70 @@ def test_shared_keys_are_counted_by_center_and_once(spark):
 
 def test_links_of_a_block_lead_to_its_smallest_set():
     assert sorted(op10_jaccard_join._at_smallest([(3, 2), (4, 3), (5, 4), (9, 8)])) == [(3, 2), (4, 2), (5, 2), (9, 8)]
+
+
+def test_linked_sets_share_an_element_of_their_prefixes():
+    draw = random.Random(5)
+    for _ in range(300):
+        a = [draw.getrandbits(64) for _ in range(draw.randint(1, 200))]
+        b = a[draw.randint(0, len(a) // 8) :] + [draw.getrandbits(64) for _ in range(draw.randint(0, len(a) // 8))]
+        a, b = (np.unique(np.array(x, np.uint64)) for x in (a, b))
+        ranks = np.array(draw.sample(range(16), 16), np.int32)
+        for per_cent in (80, 90):
+            if 100 * len(np.intersect1d(a, b)) >= per_cent * len(np.union1d(a, b)):
+                assert len(np.intersect1d(*(op10_jaccard_join.prefix(x, ranks, 4, per_cent) for x in (a, b))))
+
+
+def test_short_sets_have_no_less_in_common():
+    draw = np.random.default_rng(5)
+    many = draw.integers(0, 1 << 63, 600).astype(np.uint64)
+    sets = {1: many[:500], 2: many[30:520], 3: many[300:], 4: many[:500] + np.uint64(1)}
+    group = pd.DataFrame({"center": 1, "set_id": list(sets), "elements": [x.astype(np.uint16).tobytes() for x in sets.values()]})
+    assert [tuple(x) for x in op10_jaccard_join._may_link(80)(group).to_numpy()] == [(1, 2)]
+
+
+def test_a_passage_of_many_texts_sends_no_whole_sets(docs, monkeypatch):
+    draw, kept = random.Random(9), {}
+    word = lambda: f"w{draw.randrange(10**9)}"
+    passage = [word() for _ in range(90)]
+    texts = {i: " ".join([*passage, *(word() for _ in range(60))]) for i in range(120)}
+    near = texts[7].split(" ")
+    texts[500] = " ".join([*near[:120], word(), *near[121:]])
+
+    def counted(frame, name):
+        found = stored(frame, name)
+        kept[name] = max(kept.get(name, 0), found.count())
+        return found
+
+    monkeypatch.setattr(op10_jaccard_join, "stored", counted)
+    rows = by_id(op10_jaccard_join.jaccard_components(docs(texts), n=3, per_cent=80, rounds=0, block_elements=2000))
+    assert {i: r["component_id"] for i, r in rows.items()} == {i: 7 if i == 500 else i for i in texts}
+    assert kept["some"] == 1
+
+
+def test_among_tells_of_all_keys_and_of_few_others(spark):
+    keys = spark.range(3000).select(F.xxhash64("id").alias("key"))
+    known = Among(keys).column
+    seen = spark.range(30000).where(known(F.xxhash64("id")))
+    assert seen.where("id < 3000").count() == 3000 and seen.count() < 3000 + 27000 * 0.15
+    none = Among(keys.where("false")).column
+    assert spark.range(100).where(none(F.xxhash64("id"))).count() == 0
+
+
+def test_stored_frames_leave_no_shuffle_files(spark):
+    place = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {x.getName() for x in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(place.getAllFiles()) if x.getName().startswith("shuffle_")}
+    before, frame = files(), spark.range(1000).repartition(5, "id")
+    found = stored(frame.groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    end = time.time() + 20
+    while files() - before and time.time() < end:
+        time.sleep(0.2)
+    assert files() - before == set() and found.count() == 7 and frame.count() == 1000
+
+
+def test_texts_that_stay_are_not_shuffled(docs):
+    texts = {i: f"only {i} of these words stands here {i * i}" for i in range(300)} | {900: "a b c d e f g h", 901: "a b c d e f g h"}
+    kept = op10_jaccard_join.one_of_each(docs(texts))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [*range(300), 900]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "known" in plan
